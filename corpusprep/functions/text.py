@@ -62,3 +62,14 @@ def let(value: Column, body) -> Column:
     positions, say) would otherwise be recomputed for every element.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def materialize_column(df, name: str, c: Column):
+    """Add ``c`` as column ``name`` through a one-row ``explode``.
+
+    The Generate node is a boundary Catalyst does not merge across, so a
+    Python UDF reading ``name`` gets a plain column as input and is always
+    planned as its own Arrow stage (a deep higher-order expression inlined
+    into a UDF argument is otherwise left unevaluable by the planner).
+    """
+    return df.select("*", F.explode(F.array(c)).alias(name))

@@ -71,7 +71,20 @@ def _t(ctx: RecipeContext) -> Column:
 
 
 def _between(x: Column, a: dict, lo: str, hi: str, lo_default, hi_default) -> Column:
-    return (x >= F.lit(a.get(lo, lo_default))) & (x <= F.lit(a.get(hi, hi_default)))
+    """lo <= x <= hi, with a bound left out when it cannot bite (each statistic is evaluated once)."""
+    lo_v, hi_v = a.get(lo, lo_default), a.get(hi, hi_default)
+    conds = []
+    if lo_v not in (None, float("-inf"), 0) or lo_default is None:
+        conds.append(x >= F.lit(lo_v))
+    if hi_v not in (None, float("inf"), 2**31 - 1):
+        conds.append(x <= F.lit(hi_v))
+    if not conds:
+        return F.lit(True)
+    return conds[0] if len(conds) == 1 else (conds[0] & conds[1])
+
+
+# filters that run Python (Arrow UDF): applied after the JVM-only filters of their group
+PYTHON_FILTERS = {"character_repetition_filter"}
 
 
 register_filter("alphanumeric_filter", lambda ctx, a: _between(
@@ -188,11 +201,16 @@ def run_recipe(df: DataFrame, recipe: list[Step], ctx: RecipeContext) -> DataFra
     out = df
     for kind, steps in _groups(recipe):
         if kind == "filter":
-            pred = None
-            for _, name, args in steps:
-                p = FILTERS[name](ctx, args)
-                pred = p if pred is None else (pred & p)
-            out = out.where(pred)
+            # filters of a group commute; cheap JVM predicates first, Python-backed ones on what is left
+            for python_side in (False, True):
+                pred = None
+                for _, name, args in steps:
+                    if (name in PYTHON_FILTERS) != python_side:
+                        continue
+                    p = FILTERS[name](ctx, args)
+                    pred = p if pred is None else (pred & p)
+                if pred is not None:
+                    out = out.where(pred)
         else:
             _, name, args = steps[0]
             keep = DEDUPS[name](out, ctx, args)

@@ -20,16 +20,21 @@ CONVERSATION_TYPE = T.ArrayType(T.StructType([
 
 
 def with_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Spread a scan that yields fewer partitions than the cluster has cores.
 
     Large inputs already arrive in thousands of splits and are returned
-    untouched (no shuffle); a single small file would otherwise pin every
-    per-row UDF to one core.
+    untouched (no shuffle, no copy). A small input (a file of few row groups)
+    is round-robined and checkpointed into the session's shared checkpoint
+    folder: without the checkpoint, Catalyst pushes every filter below the
+    repartition and the per-row work would run on the few scan splits again.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        return df.repartition(want).checkpoint(eager=True)
     return df
 
 

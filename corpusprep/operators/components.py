@@ -10,6 +10,10 @@ checkpoint folder) every round, so lineage stays one round long and a lost
 executor only recomputes the current round. The loop ends when no label
 changes; the result labels every node with the smallest node id of its
 component.
+
+Only nodes that touch an edge take part in the loop (most documents have no
+near-duplicate); every other node is its own component and is labelled by one
+join on the unique node id.
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "no
     e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
     und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     und = und.where(F.col("src") != F.col("dst")).checkpoint(eager=True)
-    labels = nodes.select(F.col(node_col).alias("node")).distinct().withColumn("label", F.col("node"))
+    all_nodes = nodes.select(F.col(node_col).alias("node"))
+    labels = und.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
     labels = labels.checkpoint(eager=True)
     for _ in range(max_iterations):
         nbr = (und.join(labels, und.src == labels.node)
@@ -44,5 +49,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "no
                    .where(F.col("n.label") != F.col("o.label")).limit(1).count())
         labels = jumped
         if changed == 0:
-            return labels.select(F.col("node").alias(node_col), "label")
+            out = all_nodes.join(labels, "node", "left").select(
+                F.col("node").alias(node_col), F.coalesce(F.col("label"), F.col("node")).alias("label"))
+            return out
     raise RuntimeError(f"connected components did not converge in {max_iterations} rounds")

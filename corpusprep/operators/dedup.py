@@ -109,6 +109,31 @@ def _fingerprint_from_hashes(hashes: pd.Series) -> pd.Series:
     return res
 
 
+def shingle_digests(tokens: Column, window_size: int, sep: str) -> Column:
+    """First 8 bytes of each shingle's md5 (the bytes behind ``hash64``), as binary."""
+    n = F.size(tokens)
+    return F.when(n == 0, F.array().cast("array<binary>")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(n - window_size + 1, F.lit(1))),
+                    lambda i: F.unhex(F.substring(F.md5(F.array_join(F.slice(tokens, i, window_size), sep)), 1, 16))))
+
+
+@F.pandas_udf(T.LongType())
+def _fingerprint_from_digests(digests: pd.Series) -> pd.Series:
+    """Bit vote over 8-byte big-endian shingle digests, one numpy pass per Arrow batch."""
+    lens = np.fromiter((0 if a is None else len(a) for a in digests), dtype=np.int64, count=len(digests))
+    out = pd.Series(pd.NA, index=digests.index, dtype="Int64")
+    nz = np.flatnonzero(lens)
+    if nz.size:
+        raw = b"".join(b"".join(digests.iat[i]) for i in nz)
+        h = np.frombuffer(raw, dtype=">u8").astype("<u8")
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")  # column b = bit b
+        starts = np.concatenate([[0], np.cumsum(lens[nz])[:-1]])
+        ones = np.add.reduceat(bits.astype(np.int32), starts, axis=0)
+        fp = ((ones * 2 > lens[nz][:, None]).astype(np.uint64) << _BITS).sum(axis=1, dtype=np.uint64)
+        out.iloc[nz] = fp.view(np.int64)
+    return out
+
+
 def with_fingerprint(df: DataFrame, text_col: str = "text", out_col: str = "fp", tokenization: str = "space",
                      window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None) -> DataFrame:
     """Add a 64-bit SimHash (signed BIGINT; null when the text has no tokens).
@@ -120,7 +145,7 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", out_col: str = "fp",
     sep = " " if tokenization == "space" else ""
     toks = "__simhash_tokens"
     staged = df.withColumn(toks, simhash_tokens(text_col, tokenization, lowercase, ignore_pattern))
-    return staged.withColumn(out_col, _fingerprint_from_hashes(shingle_hashes(F.col(toks), window_size, sep))
+    return staged.withColumn(out_col, _fingerprint_from_digests(shingle_digests(F.col(toks), window_size, sep))
                              ).drop(toks)
 
 

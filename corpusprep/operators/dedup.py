@@ -167,39 +167,54 @@ def _signed(m: int) -> int:
     return m - (1 << 64) if m >= 1 << 63 else m
 
 
+def choose_num_blocks(n: int, hamming_distance: int, min_blocks: int, max_extra: int = 8) -> int:
+    """Blocks B (>= min_blocks) minimising band rows + expected same-bucket pairs for n fingerprints.
+
+    With B blocks, k = B - h blocks per band: C(B, k) bands per fingerprint of
+    about 64k/B key bits, so n*C + C*n^2 / 2^bits / 2 units of work. Any B > h
+    gives the same (exact) pairs; only the cost changes.
+    """
+    from math import comb
+
+    lo = max(min_blocks, hamming_distance + 1)
+    best, best_cost = lo, None
+    for b in range(lo, lo + max_extra + 1):
+        k = b - hamming_distance
+        bands = comb(b, k)
+        cost = n * bands + bands * float(n) * n / (2 ** (64 * k / b)) / 2
+        if best_cost is None or cost < best_cost:
+            best, best_cost = b, cost
+    return best
+
+
 def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
     """Every pair of distinct fingerprints within ``hamming_distance`` bits.
 
     Input: one row per distinct fingerprint (``fp_col``). Output: (fp_a, fp_b,
     distance) with fp_a < fp_b. Two fingerprints within h bits agree on at least
-    B - h of the B blocks (pigeonhole), so they share the key (combo, masked
-    value) of at least one block combination of size B - h: the result is exact.
-    A pair is kept only by the first combination on which it agrees, so the
-    candidate pairs need no distinct().
+    B - h of the B blocks (pigeonhole), so they share the key (band, masked
+    value) of at least one band of B - h blocks: the result is exact for any B.
+    A pair is kept only by the band made of its B - h lowest agreeing blocks, so
+    the candidate pairs need no distinct(). The bands are one constant array,
+    exploded per fingerprint.
     """
     k = num_blocks - hamming_distance
     if k < 1:
         raise ValueError("num_blocks must exceed hamming_distance for an exact band search")
     masks = block_masks(num_blocks)
-    combos = list(combinations(range(num_blocks), k))
-    combo_mask = [_signed(sum(masks[i] for i in c)) for c in combos]
-    # per band: its block set, and the blocks below its highest block that are not in it
-    band_info = []
-    for c, m in zip(combos, combo_mask):
+    bands = []
+    for c in combinations(range(num_blocks), k):
         cm = sum(1 << i for i in c)
         below = ((1 << (max(c) + 1)) - 1) & ~cm
-        band_info.append((cm, below, m))
-    keys = F.array(*[F.struct(F.lit(cm).alias("cmask"), F.lit(below).alias("cbelow"),
-                              (F.col(fp_col).bitwiseAND(F.lit(m).cast("long"))).alias("band"))
-                     for cm, below, m in band_info])
-    banded = fps.select(F.col(fp_col).alias("fp"), F.explode(keys).alias("k")).select(
-        "fp", "k.cmask", "k.cbelow", "k.band")
+        bands.append(F.struct(F.lit(cm).alias("cmask"), F.lit(below).alias("cbelow"),
+                              F.lit(_signed(sum(masks[i] for i in c))).cast("long").alias("m")))
+    banded = fps.select(F.col(fp_col).alias("fp"), F.explode(F.array(*bands)).alias("k")).select(
+        "fp", "k.cmask", "k.cbelow", F.col("fp").bitwiseAND(F.col("k.m")).alias("band"))
     a, b = banded.alias("a"), banded.alias("b")
     x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     dist = F.bit_count(x)
-    # blocks on which the pair agrees, as a bit set; the pair is kept only by the
-    # band made of its k lowest agreeing blocks: no agreeing block may lie below
-    # the band's highest block outside the band
+    # blocks on which the pair agrees, as a bit set; no agreeing block may lie
+    # below the band's highest block outside the band
     agree = sum((F.when(x.bitwiseAND(F.lit(_signed(m)).cast("long")) == 0, F.lit(1 << i)).otherwise(F.lit(0))
                  for i, m in enumerate(masks)), F.lit(0))
     pairs = a.join(b, (F.col("a.cmask") == F.col("b.cmask")) & (F.col("a.band") == F.col("b.band"))
@@ -260,8 +275,10 @@ def _components(df, id_col, text_col, tokenization, window_size, lowercase, igno
                 hamming_distance, max_iterations):
     fp = _materialize(fingerprints(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern))
     # one node per distinct fingerprint, named by its smallest document id
-    reps = fp.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(id_col).alias("rep"))
-    pairs = near_pairs(reps.select("fp"), "fp", num_blocks, hamming_distance)
+    reps = fp.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(id_col).alias("rep")).checkpoint(eager=True)
+    # band width from the number of distinct fingerprints (same pairs, bounded bucket sizes)
+    blocks = choose_num_blocks(reps.count(), hamming_distance, num_blocks)
+    pairs = near_pairs(reps.select("fp"), "fp", blocks, hamming_distance)
     ra, rb = reps.alias("ra"), reps.alias("rb")
     edges = (pairs.join(ra, F.col("fp_a") == F.col("ra.fp")).join(rb, F.col("fp_b") == F.col("rb.fp"))
              .select(F.col("ra.rep").alias("src"), F.col("rb.rep").alias("dst")))

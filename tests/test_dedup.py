@@ -34,7 +34,7 @@ def test_near_pairs_equal_brute_force(spark):
         fps.add(x)
     signed = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
-    for blocks, h in [(9, 7), (10, 8), (6, 3)]:
+    for blocks, h in [(9, 7), (10, 8), (6, 3), (12, 7)]:
         got = {(r.fp_a, r.fp_b) for r in D.near_pairs(df, "fp", blocks, h).collect()}
         want = {(min(a, b), max(a, b)) for a, b in combinations(signed, 2) if bin((a ^ b) & (2**64 - 1)).count("1") <= h}
         assert got == want

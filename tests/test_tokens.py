@@ -56,13 +56,16 @@ def test_vocabulary_order_and_encode(spark):
 
 def test_tokenize_pair_masks_unless_empty_source(spark):
     v = TK.Vocabulary(["<unk>", "<s>", "</s>", "a", "b", "c"])
-    df = spark.createDataFrame([("a b", "c", None), ("", "c", "geo"), ("a a a a", "b", None)],
-                               "source string, target string, category string")
-    rows = TK.tokenize_pair(df, v, max_length=4).collect()
-    assert list(rows[0].input_ids) == [1, 3, 4, 5] and list(rows[0].labels) == [-100, -100, -100, 5]
-    assert list(rows[1].labels) == [1, 5, 2] and rows[1].seq_category == "geo"
-    assert rows[0].seq_category == "unknown"
-    assert list(rows[2].labels) == [-100] * 4  # source longer than the limit
+    df = spark.createDataFrame([("a b ", "c", None, "a b "), ("", "c", "geo", ""), ("a a a a", " b", None, "a a a a"),
+                                ("a b", "c", None, "a b")], "source string, target string, category string, k string")
+    rows = {r.k: r for r in TK.tokenize_pair(df, v, max_length=4).collect()}
+    r = rows["a b "]
+    assert list(r.input_ids) == [1, 3, 4, 5] and list(r.labels) == [-100, -100, -100, 5]
+    assert r.seq_category == "unknown"
+    assert list(rows[""].labels) == [1, 5, 2] and rows[""].seq_category == "geo"
+    assert list(rows["a a a a"].labels) == [-100] * 4  # source longer than the limit
+    # source and target are tokenized as one string: "a b" + "c" gives the unknown piece "bc"
+    assert list(rows["a b"].input_ids) == [1, 3, 0, 2]
 
 
 def test_filter_empty_labels(spark):

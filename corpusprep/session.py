@@ -1,15 +1,17 @@
 """Session helpers: a local session for tests/bench and the checkpoint folder.
 
-On a cluster the session is created by the platform; ``ensure_checkpoint_dir``
-only fills in ``spark.checkpoint.dir`` when it is unset (tests, local runs).
+On a cluster the platform creates the session and names the shared folder in
+``spark.checkpoint.dir``; only a local master may go without.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "corpusprep") -> SparkSession:
@@ -33,24 +35,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only when unset."""
+    """Return the shared folder of ``spark.checkpoint.dir``.
+
+    Only a local master may go without the setting: driver and executors are one
+    process there, so a scratch folder is made. Anywhere else the folder must be
+    named, because the executors' local disks are not shared.
+    """
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialized intermediate tables."""
+    """A path of its own below the shared folder, for a written intermediate table."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but runs the plan once and keeps columns prunable.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the written table behind ``df`` (only one that ``materialize`` made and nobody reads any more)."""
+    spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    for f in {os.path.dirname(f) for f in df.inputFiles()}:
+        if re.sub(r"^file:/+", "/", f).startswith(re.sub(r"^file:/+", "/", base) + "/"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

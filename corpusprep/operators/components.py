@@ -1,19 +1,13 @@
-"""Connected components by iterative minimum-label propagation.
-
-Each round is two joins and one aggregation over the whole graph:
-1. every node takes the smallest label among itself and its neighbours
-   (edges joined to labels on the source node, ``min`` pre-aggregated map-side);
-2. pointer jumping: every node takes the label of its label, which roughly
-   halves the remaining distance to the component minimum.
-The label table is checkpointed (reliable checkpoint in the session's shared
-checkpoint folder) every round, so lineage stays one round long and a lost
-executor only recomputes the current round. The loop ends when no label
-changes; the result labels every node with the smallest node id of its
-component.
-
-Only nodes that touch an edge take part in the loop (most documents have no
-near-duplicate); every other node is its own component and is labelled by one
-join on the unique node id.
+"""Connected components by alternating large-star and small-star steps.
+
+Both steps are an aggregation (``min`` per node, combined map-side) and a join
+of the edges with it, so a node of any degree is handled by partial aggregation
+and by AQE's skew join. Edges always point from the larger to the smaller node;
+each round connects every node to the smallest node it has seen, and the edge
+set shrinks to one star per component in a number of rounds logarithmic in its
+size. Every round's edges are written to the shared checkpoint folder, so a
+lost executor repeats one round at most; the loop ends when a round changes
+nothing, which it must, as targets only decrease.
 """
 
 from __future__ import annotations
@@ -21,35 +15,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import drop_materialized, materialize
+
+
+def _signature(edges: DataFrame) -> tuple:
+    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    return tuple(r)
+
+
+def component_roots(edges: DataFrame, src_col: str = "src", dst_col: str = "dst") -> DataFrame:
+    """(node, root) for every node that has an edge to another one; root = smallest node of its component."""
+    a, b = F.col(src_col), F.col(dst_col)
+    e = materialize(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
+                    "edges")
+    seen = _signature(e)
+    while True:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = (both.where(F.col("v") > F.col("u")).join(low, "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        new = materialize(small.select("e.*").where(F.col("u") != F.col("v")).distinct(), "edges")
+        now = _signature(new)
+        drop_materialized(e)
+        e = new
+        if now == seen:
+            break
+        seen = now
+    roots = e.select(F.col("v").alias("node")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        roots.withColumn("root", F.col("node")))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "node", src_col: str = "src",
-                         dst_col: str = "dst", max_iterations: int = 100) -> DataFrame:
-    """(node, label) with label = smallest node id in the node's component."""
-    spark = nodes.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = und.where(F.col("src") != F.col("dst")).checkpoint(eager=True)
-    all_nodes = nodes.select(F.col(node_col).alias("node"))
-    labels = und.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
-    labels = labels.checkpoint(eager=True)
-    for _ in range(max_iterations):
-        nbr = (und.join(labels, und.src == labels.node)
-               .groupBy(und.dst.alias("node")).agg(F.min("label").alias("nbr_label")))
-        step = (labels.join(nbr, "node", "left")
-                .select("node", F.least("label", F.coalesce("nbr_label", "label")).alias("label")))
-        hop = step.alias("h")
-        jumped = (step.alias("s").join(hop, F.col("s.label") == F.col("h.node"), "left")
-                  .select(F.col("s.node").alias("node"),
-                          F.least(F.col("s.label"), F.coalesce(F.col("h.label"), F.col("s.label"))).alias("label")))
-        jumped = jumped.checkpoint(eager=True)
-        changed = (jumped.alias("n").join(labels.alias("o"), "node")
-                   .where(F.col("n.label") != F.col("o.label")).limit(1).count())
-        labels = jumped
-        if changed == 0:
-            out = all_nodes.join(labels, "node", "left").select(
-                F.col("node").alias(node_col), F.coalesce(F.col("label"), F.col("node")).alias("label"))
-            return out
-    raise RuntimeError(f"connected components did not converge in {max_iterations} rounds")
+                         dst_col: str = "dst") -> DataFrame:
+    """(node, label) with label = smallest node id in the node's component; nodes without edges label themselves."""
+    roots = component_roots(edges, src_col, dst_col)
+    return nodes.select(F.col(node_col).alias("node")).join(roots, "node", "left").select(
+        F.col("node").alias(node_col), F.coalesce("root", "node").alias("label"))

@@ -234,13 +234,13 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str = "text", tokenizatio
 
 def simhash_clusters(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
                      window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None,
-                     num_blocks: int = 6, hamming_distance: int = 4, max_iterations: int = 100) -> DataFrame:
+                     num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
     """(id, cluster) where cluster is the smallest id of the document's near-duplicate component.
 
     Documents without tokens are their own cluster.
     """
     fp, reps, labels = _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern,
-                                   num_blocks, hamming_distance, max_iterations)
+                                   num_blocks, hamming_distance)
     # joined on the fingerprint: AQE splits a hot fingerprint (many copies) on the big side
     rep_label = reps.join(labels, reps.rep == labels.node).select("fp", F.col("label").alias("cluster"))
     return (fp.join(rep_label, "fp", "left")
@@ -258,7 +258,7 @@ def document_simhash_deduplicator(df: DataFrame, id_col: str, text_col: str = "t
 
 def simhash_survivors(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
                       window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None,
-                      num_blocks: int = 6, hamming_distance: int = 4, max_iterations: int = 100) -> DataFrame:
+                      num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
     """Ids that survive near-dedup: every component's smallest id, plus documents without tokens.
 
     The component minimum is always some fingerprint's smallest id, so no
@@ -266,13 +266,13 @@ def simhash_survivors(df: DataFrame, id_col: str, text_col: str = "text", tokeni
     abound): the survivors come straight from the label table.
     """
     fp, reps, labels = _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern,
-                                   num_blocks, hamming_distance, max_iterations)
+                                   num_blocks, hamming_distance)
     roots = labels.where(F.col("node") == F.col("label")).select(F.col("node").alias(id_col))
     return roots.unionByName(fp.where(F.col("fp").isNull()).select(id_col))
 
 
 def _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern, num_blocks,
-                hamming_distance, max_iterations):
+                hamming_distance):
     fp = _materialize(fingerprints(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern))
     # one node per distinct fingerprint, named by its smallest document id
     reps = fp.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(id_col).alias("rep")).checkpoint(eager=True)
@@ -282,7 +282,7 @@ def _components(df, id_col, text_col, tokenization, window_size, lowercase, igno
     ra, rb = reps.alias("ra"), reps.alias("rb")
     edges = (pairs.join(ra, F.col("fp_a") == F.col("ra.fp")).join(rb, F.col("fp_b") == F.col("rb.fp"))
              .select(F.col("ra.rep").alias("src"), F.col("rb.rep").alias("dst")))
-    labels = connected_components(reps.select(F.col("rep").alias("node")), edges, max_iterations=max_iterations)
+    labels = connected_components(reps.select(F.col("rep").alias("node")), edges)
     return fp, reps, labels
 
 

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_bktree
+from . import cdc_dedup, simhash_bktree
 from .common import read_table
 
 
+def op2_cdc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cdc_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("cdc_bytes").alias("n_bytes"), F.col("cdc_chunks").alias("n_chunks"),
+                      F.col("cdc_duplicates").alias("n_duplicate_chunks"), F.col("cdc_removed").alias("n_removed"),
+                      F.col("cdc_spans").alias("n_spans"), "text")
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_bktree.simhash_components(read_table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op8_simhash_bktree": op8_simhash_bktree}
+QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op8_simhash_bktree": op8_simhash_bktree}
 ORACLES: dict[str, str] = {}

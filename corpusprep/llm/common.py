@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are handled in slices of about this many bytes, so that numpy work arrays stay small.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

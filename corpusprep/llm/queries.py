@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cdc_dedup, simhash_bktree
+from . import cdc_dedup, simhash_bktree, string_tiling
 from .common import read_table
 
 
@@ -16,10 +16,15 @@ def op2_cdc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("cdc_spans").alias("n_spans"), "text")
 
 
+def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.contaminated_pairs(read_table(spark, sf_dir, "documents"),
+                                            read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_bktree.simhash_components(read_table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op8_simhash_bktree": op8_simhash_bktree}
+QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op8_simhash_bktree": op8_simhash_bktree}
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cdc_dedup, simhash_bktree, string_tiling
+from . import cdc_dedup, pu_quality, simhash_bktree, string_tiling
 from .common import read_table
 
 
@@ -21,10 +21,18 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = pu_quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = pu_quality.score(docs, net).select("doc_id", pu_quality.held_out().alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= pu_quality.THRESHOLD).cast("int"))
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_bktree.simhash_components(read_table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op8_simhash_bktree": op8_simhash_bktree}
+QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op6_pu_quality": op6_pu_quality,
+           "op8_simhash_bktree": op8_simhash_bktree}
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cdc_dedup, pu_quality, simhash_bktree, string_tiling
+from . import cdc_dedup, inverted_multi_index, pu_quality, simhash_bktree, string_tiling
 from .common import read_table
 
 
@@ -33,6 +33,12 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return inverted_multi_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op6_pu_quality": op6_pu_quality,
-           "op8_simhash_bktree": op8_simhash_bktree}
+           "op8_simhash_bktree": op8_simhash_bktree,
+           "op10_inverted_multi_index": op10_inverted_multi_index}
 ORACLES: dict[str, str] = {}

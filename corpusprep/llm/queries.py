@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cdc_dedup, inverted_multi_index, pu_quality, simhash_bktree, string_tiling
+from . import cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling
 from .common import read_table
 
 
@@ -28,6 +28,10 @@ def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= pu_quality.THRESHOLD).cast("int"))
 
 
+def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_differencing.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash_bktree.simhash_components(read_table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -39,6 +43,6 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op6_pu_quality": op6_pu_quality,
-           "op8_simhash_bktree": op8_simhash_bktree,
+           "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
            "op10_inverted_multi_index": op10_inverted_multi_index}
 ORACLES: dict[str, str] = {}

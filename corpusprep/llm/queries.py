@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling
+from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling
 from .common import read_table
 
 
@@ -37,6 +37,14 @@ def op8_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = bigru_toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    out = pu_quality.held_out("doc_id", 5, 0).alias("held_out")
+    scored = bigru_toxicity.score(docs, model).select("doc_id", out, "score")
+    return scored.withColumn("predicted", (F.col("score") >= bigru_toxicity.THRESHOLD).cast("int"))
+
+
 def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return inverted_multi_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -44,5 +52,5 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
-           "op10_inverted_multi_index": op10_inverted_multi_index}
+           "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index}
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling
+from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling, temperature_mixing
 from .common import read_table
 
 
@@ -21,6 +21,53 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temperature_mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+#: Bisection as two searches on grids of the exponent, prefix sums over whole sources.
+OP5_SQL = r"""
+WITH units AS (
+  SELECT *, coalesce(source, '') AS src,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS tokens FROM documents),
+sources AS (SELECT src, sum(tokens)::BIGINT AS tokens FROM units GROUP BY src),
+total AS (SELECT sum(tokens)::BIGINT AS budget FROM sources),
+coarse AS (
+  SELECT max(a) AS a0 FROM (
+    SELECT i / 1000.0::DOUBLE AS a, sum(pow(tokens, i / 1000.0::DOUBLE)) AS z,
+           sum(pow(tokens, i / 1000.0::DOUBLE) * ln(tokens) * (i / 1000.0::DOUBLE)) AS wl, count(*) AS n
+    FROM sources, range(0, 1001) g(i) WHERE tokens > 0 GROUP BY i)
+  WHERE CASE WHEN n > 1 THEN (ln(z) - wl / z) / ln(n) ELSE 1 END >= 0.95 - 1e-12),
+fine AS (
+  SELECT least(1.0, max(a)) AS a FROM (
+    SELECT round(a0 + j / 1000000.0::DOUBLE, 6) AS a, sum(pow(tokens, round(a0 + j / 1000000.0::DOUBLE, 6))) AS z,
+           sum(pow(tokens, round(a0 + j / 1000000.0::DOUBLE, 6)) * ln(tokens) * round(a0 + j / 1000000.0::DOUBLE, 6)) AS wl,
+           count(*) AS n
+    FROM sources, coarse, range(0, 1001) g(j) WHERE tokens > 0 GROUP BY j, a0)
+  WHERE CASE WHEN n > 1 THEN (ln(z) - wl / z) / ln(n) ELSE 1 END >= 0.95 - 1e-12),
+norm AS (SELECT sum(pow(tokens, a)) AS z FROM sources, fine WHERE tokens > 0),
+budgets AS (
+  SELECT src, tokens, CASE WHEN tokens > 0 THEN floor(round(pow(tokens, a) / z, 9) * budget)::BIGINT ELSE 0 END AS budget
+  FROM sources, fine, norm, total),
+plan AS (
+  SELECT src, tokens, budget, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS whole,
+         CASE WHEN tokens > 0 THEN budget % tokens ELSE -1 END AS rest FROM budgets),
+ranked AS (
+  SELECT u.*, p.tokens AS all_tokens, p.budget, p.whole, p.rest,
+         sum(u.tokens) OVER (PARTITION BY u.src ORDER BY md5('11:' || p.whole || ':' || u.src || ':' || u.doc_id)
+                             ROWS UNBOUNDED PRECEDING) AS upto
+  FROM units u JOIN plan p USING (src)),
+copies AS (
+  SELECT *, unnest(range(0, whole + CASE WHEN rest >= 0 AND upto <= rest THEN 1 ELSE 0 END)) AS block FROM ranked)
+SELECT doc_id, text, lang, source, n_chars, block,
+       round(least((block + CAST('0x' || substr(md5('11:' || block || ':' || src || ':' || doc_id), 1, 12) AS BIGINT)
+                    / 281474976710656.0::DOUBLE)
+                   / greatest(CASE WHEN all_tokens > 0 THEN budget / all_tokens::DOUBLE ELSE 1 END, 1e-9),
+                   1 - pow(2, -40)), 12) AS mix_key
+FROM copies
+"""
+
+
 def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     net = pu_quality.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -50,7 +97,8 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inverted_multi_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
-QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling, "op6_pu_quality": op6_pu_quality,
+QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
+           "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
            "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_temperature_mixing": OP5_SQL}

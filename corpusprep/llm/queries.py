@@ -5,10 +5,96 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, simhash_bktree, string_tiling, temperature_mixing
+from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, revisits, simhash_bktree, string_tiling, temperature_mixing
 from .common import read_table
 
 
+def archive_records(pages: DataFrame) -> DataFrame:
+    """Two captures per page: a response (every 13th a 404) and, days later, a 304 at another spelling of its URL.
+
+    By the page id's last digit the 304 repeats the tag (most), changes it (0), weakens it (1, 2), has a date only
+    (3: equal, 5: changed) or no validator (4); every 17th page's first capture is missing.
+    """
+    digit = F.col("page_id") % 10
+    tag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 16), F.lit('"'))
+    day = F.concat(F.lit("Mon, "), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit(" Jan 2024 00:00:00 GMT"))
+    start = F.lit(1_704_067_200).cast("long") + F.col("page_id") * 37
+    later = start + F.lit(86_400) * (digit + 1)
+    first = F.struct(
+        (F.col("page_id") * 2).alias("record_id"), F.col("url").alias("target_uri"), F.timestamp_seconds(start).alias("captured_at"),
+        F.when(F.col("page_id") % 17 == 16, "missing").otherwise("response").alias("record_type"),
+        F.when(F.col("page_id") % 13 == 12, 404).otherwise(200).alias("status"),
+        F.create_map(
+            F.lit("Content-Type"), F.lit("text/html; charset=utf-8"),
+            F.lit("Content-Length"), F.octet_length("html").cast("string"),
+            F.lit("ETag"), F.when(digit == 3, F.lit("")).otherwise(tag), F.lit("Last-Modified"), day,
+            F.lit("Cache-Control"), F.lit("max-age=60"), F.lit("Server"), F.lit("a")).alias("headers"))
+    second = F.struct(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        F.concat(F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "^https?://", "HTTP://"), F.lit("#again")).alias("target_uri"),
+        F.timestamp_seconds(later).alias("captured_at"), F.lit("revisit").alias("record_type"), F.lit(304).alias("status"),
+        F.create_map(
+            F.lit("date"), day, F.lit("cache-control"), F.lit("max-age=120"), F.lit("content-length"), F.lit("0"),
+            F.lit("connection"), F.lit("keep-alive, X-Hop"), F.lit("x-hop"), F.lit("1"), F.lit("Expires"), F.lit("0"),
+            F.lit("etag"), F.when(digit == 0, F.lit('"other"')).when(digit <= 2, F.concat(F.lit("W/"), tag))
+            .when(digit <= 5, F.lit("")).otherwise(tag),
+            F.lit("last-modified"), F.when(digit == 5, F.lit("Tue, 01 Jan 1980 00:00:00 GMT")).when(digit == 4, F.lit(""))
+            .otherwise(day)).alias("headers"))
+    return pages.select(F.explode(F.array(first, second)).alias("r")).select("r.*")
+
+
+def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve_revisits(archive_records(read_table(spark, sf_dir, "pages")))
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return out.select("record_id", "canonical_url", F.unix_seconds("captured_at").alias("captured_s"), "response_id",
+                      F.unix_seconds("response_at").alias("response_s"), "resolution", lines.alias("merged_headers"))
+
+
+#: The as-of join by DuckDB's own ASOF JOIN; headers merged as rows.
+OP1_SQL = r"""
+WITH parts AS (
+  SELECT page_id, html, page_id % 10 AS digit,
+         regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::[0-9]*)?([^?#]*)(?:\?([^#]*))?(?:#.*)?$',
+                        ['host', 'path', 'query']) AS u
+  FROM pages),
+keyed AS (
+  SELECT page_id, html, digit,
+         regexp_replace(lower(u.host), '^www\.', '')
+           || CASE WHEN regexp_replace(u.path, '/+$', '') = '' THEN '/' ELSE regexp_replace(u.path, '/+$', '') END
+           || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS k
+  FROM (SELECT *, list_filter(string_split(u.query, '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p),
+          '^(utm_[^=]*|gclid|fbclid|msclkid|sessionid|phpsessid|jsessionid|sid|ref)(=|$)')) AS q FROM parts)),
+facts AS (
+  SELECT *, '"' || substr(md5(html), 1, 16) || '"' AS tag, strlen(html) AS size,
+         'Mon, ' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || ' Jan 2024 00:00:00 GMT' AS day,
+         1704067200 + page_id * 37 AS t0, 1704067200 + page_id * 37 + 86400 * (digit + 1) AS t1 FROM keyed),
+responses AS (
+  SELECT page_id * 2 AS response_id, k, t0, CASE WHEN digit = 3 THEN '' ELSE tag END AS etag, day, size
+  FROM facts WHERE page_id % 17 <> 16 AND page_id % 13 <> 12),
+visits AS (
+  SELECT page_id * 2 + 1 AS record_id, k, t1, day,
+         CASE WHEN digit = 0 THEN '"other"' WHEN digit <= 2 THEN 'W/' || tag WHEN digit <= 5 THEN '' ELSE tag END AS etag,
+         CASE WHEN digit = 5 THEN 'Tue, 01 Jan 1980 00:00:00 GMT' WHEN digit = 4 THEN '' ELSE day END AS modified FROM facts),
+joined AS (
+  SELECT v.*, r.response_id, r.t0, r.etag AS r_etag, r.day AS r_modified, r.size
+  FROM visits v ASOF LEFT JOIN responses r ON v.k = r.k AND v.t1 > r.t0),
+judged AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
+                 WHEN etag <> '' AND r_etag <> '' THEN
+                   CASE WHEN replace(etag, 'W/', '') = r_etag THEN 'resolved' ELSE 'etag_mismatch' END
+                 WHEN modified <> '' THEN CASE WHEN modified = r_modified THEN 'resolved' ELSE 'date_mismatch' END
+                 ELSE 'no_validator' END AS resolution FROM joined)
+SELECT record_id, k AS canonical_url, t1 AS captured_s, response_id, t0 AS response_s, resolution,
+       CASE WHEN resolution = 'resolved' THEN
+         'cache-control: max-age=120' || chr(10) || 'content-length: ' || size || chr(10)
+         || 'content-type: text/html; charset=utf-8' || chr(10) || 'date: ' || day || chr(10)
+         || coalesce('etag: ' || coalesce(nullif(etag, ''), nullif(r_etag, '')) || chr(10), '')
+         || 'expires: 0' || chr(10) || 'last-modified: ' || coalesce(nullif(modified, ''), r_modified) || chr(10)
+         || 'server: a' END AS merged_headers
+FROM judged
+"""
+
+
 def op2_cdc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cdc_dedup.deduplicate(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("cdc_bytes").alias("n_bytes"), F.col("cdc_chunks").alias("n_chunks"),
@@ -97,8 +183,8 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inverted_multi_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
-QUERIES = {"op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
+QUERIES = {"op1_revisits": op1_revisits, "op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
            "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
            "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index}
-ORACLES: dict[str, str] = {"op5_temperature_mixing": OP5_SQL}
+ORACLES: dict[str, str] = {"op1_revisits": OP1_SQL, "op5_temperature_mixing": OP5_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, revisits, simhash_bktree, string_tiling, temperature_mixing
+from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, revisits, simhash_bktree, string_tiling, suffix_dedup, temperature_mixing
 from .common import read_table
 
 
@@ -107,6 +107,11 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temperature_mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -184,7 +189,7 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_revisits": op1_revisits, "op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
-           "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
+           "op4_suffix_dedup": op4_suffix_dedup, "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
            "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index}
 ORACLES: dict[str, str] = {"op1_revisits": OP1_SQL, "op5_temperature_mixing": OP5_SQL}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, revisits, simhash_bktree, string_tiling, suffix_dedup, temperature_mixing
 from .common import read_table
 
@@ -191,5 +193,5 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_revisits": op1_revisits, "op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
-           "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index}
+           "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index, "pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {"op1_revisits": OP1_SQL, "op5_temperature_mixing": OP5_SQL}

@@ -1,32 +1,42 @@
 """Exact and near-duplicate removal.
 
 Exact: one 128-bit key per document, the smallest id per key survives.
-Near: 64-bit SimHash fingerprints, band keys (pigeonhole over blocks) to find
-every pair of distinct fingerprints within a Hamming distance, connected
-components over those pairs, the smallest id per component survives.
+Near: 64-bit SimHash fingerprints, band keys (pigeonhole over blocks) to bring any
+two distinct fingerprints within a Hamming distance together, connected components
+over the links found, the smallest id per component survives.
 
 Scale notes
 * Keys are aggregated with ``groupBy(key).agg(min(id))``: the partial
   aggregate collapses a hot key (a third of all rows being one text) to one
   row per map task before the shuffle; survivors are joined back on the
   unique id, so no join key is skewed and the text never goes through a sort.
-* Equal fingerprints are collapsed before the band join, so copies never
-  produce pairs; a pair is emitted only by the first band that finds it, so
-  no distinct() over the candidate pairs is needed.
+* Equal fingerprints are collapsed first, so copies never produce pairs.
+* A band bucket is compared inside one task only up to ``CELL`` fingerprints; a
+  larger one is dealt as a grid of cells, each a pair of its blocks, so the
+  largest task does a bounded number of comparisons whatever the bucket.
+* For components a cell returns a spanning forest of its links: a family of m
+  near copies gives O(m) edges, not m squared.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import NON_CHARACTER_CLASS, PUNCT_PATTERN, code_points, col_, whitespace_tokens
-from .components import connected_components
+from ..functions.text import NON_CHARACTER_CLASS, col_
+from ..session import materialize
+from .components import component_roots
+
+#: Fingerprints of one bucket that a single task compares with each other.
+CELL = 4096
 
 
 # ================================================================ exact
@@ -57,96 +67,51 @@ def document_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", lo
 
 # ================================================================ simhash
 
-def simhash_tokens(text: str | Column, tokenization: str = "space", lowercase: bool = True,
-                   ignore_pattern: str | None = None) -> Column:
+def _vote(digests: bytes) -> int:
+    """Bit vote over 8-byte big-endian digests: a bit is set when over half of them have it."""
+    h = np.frombuffer(digests, dtype=">u8").astype("<u8")
+    votes = np.zeros(64, dtype=np.int64)
+    for lo in range(0, len(h), 1 << 15):
+        votes += np.unpackbits(h[lo:lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str | Column, tokenization: str = "space", window_size: int = 6, lowercase: bool = True,
+                ignore_pattern: str | None = None) -> Column:
+    """64-bit SimHash (signed BIGINT) over the md5 of token shingles; null when the text has no tokens.
+
+    Fewer tokens than the window make one shingle of all. Normalization runs in the JVM;
+    one Arrow pass splits, hashes and votes.
+    """
+    if tokenization not in ("space", "character"):
+        raise ValueError(f"unsupported tokenization {tokenization!r}")
     t = col_(text)
     if lowercase:
         t = F.lower(t)
     if ignore_pattern:
         t = F.regexp_replace(t, ignore_pattern, "")
-    if tokenization == "space":
-        return whitespace_tokens(t)
-    if tokenization == "character":
-        return code_points(t)
-    raise ValueError(f"unsupported tokenization {tokenization!r}")
-
-
-def shingle_hashes(tokens: Column, window_size: int, sep: str) -> Column:
-    """64-bit hashes of the token shingles; fewer tokens than the window give one shingle of all.
-
-    ``tokens`` must be a column reference (computed in an earlier projection):
-    it is read once per shingle inside the lambda.
-    """
-    n = F.size(tokens)
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - window_size + 1, F.lit(1))),
-                    lambda i: hash64(F.array_join(F.slice(tokens, i, window_size), sep))))
-
-
-def hash64(c: Column) -> Column:
-    """Signed 64-bit value of the first 16 hex digits of md5 (portable to SQL)."""
-    return F.conv(F.substring(F.md5(c), 1, 16), 16, -10).cast("long")
-
-
-_BITS = np.arange(64, dtype=np.uint64)
-
-
-@F.pandas_udf(T.LongType())
-def _fingerprint_from_hashes(hashes: pd.Series) -> pd.Series:
-    """Bit-vote over shingle hashes: bit b is 1 when more hashes have it set than not."""
-    lens = hashes.map(lambda a: 0 if a is None else len(a)).to_numpy(dtype=np.int64)
-    out = np.zeros(len(hashes), dtype=np.int64)
-    nz = lens > 0
-    if nz.any():
-        flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in hashes[nz]]).view(np.uint64)
-        votes = ((flat[:, None] >> _BITS) & np.uint64(1)).astype(np.int64) * 2 - 1
-        starts = np.concatenate([[0], np.cumsum(lens[nz])[:-1]])
-        sums = np.add.reduceat(votes, starts, axis=0)
-        fp = ((sums > 0).astype(np.uint64) << _BITS).sum(axis=1, dtype=np.uint64)
-        out[nz] = fp.view(np.int64)
-    res = pd.Series(out, dtype="Int64")
-    res[~nz] = pd.NA
-    return res
-
-
-def shingle_digests(tokens: Column, window_size: int, sep: str) -> Column:
-    """First 8 bytes of each shingle's md5 (the bytes behind ``hash64``), as binary."""
-    n = F.size(tokens)
-    return F.when(n == 0, F.array().cast("array<binary>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - window_size + 1, F.lit(1))),
-                    lambda i: F.unhex(F.substring(F.md5(F.array_join(F.slice(tokens, i, window_size), sep)), 1, 16))))
-
-
-@F.pandas_udf(T.LongType())
-def _fingerprint_from_digests(digests: pd.Series) -> pd.Series:
-    """Bit vote over 8-byte big-endian shingle digests, one numpy pass per Arrow batch."""
-    lens = np.fromiter((0 if a is None else len(a) for a in digests), dtype=np.int64, count=len(digests))
-    out = pd.Series(pd.NA, index=digests.index, dtype="Int64")
-    nz = np.flatnonzero(lens)
-    if nz.size:
-        raw = b"".join(b"".join(digests.iat[i]) for i in nz)
-        h = np.frombuffer(raw, dtype=">u8").astype("<u8")
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")  # column b = bit b
-        starts = np.concatenate([[0], np.cumsum(lens[nz])[:-1]])
-        ones = np.add.reduceat(bits.astype(np.int32), starts, axis=0)
-        fp = ((ones * 2 > lens[nz][:, None]).astype(np.uint64) << _BITS).sum(axis=1, dtype=np.uint64)
-        out.iloc[nz] = fp.view(np.int64)
-    return out
-
-
-def with_fingerprint(df: DataFrame, text_col: str = "text", out_col: str = "fp", tokenization: str = "space",
-                     window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None) -> DataFrame:
-    """Add a 64-bit SimHash (signed BIGINT; null when the text has no tokens).
-
-    Tokens are computed in their own projection, shingles and md5 hashes JVM-side;
-    only the per-document array of 64-bit hashes crosses to Python, where one
-    numpy pass per Arrow batch does the 64 bit votes. No shuffle.
-    """
-    sep = " " if tokenization == "space" else ""
-    toks = "__simhash_tokens"
-    staged = df.withColumn(toks, simhash_tokens(text_col, tokenization, lowercase, ignore_pattern))
-    return staged.withColumn(out_col, _fingerprint_from_digests(shingle_digests(F.col(toks), window_size, sep))
-                             ).drop(toks)
+    md5, by_word = hashlib.md5, tokenization == "space"
+
+    @F.pandas_udf(T.LongType())
+    def simhash(texts: pd.Series) -> pd.Series:
+        out = []
+        for x in texts:
+            tokens = (x or "").split() if by_word else (x or "")
+            if not tokens:
+                out.append(None)
+                continue
+            n = max(1, len(tokens) - window_size + 1)
+            shingles = (" ".join(tokens[i:i + window_size]) for i in range(n)) if by_word else \
+                (tokens[i:i + window_size] for i in range(n))
+            out.append(_vote(b"".join(md5(s.encode("utf-8", "surrogatepass")).digest()[:8] for s in shingles)))
+        return pd.Series(out, dtype="Int64")
+
+    return simhash(t)
+
+
+def fingerprints(df: DataFrame, id_col: str, text_col: str = "text", **args) -> DataFrame:
+    """(id, fp) for every document; fp is null for documents without tokens."""
+    return df.select(id_col, fingerprint(text_col, **args).alias("fp"))
 
 
 # ================================================================ near pairs
@@ -154,141 +119,189 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", out_col: str = "fp",
 def block_masks(num_blocks: int) -> list[int]:
     """Bit masks of ``num_blocks`` contiguous blocks covering bits 0..63 (cut at round(i*64/B))."""
     cuts = [round(i * 64 / num_blocks) for i in range(num_blocks + 1)]
-    masks = []
-    for i in range(num_blocks):
-        m = 0
-        for b in range(cuts[i], cuts[i + 1]):
-            m |= 1 << b
-        masks.append(m)
-    return masks
+    return [sum(1 << b for b in range(cuts[i], cuts[i + 1])) for i in range(num_blocks)]
 
 
 def _signed(m: int) -> int:
     return m - (1 << 64) if m >= 1 << 63 else m
 
 
-def choose_num_blocks(n: int, hamming_distance: int, min_blocks: int, max_extra: int = 8) -> int:
-    """Blocks B (>= min_blocks) minimising band rows + expected same-bucket pairs for n fingerprints.
-
-    With B blocks, k = B - h blocks per band: C(B, k) bands per fingerprint of
-    about 64k/B key bits, so n*C + C*n^2 / 2^bits / 2 units of work. Any B > h
-    gives the same (exact) pairs; only the cost changes.
+def _candidates(fp: np.ndarray, cell: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs to compare, in blocks: all of a cell, or only across the two sides of one. Rows are sorted by cell."""
+    n = len(fp)
+    size = np.diff(np.append(np.flatnonzero(np.append(True, cell[1:] != cell[:-1])), n))
+    end = np.repeat(np.cumsum(size), size)
+    small = np.repeat(size, size) <= 64
+    at = np.flatnonzero(small)
+    step = 1
+    while at.size:  # row i against row i + step of its cell
+        at = at[at + step < end[at]]
+        ok = (side[at] == side[at + step]) == (side[at] < 0)
+        if ok.any():
+            yield at[ok], at[ok] + step
+        step += 1
+    start = np.cumsum(size) - size
+    for lo, m in zip(start[size > 64].tolist(), size[size > 64].tolist()):
+        if side[lo] < 0:
+            for a in range(lo, lo + m, 256):
+                i, j = np.meshgrid(np.arange(a, min(a + 256, lo + m)), np.arange(a, lo + m), indexing="ij")
+                keep = j > i
+                yield i[keep], j[keep]
+        else:
+            left, right = lo + np.flatnonzero(side[lo:lo + m] == 0), lo + np.flatnonzero(side[lo:lo + m] == 1)
+            for a in range(0, len(left), 256):
+                i, j = np.meshgrid(left[a:a + 256], right, indexing="ij")
+                yield i.ravel(), j.ravel()
+
+
+def _dealt(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int) -> DataFrame:
+    """(band, key, i, j, side, fp): every distinct fingerprint in every cell where it meets the ones it may be near to.
+
+    ``side`` is -1 in a cell that is compared as a whole, 0 or 1 in one that holds two blocks of a bucket.
     """
-    from math import comb
-
-    lo = max(min_blocks, hamming_distance + 1)
-    best, best_cost = lo, None
-    for b in range(lo, lo + max_extra + 1):
-        k = b - hamming_distance
-        bands = comb(b, k)
-        cost = n * bands + bands * float(n) * n / (2 ** (64 * k / b)) / 2
-        if best_cost is None or cost < best_cost:
-            best, best_cost = b, cost
-    return best
-
-
-def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
+    k = num_blocks - hamming_distance
+    if k < 1:
+        raise ValueError("num_blocks must exceed hamming_distance for an exact band search")
+    masks = block_masks(num_blocks)
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(_signed(sum(masks[i] for i in c))).cast("long").alias("m"))
+                      for b, c in enumerate(combinations(range(num_blocks), k))])
+    banded = fps.select("fp", F.explode(bands).alias("k")).select(
+        "k.band", F.col("fp").bitwiseAND(F.col("k.m")).alias("key"), "fp")
+    # only buckets over the limit are listed; written, so that AQE sees their number and can split a hot one
+    large = materialize(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell).select(
+        "band", "key", F.ceil(F.col("n") / cell).cast("int").alias("blocks")), "large-buckets")
+    placed = banded.join(large, ["band", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).otherwise(F.lit(0))
+    placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select(
+        "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "fp")
+
+
+def _search(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int, spanning: bool) -> DataFrame:
+    """(fp_a, fp_b, distance): all pairs, each once, or a spanning forest of the links of every cell."""
+    masks = np.array([m for m in block_masks(num_blocks)], dtype=np.uint64)
+    combos = list(combinations(range(num_blocks), num_blocks - hamming_distance))
+    members = np.zeros((len(combos), num_blocks), dtype=bool)
+    for b, c in enumerate(combos):
+        members[b, list(c)] = True
+    last = np.array([max(c) for c in combos])
+
+    def pairs(fp, band, cells, side):
+        for a, b in _candidates(fp, cells, side):
+            x = fp[a] ^ fp[b]
+            d = np.bitwise_count(x)
+            near = d <= hamming_distance
+            if near.any():
+                yield a[near], b[near], x[near], d[near]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_cells(batches):
+            fp = t["fp"].to_numpy().view(np.uint64)
+            band, side = t["band"].to_numpy(), t["side"].to_numpy()
+            cells = _cell_numbers(t)
+            comp = np.arange(len(fp))
+            for a, b, x, d in pairs(fp, band, cells, side):
+                if not spanning:
+                    # a pair is given by the band of its first agreeing blocks only
+                    agree = (x[:, None] & masks) == 0
+                    below = np.arange(num_blocks) <= last[band[a]][:, None]
+                    first = ~(agree & below & ~members[band[a]]).any(axis=1)
+                    lo, hi = fp[a][first].view(np.int64), fp[b][first].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(lo, hi)), pa.array(np.maximum(lo, hi)), pa.array(d[first].astype(np.int32))],
+                        names=["fp_a", "fp_b", "distance"])
+                    continue
+                while True:
+                    ra, rb = comp[a], comp[b]
+                    apart = ra != rb
+                    if not apart.any():
+                        break
+                    np.minimum.at(comp, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
+                    while not np.array_equal(up := comp[comp], comp):
+                        comp = up
+            linked = np.flatnonzero(comp != np.arange(len(comp)))
+            if linked.size:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fp[linked].view(np.int64)), pa.array(fp[comp[linked]].view(np.int64)),
+                     pa.nulls(len(linked), pa.int32())], names=["fp_a", "fp_b", "distance"])
+
+    order = ["band", "key", "i", "j"]
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (_dealt(fps, num_blocks, hamming_distance, cell).repartition(n, *order).sortWithinPartitions(*order)
+            .mapInArrow(run, "fp_a long, fp_b long, distance int"))
+
+
+def _cell_numbers(t: pa.Table) -> np.ndarray:
+    new = np.zeros(t.num_rows, dtype=np.int64)
+    for c in ("band", "key", "i", "j"):
+        v = t[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.cumsum(new)
+
+
+def _whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches joined and cut so that no cell is split."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        t = pa.Table.from_batches(held)
+        cells = _cell_numbers(t)
+        cut = int(np.searchsorted(cells, cells[-1]))
+        if cut:
+            yield t.slice(0, cut).combine_chunks()
+            held = t.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_distance: int = 4,
+               cell: int = CELL) -> DataFrame:
     """Every pair of distinct fingerprints within ``hamming_distance`` bits.
 
     Input: one row per distinct fingerprint (``fp_col``). Output: (fp_a, fp_b,
     distance) with fp_a < fp_b. Two fingerprints within h bits agree on at least
     B - h of the B blocks (pigeonhole), so they share the key (band, masked
     value) of at least one band of B - h blocks: the result is exact for any B.
-    A pair is kept only by the band made of its B - h lowest agreeing blocks, so
-    the candidate pairs need no distinct(). The bands are one constant array,
-    exploded per fingerprint.
+    A pair is given only by the band made of its B - h lowest agreeing blocks, so
+    the pairs need no distinct().
     """
-    k = num_blocks - hamming_distance
-    if k < 1:
-        raise ValueError("num_blocks must exceed hamming_distance for an exact band search")
-    masks = block_masks(num_blocks)
-    bands = []
-    for c in combinations(range(num_blocks), k):
-        cm = sum(1 << i for i in c)
-        below = ((1 << (max(c) + 1)) - 1) & ~cm
-        bands.append(F.struct(F.lit(cm).alias("cmask"), F.lit(below).alias("cbelow"),
-                              F.lit(_signed(sum(masks[i] for i in c))).cast("long").alias("m")))
-    banded = fps.select(F.col(fp_col).alias("fp"), F.explode(F.array(*bands)).alias("k")).select(
-        "fp", "k.cmask", "k.cbelow", F.col("fp").bitwiseAND(F.col("k.m")).alias("band"))
-    a, b = banded.alias("a"), banded.alias("b")
-    x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    dist = F.bit_count(x)
-    # blocks on which the pair agrees, as a bit set; no agreeing block may lie
-    # below the band's highest block outside the band
-    agree = sum((F.when(x.bitwiseAND(F.lit(_signed(m)).cast("long")) == 0, F.lit(1 << i)).otherwise(F.lit(0))
-                 for i, m in enumerate(masks)), F.lit(0))
-    pairs = a.join(b, (F.col("a.cmask") == F.col("b.cmask")) & (F.col("a.band") == F.col("b.band"))
-                   & (F.col("a.fp") < F.col("b.fp")) & (dist <= F.lit(hamming_distance))
-                   & (agree.bitwiseAND(F.col("a.cbelow")) == 0))
-    return pairs.select(F.col("a.fp").alias("fp_a"), F.col("b.fp").alias("fp_b"), dist.cast("int").alias("distance"))
+    return _search(fps.select(F.col(fp_col).alias("fp")), num_blocks, hamming_distance, cell, spanning=False)
 
 
-# ================================================================ simhash dedup
-
-def fingerprints(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
-                 window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None) -> DataFrame:
-    """(id, fp) for every document; fp is null for documents without tokens."""
-    return with_fingerprint(df.select(id_col, text_col), text_col, "fp", tokenization, window_size, lowercase,
-                            ignore_pattern).select(id_col, "fp")
-
+def near_links(fps: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = CELL) -> DataFrame:
+    """(fp_a, fp_b): links whose components are those of ``near_pairs``, O(m) of them for a family of m."""
+    return _search(fps, num_blocks, hamming_distance, cell, spanning=True).select("fp_a", "fp_b").distinct()
 
-def simhash_clusters(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
-                     window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None,
-                     num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
-    """(id, cluster) where cluster is the smallest id of the document's near-duplicate component.
-
-    Documents without tokens are their own cluster.
-    """
-    fp, reps, labels = _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern,
-                                   num_blocks, hamming_distance)
-    # joined on the fingerprint: AQE splits a hot fingerprint (many copies) on the big side
-    rep_label = reps.join(labels, reps.rep == labels.node).select("fp", F.col("label").alias("cluster"))
-    return (fp.join(rep_label, "fp", "left")
-            .select(F.col(id_col), F.coalesce(F.col("cluster"), F.col(id_col)).alias("cluster")))
 
+# ================================================================ simhash dedup
 
-def document_simhash_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
-                                  window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None,
-                                  num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
+def cluster_fingerprints(keyed: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = CELL) -> DataFrame:
+    """(id, key) -> (id, kept_id): the smallest id of the near-duplicate component; null keys are left out."""
+    keyed = keyed.where(F.col("key").isNotNull())
+    reps = materialize(keyed.groupBy(F.col("key").alias("fp")).agg(F.min("id").alias("rep")), "fingerprints")
+    links = near_links(reps.select("fp"), num_blocks, hamming_distance, cell)
+    roots = component_roots(links, "fp_a", "fp_b").withColumnRenamed("node", "fp")
+    rooted = reps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(F.min("rep").alias("kept_id"))
+    names = rooted.join(kept, "root").select(F.col("fp").alias("key"), "kept_id")
+    # joined on the fingerprint: AQE splits a hot one (many copies) on the big side
+    return keyed.join(names, "key").select("id", "kept_id")
+
+
+def simhash_clusters(df: DataFrame, id_col: str, text_col: str = "text", num_blocks: int = 6,
+                     hamming_distance: int = 4, **args) -> DataFrame:
+    """(id, cluster): the smallest id of the document's near-duplicate component; without tokens its own id."""
+    keyed = materialize(df.select(F.col(id_col).alias("id"), fingerprint(text_col, **args).alias("key")), "simhash")
+    kept = cluster_fingerprints(keyed, num_blocks, hamming_distance)
+    alone = keyed.where(F.col("key").isNull()).select("id", F.col("id").alias("kept_id"))
+    return kept.unionByName(alone).select(F.col("id").alias(id_col), F.col("kept_id").alias("cluster"))
+
+
+def document_simhash_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", num_blocks: int = 6,
+                                  hamming_distance: int = 4, **args) -> DataFrame:
     """Keep the smallest-id document of every near-duplicate cluster."""
-    keep = simhash_survivors(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern,
-                             num_blocks, hamming_distance)
-    return df.join(keep, id_col, "left_semi")
-
-
-def simhash_survivors(df: DataFrame, id_col: str, text_col: str = "text", tokenization: str = "space",
-                      window_size: int = 6, lowercase: bool = True, ignore_pattern: str | None = None,
-                      num_blocks: int = 6, hamming_distance: int = 4) -> DataFrame:
-    """Ids that survive near-dedup: every component's smallest id, plus documents without tokens.
-
-    The component minimum is always some fingerprint's smallest id, so no
-    document has to be joined back on its fingerprint (a hot key when copies
-    abound): the survivors come straight from the label table.
-    """
-    fp, reps, labels = _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern,
-                                   num_blocks, hamming_distance)
-    roots = labels.where(F.col("node") == F.col("label")).select(F.col("node").alias(id_col))
-    return roots.unionByName(fp.where(F.col("fp").isNull()).select(id_col))
-
-
-def _components(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern, num_blocks,
-                hamming_distance):
-    fp = _materialize(fingerprints(df, id_col, text_col, tokenization, window_size, lowercase, ignore_pattern))
-    # one node per distinct fingerprint, named by its smallest document id
-    reps = fp.where(F.col("fp").isNotNull()).groupBy("fp").agg(F.min(id_col).alias("rep")).checkpoint(eager=True)
-    # band width from the number of distinct fingerprints (same pairs, bounded bucket sizes)
-    blocks = choose_num_blocks(reps.count(), hamming_distance, num_blocks)
-    pairs = near_pairs(reps.select("fp"), "fp", blocks, hamming_distance)
-    ra, rb = reps.alias("ra"), reps.alias("rb")
-    edges = (pairs.join(ra, F.col("fp_a") == F.col("ra.fp")).join(rb, F.col("fp_b") == F.col("rb.fp"))
-             .select(F.col("ra.rep").alias("src"), F.col("rb.rep").alias("dst")))
-    labels = connected_components(reps.select(F.col("rep").alias("node")), edges)
-    return fp, reps, labels
-
-
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the session's shared checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    keep = simhash_clusters(df, id_col, text_col, num_blocks, hamming_distance, **args)
+    return df.join(keep.where(F.col("cluster") == F.col(id_col)).select(id_col), id_col, "left_semi")

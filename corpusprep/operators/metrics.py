@@ -26,13 +26,13 @@ def argmax_last(values: str | Column) -> Column:
 
 
 def shifted_matches(preds: str | Column, labels: str | Column) -> Column:
-    """struct(hits, total): labels[1:] against preds[:-1] position by position."""
+    """One 0/1 per position: labels[1:] against preds[:-1]. Arrays of unequal length are an error."""
     p, l = col_(preds), col_(labels)
-    n = F.least(F.size(p), F.size(l)) - 1
-    pairs = F.zip_with(F.slice(p, 1, F.greatest(n, F.lit(0))), F.slice(l, 2, F.greatest(n, F.lit(0))),
-                       lambda a, b: F.when(a == b, F.lit(1)).otherwise(F.lit(0)))
-    return F.struct(F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, x: acc + x).alias("hits"),
-                    F.size(pairs).cast("long").alias("total"))
+    n = F.greatest(F.size(p) - 1, F.lit(0))
+    same = F.when(F.size(p) == F.size(l), n).otherwise(
+        F.raise_error(F.lit("predictions and labels differ in length")).cast("int"))
+    return F.zip_with(F.slice(p, 1, same), F.slice(l, 2, same),
+                      lambda a, b: F.when(a == b, F.lit(1)).otherwise(F.lit(0)))
 
 
 def token_accuracy(df: DataFrame, preds_col: str = "preds", labels_col: str = "labels", normalize: bool = True,
@@ -40,18 +40,22 @@ def token_accuracy(df: DataFrame, preds_col: str = "preds", labels_col: str = "l
     """Next-token accuracy over all rows: labels[1:] vs preds[:-1], flattened.
 
     Ignored labels (-100) are compared too and count as misses. ``normalize``
-    gives the share, else the number of hits; ``weight_col`` holds one weight
-    per compared position (array) or per row (number).
+    gives the share, else the (weighted) number of hits; ``weight_col`` holds one
+    weight per compared position (array of that length) or per row (number).
     """
-    m = df.select(shifted_matches(preds_col, labels_col).alias("m"), *( [weight_col] if weight_col else []))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+    hits = df.select(shifted_matches(preds_col, labels_col).alias("h"), *([weight_col] if weight_col else []))
     if weight_col is None:
-        agg = m.agg(F.sum("m.hits").alias("hits"), F.sum("m.total").alias("total"))
-        value = (F.col("hits") / F.col("total")) if normalize else F.col("hits").cast("double")
-        return agg.select(value.cast("double").alias("accuracy"))
-    w = F.col(weight_col)
-    agg = m.agg(F.sum(F.col("m.hits") * w).alias("hits"), F.sum(F.col("m.total") * w).alias("total"))
-    value = (F.col("hits") / F.col("total")) if normalize else F.col("hits")
-    return agg.select(value.cast("double").alias("accuracy"))
+        m = hits.select(total(F.col("h").cast("array<double>")).alias("hit"), F.size("h").cast("double").alias("all"))
+    elif hits.schema[weight_col].dataType.typeName() == "array":
+        w = F.when(F.size(weight_col) == F.size("h"), F.col(weight_col).cast("array<double>")).otherwise(
+            F.raise_error(F.lit("one weight per compared position is needed")).cast("array<double>"))
+        m = hits.select(total(F.zip_with("h", w, lambda x, y: x * y)).alias("hit"), total(w).alias("all"))
+    else:
+        w = F.col(weight_col).cast("double")
+        m = hits.select((total(F.col("h").cast("array<double>")) * w).alias("hit"), (F.size("h") * w).alias("all"))
+    agg = m.agg(F.sum("hit").alias("hit"), F.sum("all").alias("all"))
+    return agg.select((F.col("hit") / F.col("all") if normalize else F.col("hit")).cast("double").alias("accuracy"))
 
 
 def perplexity(df: DataFrame, loss_col: str = "loss") -> DataFrame:

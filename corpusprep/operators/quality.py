@@ -18,10 +18,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import LINE_END, code_points, col_, let
 
-# Above this many flagged words the membership test switches from an in-plan
-# hash set to a broadcast/shuffle join.
-MAX_INLINE_WORDS = 200_000
-
 
 # ---------------------------------------------------------------- null text
 
@@ -54,18 +50,45 @@ def alphanumeric_filter(df: DataFrame, text_col: str = "text", min_ratio: float
 
 # ---------------------------------------------------------------- repetition
 
-def _repetition_ratio_one(text: str | None, rep_len: int) -> float:
-    if text is None:
-        return 0.0
-    cps = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+def _ngram_ranks(cps: np.ndarray, rep_len: int) -> np.ndarray:
+    """An integer per n-gram, equal for equal n-grams: ranks of two overlapping halves, combined and ranked again."""
+    _, rank = np.unique(cps, return_inverse=True)
+    size = 1
+    while size < rep_len:
+        step = min(size, rep_len - size)
+        pair = rank[:-step].astype(np.int64) * (int(rank.max()) + 1) + rank[step:]
+        _, rank = np.unique(pair, return_inverse=True)
+        size += step
+    return rank
+
+
+def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
+    """The ratio of every text, in one pass over all their code points."""
+    out = np.zeros(len(texts))
+    if not texts:
+        return out
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if cps.size < rep_len:
-        return 0.0
-    grams = np.lib.stride_tricks.sliding_window_view(cps, rep_len)
-    keys = np.ascontiguousarray(grams).view(np.dtype((np.void, 4 * rep_len))).ravel()
-    _, counts = np.unique(keys, return_counts=True)
-    counts = np.sort(counts)[::-1]
-    k = min(int(np.sqrt(counts.size)), int((counts > 1).sum()))
-    return float(counts[:k].sum() / counts.sum())
+        return out
+    rank = _ngram_ranks(cps, rep_len)
+    doc = np.repeat(np.arange(len(texts)), size)[:len(rank)]
+    end = np.cumsum(size)
+    own = np.arange(len(rank)) + rep_len <= end[doc]  # n-grams that do not run into the next text
+    doc, rank = doc[own], rank[own]
+    if doc.size == 0:
+        return out
+    gram, count = np.unique(doc * (int(rank.max()) + 1) + rank, return_counts=True)
+    doc = gram // (int(rank.max()) + 1)
+    order = np.lexsort((-count, doc))
+    doc, count = doc[order], count[order]
+    distinct = np.bincount(doc, minlength=len(texts))
+    repeated = np.bincount(doc[count > 1], minlength=len(texts))
+    k = np.minimum(np.floor(np.sqrt(distinct)).astype(np.int64), repeated)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(distinct) - distinct, distinct)
+    top = np.bincount(doc, np.where(place < k[doc], count, 0), len(texts))
+    total = np.bincount(doc, count, len(texts))
+    return np.divide(top, total, out=out, where=total > 0)
 
 
 def character_repetition_ratio(text: str | Column, rep_len: int = 10) -> Column:
@@ -77,7 +100,16 @@ def character_repetition_ratio(text: str | Column, rep_len: int = 10) -> Column:
 
     @F.pandas_udf(T.DoubleType())
     def _ratio(s: pd.Series) -> pd.Series:
-        return pd.Series([_repetition_ratio_one(t, rep_len) for t in s], dtype="float64")
+        texts, done = ["" if t is None else t for t in s], []
+        lo = 0
+        while lo < len(texts):  # slices of about a million characters bound the work arrays
+            hi, n = lo, 0
+            while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= 1 << 20):
+                n += len(texts[hi])
+                hi += 1
+            done.append(_repetition_ratios(texts[lo:hi], rep_len))
+            lo = hi
+        return pd.Series(np.concatenate(done) if done else [], dtype="float64")
 
     return _ratio(col_(text))
 
@@ -113,14 +145,11 @@ def flagged_words_ratio(text: str | Column, words: Iterable[str], mode: str = "w
                         use_words_aug: bool = False) -> Column:
     """Flagged tokens / tokens, capped at 1; 0.0 without tokens.
 
-    The word list is placed in the plan as a literal set: ``IN`` over more than a
-    handful of literals becomes a hash-set lookup (``InSet``), so each token costs
-    O(1) without exploding, joining or shuffling the documents.
+    The word list, of any size, is placed in the plan as a literal set: ``IN`` over
+    more than a handful of literals becomes a hash-set lookup (``InSet``), so each
+    token costs O(1) without exploding, joining or shuffling the documents.
     """
     word_list = sorted({w.lower() for w in words if w})
-    if len(word_list) > MAX_INLINE_WORDS:
-        raise ValueError(f"{len(word_list)} flagged words exceed the in-plan limit {MAX_INLINE_WORDS}; "
-                         "use flagged_words_counts_join")
     toks = word_tokens(text, mode)
     if use_words_aug:
         toks = augment_adjacent(toks)
@@ -141,19 +170,6 @@ def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "t
     return df.where(r <= F.lit(max_ratio))
 
 
-def flagged_words_counts_join(df: DataFrame, words: DataFrame, id_col: str, text_col: str = "text",
-                              mode: str = "word") -> DataFrame:
-    """Large-list variant: (id, n_flagged) for documents with at least one flagged token.
-
-    Tokens are exploded and matched by an equi-join against the word table; the
-    per-document counts are pre-aggregated before the shuffle on ``id_col``.
-    """
-    toks = df.select(F.col(id_col), F.explode(word_tokens(text_col, mode)).alias("word"))
-    w = words.select(F.lower("word").alias("word")).distinct()
-    return (toks.join(w, "word", "left_semi")
-            .groupBy(id_col).agg(F.count(F.lit(1)).alias("n_flagged")))
-
-
 # ---------------------------------------------------------------- lines, length
 
 def maximum_line_length(text: str | Column) -> Column:

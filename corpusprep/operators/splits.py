@@ -1,42 +1,55 @@
 """Row order, splits, sampling.
 
 Spark rows have no order, so every operator that needs one takes an explicit
-``id_col`` (unique). The distributed row index range-partitions on the order
-key, counts rows per partition (one number per partition reaches the driver)
-and adds the partition's offset to the position inside it: no global window,
-no single-partition step.
+``id_col`` (unique). The distributed row index cuts the order key at boundaries
+that are data: quantiles of a bounded sample, chosen by hash and put in the plan
+as literals. Every run, and every retry after a lost executor, therefore puts a
+row in the same bucket; bucket sizes give offsets, ``row_number`` the rest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position in partition
+#: The sample that boundaries are taken from, and buckets as groups times cuts per group.
+SAMPLE_KEYS, GROUPS, CUTS = 16384, 32, 32
 
 
-def with_row_index(df: DataFrame, order_col: str | Column, index_col: str = "row_idx",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based index in ``order_col`` order (``order_col`` must be unique).
+def _bucket(key: Column, bounds: list) -> Column:
+    """How many boundaries lie below ``key``, counted in two steps of about sqrt(n) comparisons."""
+    if not bounds:
+        return F.lit(0)
+    groups = [bounds[i:i + CUTS] for i in range(0, len(bounds), CUTS)]
+    group = F.size(F.filter(F.lit([g[-1] for g in groups]), lambda b: b < key))
+    inside = F.element_at(F.array(*[F.lit(g) for g in groups], F.lit(bounds[:1])), group + 1)
+    more = F.when(group < len(groups), F.size(F.filter(inside, lambda b: b < key))).otherwise(F.lit(0))
+    return F.when(key.isNull(), F.lit(0)).otherwise(group * CUTS + more)
 
-    Range partitioning is deterministic for the same input (its sample is
-    seeded per partition), so the counting pass and the indexing pass see the
-    same partitions, also after a lost executor is recomputed.
+
+def with_row_index(df: DataFrame, order_col: str | Column, index_col: str = "row_idx") -> DataFrame:
+    """Add a 0-based index in ``order_col`` order (``order_col`` must be unique; a null comes first).
+
+    Only the key is sorted: the index is computed on it alone and joined back to the rows.
     """
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     key = F.col(order_col) if isinstance(order_col, str) else order_col
-    ranged = (df.repartitionByRange(n, key).sortWithinPartitions(key)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = dict((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
+    keys = df.select(key.alias("__key"))
+    got = (keys.where(F.col("__key").isNotNull()).orderBy(F.xxhash64("__key"), "__key").limit(SAMPLE_KEYS).collect())
+    sample = sorted(r[0] for r in got)
+    n = GROUPS * CUTS
+    bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
+    bucketed = keys.withColumn("__bucket", _bucket(F.col("__key"), bounds))
+    counts = {r["__bucket"]: r["count"] for r in bucketed.groupBy("__bucket").count().collect()}  # at most n rows
     offsets, acc = [], 0
-    for p in range(n):
+    for b in range(len(bounds) + 2):
         offsets.append(acc)
-        acc += counts.get(p, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return ranged.withColumn(index_col, off + pos).drop("_pid", "_mid")
+        acc += counts.get(b, 0)
+    place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
+    index = (F.element_at(F.lit(offsets), F.col("__bucket") + 1).cast("long") + place - 1).alias(index_col)
+    indexed = bucketed.select("__key", index)
+    if isinstance(order_col, str) and df.columns == [order_col]:
+        return indexed.withColumnRenamed("__key", order_col)
+    return df.join(indexed, key.eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def python_round(x: float) -> int:
@@ -85,7 +98,7 @@ def shuffle(df: DataFrame, seed: int, id_col: str, key_col: str = "shuffle_key")
 
 
 def take(df: DataFrame, n: int | None, id_col: str) -> DataFrame:
-    """The first ``n`` rows in id order when n > 0, else all rows (TakeOrdered: no full sort)."""
+    """The first ``n`` rows in id order when n > 0, else all rows; spread over tasks for any ``n``."""
     if n is None or n <= 0:
         return df
-    return df.orderBy(id_col).limit(n)
+    return with_row_index(df, id_col, "__taken").where(F.col("__taken") < n).drop("__taken")

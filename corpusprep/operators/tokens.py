@@ -108,9 +108,6 @@ class Vocabulary:
             self._bcast = spark.sparkContext.broadcast(list(self.tokens))
         return self._bcast
 
-    def frame(self, spark) -> DataFrame:
-        return spark.createDataFrame(list(enumerate(self.tokens)), "id int, token string")
-
     # -- encode / decode ------------------------------------------------------
     def encode(self, spark, text: str | Column) -> Column:
         """text -> array<int> (unknown pieces -> unk id)."""
@@ -129,7 +126,7 @@ class Vocabulary:
 def decode_ids(df: DataFrame, vocab: Vocabulary, ids: Column, out_col: str = "text", sep: str = " ") -> DataFrame:
     """Add the decoded text of an id-array expression (ids materialized first, then one Arrow stage)."""
     staged = materialize_column(df, "_dec_ids", ids)
-    return staged.withColumn(out_col, vocab.decode(df.sparkSession, F.col("_dec_ids"))).drop("_dec_ids")
+    return staged.withColumn(out_col, vocab.decode(df.sparkSession, F.col("_dec_ids"), sep)).drop("_dec_ids")
 
 
 def build_vocabulary(df: DataFrame, text_col: str = "text", size: int = 32000,
@@ -149,12 +146,6 @@ def build_vocabulary(df: DataFrame, text_col: str = "text", size: int = 32000,
     return Vocabulary(list(specials) + top, tuple(specials), mode)
 
 
-def token_counts(df: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
-    """(id, n): corpus frequency of every vocabulary id (unknown pieces under the unk id)."""
-    ids = df.select(F.explode(vocab.encode(df.sparkSession, F.col(text_col))).alias("id"))
-    return ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-
-
 # ------------------------------------------------------------------ UDFs
 
 def _index_for(bc) -> pd.Index:
@@ -238,6 +229,11 @@ def encoder_udf(make_encoder: Callable[[], Callable[[list[str]], list[list[int]]
 
 # ------------------------------------------------------------------ special tokens
 
+def preference_pad_id(vocab: Vocabulary) -> int:
+    """The pad id of preference training: the vocabulary's own, 0 where it has none."""
+    return 0 if vocab.pad_id is None else vocab.pad_id
+
+
 def resolve_special_tokens(vocab: Vocabulary, template=None) -> Vocabulary:
     """EOS = the template's stop string when missing (or for ``yi``); pad = unk, else EOS."""
     if template is not None and (vocab.eos_id is None or template.name == "yi"):
@@ -286,14 +282,19 @@ def encode_dialog(ids: Column, bos_id: int | None, eos_id: int, max_source_lengt
         return F.struct(src2.alias("src"), tgt2.alias("tgt"), t["cut"].alias("cut"))
 
     def with_budget(turns):
-        lens = F.transform(turns, lambda t: F.size(t["src"]) + F.size(t["tgt"]) + 1)
-        return let(lens, lambda ls: let(
-            F.transform(ls, lambda x, k: F.aggregate(F.slice(ls, 1, k + 1), F.lit(0), lambda a, y: a + y)),
-            lambda cum: F.zip_with(turns, F.zip_with(ls, cum, lambda l, c: F.struct(l.alias("len"), c.alias("cum"))),
-                                   lambda t, lc: F.struct(t["src"].alias("src"), t["tgt"].alias("tgt"),
-                                                          t["cut"].alias("cut"),
-                                                          (lc["cum"] <= max_len).alias("kept"),
-                                                          (lc["cum"] - lc["len"] <= max_len).alias("reached")))))
+        # one fold carries the running length; a turn is reached if the turns before it fit
+        def step(acc, t):
+            upto = acc["upto"] + F.size(t["src"]) + F.size(t["tgt"]) + 1
+            kept = (upto <= max_len).alias("kept")
+            reached = (acc["upto"] <= max_len).alias("reached")
+            return F.struct(upto.alias("upto"), F.concat(acc["flags"], F.array(F.struct(kept, reached))).alias("flags"))
+
+        start = F.struct(F.lit(0).alias("upto"), F.expr("array()").cast("array<struct<kept:boolean,reached:boolean>>").alias("flags"))
+        flags = F.aggregate(F.transform(turns, lambda t: F.struct(t["src"].alias("src"), t["tgt"].alias("tgt"))), start, step,
+                            lambda acc: acc["flags"])
+        return let(flags, lambda f: F.zip_with(turns, f, lambda t, x: F.struct(
+            t["src"].alias("src"), t["tgt"].alias("tgt"), t["cut"].alias("cut"),
+            x["kept"].alias("kept"), x["reached"].alias("reached"))))
 
     def assemble(turns):
         kept = F.filter(turns, lambda t: t["kept"])

@@ -90,7 +90,7 @@ def q_simhash_zh(spark, sf):
 
 
 def q_near_pairs(spark, sf):
-    fp = D.fingerprints(_docs(spark, sf), "doc_id", **_fp_args(EN_SIMHASH)).checkpoint(eager=True)
+    fp = D.fingerprints(_docs(spark, sf), "doc_id", **_fp_args(EN_SIMHASH))
     distinct = fp.where(F.col("fp").isNotNull()).select("fp").distinct()
     return D.near_pairs(distinct, "fp", EN_SIMHASH["num_blocks"], EN_SIMHASH["hamming_distance"])
 

@@ -1,14 +1,17 @@
 """Cleaning recipes: an ordered list of ``{operator: arguments}`` applied to a corpus.
 
-Row filters are column predicates, so consecutive filters fuse into one scan
-stage. Deduplicators are set operations (survivor ids joined back on the
-unique id); a filter never moves across a deduplicator, because that could
-change which copy survives.
-
-``trace`` records, per document, the first operator that removed it (and for
-deduplicators the id that was kept instead); ``funnel`` turns the trace into
-rows remaining after each step, the numbers the published recipes carry as
-comments.
+The text is read once: one projection gives every document's filter outcomes and
+deduplication keys, and this narrow table (no text in it) is written to the shared
+folder. All decisions are set logic on it, step by step, because a filter must not
+move across a deduplicator (that could change which copy survives). ``run_recipe``
+then joins the survivors' ids with the rows once; ``trace`` names, per document, the
+first operator that removed it (and for deduplicators the id that was kept instead);
+``funnel`` turns the trace into rows remaining after each step, the numbers the
+published recipes carry as comments. All three rest on the same decisions.
+
+Null texts: a filter whose statistic is null removes the row; for a deduplicator a null
+text is a copy of every other null text (exact) or has no fingerprint and is no copy
+(SimHash). Ids must be unique and not null.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Window
 
 from ..operators import dedup as D
 from ..operators import quality as Q
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 Step = tuple[str, dict[str, Any]]
 
@@ -38,11 +41,11 @@ class RecipeContext:
 # ------------------------------------------------------------------ registry
 
 FilterFn = Callable[[RecipeContext, dict[str, Any]], Column]
-DedupFn = Callable[[DataFrame, RecipeContext, dict[str, Any]], DataFrame]
+KeyFn = Callable[[RecipeContext, dict[str, Any]], Column]
+MappingFn = Callable[[DataFrame, dict[str, Any]], DataFrame]
 
 FILTERS: dict[str, FilterFn] = {}
-DEDUPS: dict[str, DedupFn] = {}
-MAPPINGS: dict[str, DedupFn] = {}
+DEDUPS: dict[str, tuple[KeyFn, MappingFn]] = {}
 
 
 def register_filter(name: str, fn: FilterFn) -> None:
@@ -50,20 +53,20 @@ def register_filter(name: str, fn: FilterFn) -> None:
     FILTERS[name] = fn
 
 
-def register_deduplicator(name: str, survivors: DedupFn, mapping: DedupFn | None = None) -> None:
-    """``survivors(df, ctx, args)`` -> ids kept; ``mapping`` -> (id, kept_id) for traces."""
-    DEDUPS[name] = survivors
-    if mapping is not None:
-        MAPPINGS[name] = mapping
+def register_deduplicator(name: str, key: KeyFn, mapping: MappingFn) -> None:
+    """``key(ctx, args)`` is a column of a row's text; ``mapping(keyed, args)`` turns (id, key) rows into (id, kept_id).
+
+    Rows that ``mapping`` leaves out keep themselves.
+    """
+    DEDUPS[name] = (key, mapping)
 
 
-def register_operator(name: str, fn: FilterFn | DedupFn, kind: str = "filter") -> None:
-    if kind == "filter":
-        register_filter(name, fn)  # type: ignore[arg-type]
-    elif kind == "dedup":
-        register_deduplicator(name, fn)  # type: ignore[arg-type]
+def register_operator(name: str, fn, mapping: MappingFn | None = None) -> None:
+    """A user's operator for recipes: a filter, or with ``mapping`` a deduplicator whose key ``fn`` gives."""
+    if mapping is None:
+        register_filter(name, fn)
     else:
-        raise ValueError(kind)
+        register_deduplicator(name, fn, mapping)
 
 
 def _t(ctx: RecipeContext) -> Column:
@@ -83,16 +86,24 @@ def _between(x: Column, a: dict, lo: str, hi: str, lo_default, hi_default) -> Co
     return conds[0] if len(conds) == 1 else (conds[0] & conds[1])
 
 
-# filters that run Python (Arrow UDF): applied after the JVM-only filters of their group
-PYTHON_FILTERS = {"character_repetition_filter"}
+def _words(ctx: RecipeContext, lang: str) -> Iterable[str]:
+    if lang not in ctx.flagged_words:
+        raise ValueError(f"no flagged-word list for language {lang!r}")
+    return ctx.flagged_words[lang]
+
+
+def _no_tokenizer(a: dict) -> dict:
+    if a.get("tokenization", False):
+        raise NotImplementedError("token-based alphanumeric ratio needs a tokenizer; use tokenization=False")
+    return a
 
 
 register_filter("alphanumeric_filter", lambda ctx, a: _between(
-    Q.alphanumeric_ratio(_t(ctx)), a, "min_ratio", "max_ratio", 0.25, float("inf")))
+    Q.alphanumeric_ratio(_t(ctx)), _no_tokenizer(a), "min_ratio", "max_ratio", 0.25, float("inf")))
 register_filter("character_repetition_filter", lambda ctx, a: _between(
     Q.character_repetition_ratio(_t(ctx), a.get("rep_len", 10)), a, "min_ratio", "max_ratio", 0.0, 0.5))
 register_filter("flagged_words_filter", lambda ctx, a: Q.flagged_words_ratio(
-    _t(ctx), ctx.flagged_words.get(a.get("lang", "en"), ()),
+    _t(ctx), _words(ctx, a.get("lang", "en")),
     mode="character" if a.get("lang", "en") == "zh" else "word",
     use_words_aug=a.get("use_words_aug", False)) <= F.lit(a.get("max_ratio", 0.045)))
 register_filter("maximum_line_length_filter", lambda ctx, a: _between(
@@ -107,27 +118,22 @@ def _exact_args(a):
 
 def _simhash_args(a):
     return dict(tokenization=a.get("tokenization", "space"), window_size=a.get("window_size", 6),
-                lowercase=a.get("lowercase", True), ignore_pattern=a.get("ignore_pattern"),
-                num_blocks=a.get("num_blocks", 6), hamming_distance=a.get("hamming_distance", 4))
+                lowercase=a.get("lowercase", True), ignore_pattern=a.get("ignore_pattern"))
+
+
+def _first_of_key(keyed: DataFrame, args: dict) -> DataFrame:
+    first = keyed.groupBy("key").agg(F.min("id").alias("kept_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join is between two plain exchanges and AQE can split a key that many copies share
+    first = materialize(first.select(F.col("key").alias("k"), "kept_id"), "copies")
+    return keyed.join(first, F.col("key").eqNullSafe(F.col("k"))).select("id", "kept_id")
 
 
 register_deduplicator(
-    "document_deduplicator",
-    lambda df, ctx, a: D.exact_survivors(df, ctx.id_col, ctx.text_col, **_exact_args(a)).select(ctx.id_col),
-    lambda df, ctx, a: _exact_mapping(df, ctx, a))
+    "document_deduplicator", lambda ctx, a: D.exact_key(_t(ctx), **_exact_args(a)), _first_of_key)
 register_deduplicator(
     "document_simhash_deduplicator",
-    lambda df, ctx, a: D.simhash_survivors(df, ctx.id_col, ctx.text_col, **_simhash_args(a)),
-    lambda df, ctx, a: D.simhash_clusters(df, ctx.id_col, ctx.text_col, **_simhash_args(a))
-    .withColumnRenamed("cluster", "kept_id"))
-
-
-def _exact_mapping(df: DataFrame, ctx: RecipeContext, a: dict) -> DataFrame:
-    key = D.exact_key(F.col(ctx.text_col), **_exact_args(a))
-    keyed = df.select(ctx.id_col, key.alias("_k"))
-    first = keyed.groupBy("_k").agg(F.min(ctx.id_col).alias("kept_id"))
-    # joined on the key: AQE's skew-join split handles a key shared by many copies
-    return keyed.join(first, "_k").select(ctx.id_col, "kept_id")
+    lambda ctx, a: D.fingerprint(_t(ctx), **_simhash_args(a)),
+    lambda keyed, a: D.cluster_fingerprints(keyed, a.get("num_blocks", 6), a.get("hamming_distance", 4)))
 
 
 # ------------------------------------------------------------------ recipes
@@ -179,80 +185,50 @@ def load_recipe(path: str) -> tuple[dict[str, Any], list[Step]]:
 
 # ------------------------------------------------------------------ execution
 
-def _groups(recipe: list[Step]):
-    """Consecutive filters grouped; every deduplicator on its own. Items: (step number, name, args)."""
-    run: list[tuple[int, str, dict]] = []
+def _assess(df: DataFrame, recipe: list[Step], ctx: RecipeContext) -> DataFrame:
+    """(id, s1, s2, ...): per step a filter's outcome or a deduplicator's key; one pass over the text, written."""
+    cols = []
     for i, (name, args) in enumerate(recipe, start=1):
-        if name in DEDUPS:
-            if run:
-                yield "filter", run
-                run = []
-            yield "dedup", [(i, name, args)]
-        elif name in FILTERS:
-            run.append((i, name, args))
+        if name in FILTERS:
+            cols.append(F.coalesce(FILTERS[name](ctx, args), F.lit(False)).alias(f"s{i}"))
+        elif name in DEDUPS:
+            cols.append(DEDUPS[name][0](ctx, args).alias(f"s{i}"))
         else:
             raise KeyError(f"unknown operator {name!r}")
-    if run:
-        yield "filter", run
+    return materialize(df.select(F.col(ctx.id_col).alias("id"), *cols), "assessed")
+
+
+def decide(df: DataFrame, recipe: list[Step], ctx: RecipeContext) -> DataFrame:
+    """(id, removed_step, kept_id) for every row; null in both for the survivors."""
+    state = _assess(df, recipe, ctx)
+    state = state.withColumn("removed_step", F.lit(None).cast("int")).withColumn(
+        "kept_id", F.lit(None).cast(state.schema["id"].dataType))
+    for i, (name, args) in enumerate(recipe, start=1):
+        alive = F.col("removed_step").isNull()
+        if name in FILTERS:
+            state = state.withColumn("removed_step", F.when(alive & ~F.col(f"s{i}"), F.lit(i)).otherwise(F.col("removed_step")))
+        else:
+            keyed = state.where(alive).select("id", F.col(f"s{i}").alias("key"))
+            gone = DEDUPS[name][1](keyed, args).where(F.col("kept_id") != F.col("id")).select(
+                F.col("id").alias("gone_id"), F.col("kept_id").alias("instead"))
+            hit = F.col("gone_id").isNotNull()
+            state = materialize(state.join(gone, F.col("id") == F.col("gone_id"), "left").withColumn(
+                "removed_step", F.when(hit, F.lit(i)).otherwise(F.col("removed_step"))).withColumn(
+                "kept_id", F.when(hit, F.col("instead")).otherwise(F.col("kept_id"))).drop("gone_id", "instead"), "decided")
+    return state.select("id", "removed_step", "kept_id")
 
 
 def run_recipe(df: DataFrame, recipe: list[Step], ctx: RecipeContext) -> DataFrame:
     """Apply the steps in order; returns the surviving rows with all input columns."""
-    out = df
-    for kind, steps in _groups(recipe):
-        if kind == "filter":
-            # filters of a group commute; cheap JVM predicates first, Python-backed ones on what is left
-            for python_side in (False, True):
-                pred = None
-                for _, name, args in steps:
-                    if (name in PYTHON_FILTERS) != python_side:
-                        continue
-                    p = FILTERS[name](ctx, args)
-                    pred = p if pred is None else (pred & p)
-                if pred is not None:
-                    out = out.where(pred)
-        else:
-            _, name, args = steps[0]
-            keep = DEDUPS[name](out, ctx, args)
-            out = out.join(keep, ctx.id_col, "left_semi")
-    return out
+    keep = decide(df, recipe, ctx).where("removed_step IS NULL").select(F.col("id").alias(ctx.id_col))
+    return df.join(keep, ctx.id_col, "left_semi")
 
 
 def trace(df: DataFrame, recipe: list[Step], ctx: RecipeContext) -> DataFrame:
-    """(id, removed_step, removed_by, kept_id): the first step that removed each row.
-
-    Survivors have null in the three columns. Filters of a group are evaluated
-    together and the first failing one is named; deduplicators add the id that
-    was kept instead. The rows still alive are checkpointed at every group
-    boundary (reliable checkpoint in the shared folder), so each dedup plan
-    starts from materialized rows and a lost executor recomputes one step only.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    id_type = df.schema[ctx.id_col].dataType
-    alive = df.select(ctx.id_col, ctx.text_col)
-    removed: list[DataFrame] = []
-    for kind, steps in _groups(recipe):
-        if kind == "filter":
-            reason = F.lit(None).cast("int")
-            for i, name, args in reversed(steps):
-                reason = F.when(~FILTERS[name](ctx, args), F.lit(i)).otherwise(reason)
-            tagged = alive.withColumn("removed_step", reason).checkpoint(eager=True)
-            removed.append(tagged.where(F.col("removed_step").isNotNull())
-                           .select(ctx.id_col, "removed_step", F.lit(None).cast(id_type).alias("kept_id")))
-            alive = tagged.where(F.col("removed_step").isNull()).drop("removed_step")
-        else:
-            i, name, args = steps[0]
-            mapping = MAPPINGS[name](alive, ctx, args).checkpoint(eager=True)
-            gone = mapping.where(F.col("kept_id") != F.col(ctx.id_col))
-            removed.append(gone.select(ctx.id_col, F.lit(i).alias("removed_step"), "kept_id"))
-            alive = alive.join(gone.select(ctx.id_col), ctx.id_col, "left_anti")
-    out = alive.select(ctx.id_col, F.lit(None).cast("int").alias("removed_step"),
-                       F.lit(None).cast(id_type).alias("kept_id"))
-    for r in removed:
-        out = out.unionByName(r)
+    """(id, removed_step, removed_by, kept_id): the first step that removed each row; null in all three for survivors."""
     names = F.create_map(*[x for i, (n, _) in enumerate(recipe, start=1) for x in (F.lit(i), F.lit(n))])
-    return out.select(ctx.id_col, "removed_step", F.element_at(names, F.col("removed_step")).alias("removed_by"),
-                      "kept_id")
+    return decide(df, recipe, ctx).select(
+        F.col("id").alias(ctx.id_col), "removed_step", F.element_at(names, F.col("removed_step")).alias("removed_by"), "kept_id")
 
 
 def funnel(traced: DataFrame, recipe: list[Step]) -> DataFrame:

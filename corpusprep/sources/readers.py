@@ -8,54 +8,72 @@ there would match the ``train*`` input glob of the next run).
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.splits import random_split
+
 CONVERSATION_TYPE = T.ArrayType(T.StructType([
     T.StructField("from", T.StringType()),
     T.StructField("value", T.StringType()),
 ]))
 
 
-def with_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    Large inputs already arrive in thousands of splits and are returned
-    untouched (no shuffle, no copy). A small input (a file of few row groups)
-    is round-robined and checkpointed into the session's shared checkpoint
-    folder: without the checkpoint, Catalyst pushes every filter below the
-    repartition and the per-row work would run on the few scan splits again.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
-        return df.repartition(want).checkpoint(eager=True)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables (``<sf_dir>/<name>.parquet``): a plain scan, so columns and filters reach it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
-    """One of the driver's parquet tables (``<sf_dir>/<name>.parquet``)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return with_parallelism(df) if parallel else df
+def _load(spark: SparkSession, data_dir: str, glob: str, fmt: str, schema, **options) -> DataFrame | None:
+    """Every file below ``data_dir`` that matches, or None if there is none."""
+    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).options(**options)
+    if schema is not None:
+        r = r.schema(schema)
+    try:
+        df = r.format(fmt).load(data_dir)
+        return df if df.inputFiles() else None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _union(frames: list[DataFrame | None], what: str) -> DataFrame:
+    found = [f for f in frames if f is not None]
+    if not found:
+        raise FileNotFoundError(what)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def read_json_split(spark: SparkSession, data_dir: str, split: str = "train",
-                    schema: T.StructType | str | None = None, multi_line: bool = False) -> DataFrame:
-    """Every ``<split>*.json`` / ``<split>*.jsonl`` file below ``data_dir`` (recursive).
+                    schema: T.StructType | str | None = None) -> DataFrame:
+    """Every ``<split>*.jsonl`` (one record a line) and ``<split>*.json`` (a list, an object or lines) below ``data_dir``.
 
-    ``multi_line=True`` reads whole-file JSON arrays (``.json`` holding a list).
+    A ``.json`` file whose first character opens a list or an object that spans lines is
+    read as one document; one with a record a line is read by line. Columns that only
+    some files have are null elsewhere.
     """
-    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{split}*.{{json,jsonl}}")
-    if schema is not None:
-        r = r.schema(schema)
-    if multi_line:
-        r = r.option("multiLine", True)
-    return r.json(data_dir)
+    lines = _load(spark, data_dir, f"{split}*.jsonl", "json", schema)
+    whole = _load(spark, data_dir, f"{split}*.json", "text", None, wholetext=True)
+    frames = [lines]
+    if whole is not None:
+        # a file's kind is decided where the file is read; only two lists of paths reach the driver
+        first = F.regexp_extract("value", r"(?s)\A\s*([^\n]*)", 1)
+        by_line = first.rlike(r"^\{.*\}\s*$")
+        kinds = whole.select(F.col("_metadata.file_path").alias("path"), by_line.alias("by_line")).distinct().collect()
+        for flag in (True, False):
+            paths = sorted(r.path for r in kinds if r.by_line == flag)
+            if paths:
+                r = spark.read.option("multiLine", not flag)
+                frames.append((r.schema(schema) if schema is not None else r).json(paths))
+    return _union(frames, f"no {split}*.json or {split}*.jsonl under {data_dir}")
 
 
 def read_corpus_split(spark: SparkSession, data_dir: str, split: str = "train",
@@ -65,23 +83,25 @@ def read_corpus_split(spark: SparkSession, data_dir: str, split: str = "train",
     Both formats may be present; they are unioned by column name and missing
     columns become null.
     """
-    frames = []
-    for fmt, ext in (("parquet", "parquet"), ("json", "jsonl")):
-        r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{split}*.{ext}")
-        if schema is not None:
-            r = r.schema(schema)
-        try:
-            frames.append(r.format(fmt).load(data_dir))
-        except Exception as e:  # no file of this format
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "Path does not exist" in str(e):
-                continue
-            raise
-    if not frames:
-        raise FileNotFoundError(f"no {split}*.parquet or {split}*.jsonl under {data_dir}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    return _union([_load(spark, data_dir, f"{split}*.parquet", "parquet", schema),
+                   _load(spark, data_dir, f"{split}*.jsonl", "json", schema)],
+                  f"no {split}*.parquet or {split}*.jsonl under {data_dir}")
+
+
+def with_validation(read: Callable[[str], DataFrame], id_col: str | None = None, percentage: float = 5,
+                    seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, validation) from a reader of a split by name; without validation files a seeded share of train is carved.
+
+    Rows are told apart by ``id_col``, or by their whole content when there is no id.
+    """
+    train = read("train")
+    try:
+        return train, read("validation")
+    except FileNotFoundError:
+        key = F.col(id_col) if id_col else F.to_json(F.struct(*train.columns))
+        both = random_split(train.withColumn("__key", key), percentage, seed, "__key", "__split")
+        part = lambda name: both.where(F.col("__split") == name).drop("__key", "__split")
+        return part("train"), part("validation")
 
 
 def read_text_lines(spark: SparkSession, data_dir: str, split: str = "train", keep_linebreaks: bool = True) -> DataFrame:

@@ -18,8 +18,6 @@ WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Line ends recognised by the longest-line filter.
 LINE_END = r"\r\n|\n|\r"
-# Unicode punctuation removed before SimHash tokenization (recipe ignore_pattern).
-PUNCT_PATTERN = r"\p{P}"
 # ----------------------------------------------------------------------------
 
 
@@ -41,20 +39,11 @@ def py_strip(c: str | Column) -> Column:
     return F.regexp_replace(col_(c), rf"\A{WS_CLASS}+|{WS_CLASS}+\z", "")
 
 
-def whitespace_tokens(c: str | Column) -> Column:
-    """Python ``str.split()``: runs of non-whitespace, no empty tokens."""
-    return F.filter(F.split(col_(c), WS_CLASS + "+"), lambda t: t != F.lit(""))
-
-
 def code_points(c: str | Column) -> Column:
     """The characters (code points) of a string as an array."""
     return F.regexp_extract_all(col_(c), F.lit(r"(?s)(.)"), 1)
 
 
-def char_length(c: str | Column) -> Column:
-    return F.length(col_(c))
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
 

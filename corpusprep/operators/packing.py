@@ -27,33 +27,44 @@ def effective_block_size(block_size: int | None, model_max_length: int | None, d
 
 
 def group_texts(df: DataFrame, block_size: int, ids_col: str = "input_ids", group_col: str = "group_id",
-                order_col: str = "row_idx") -> DataFrame:
-    """(group_id, block_id, input_ids, labels): concatenation per group cut into blocks.
+                order_col: str = "row_idx", also: tuple[str, ...] = ()) -> DataFrame:
+    """(group_id, block_id, input_ids, labels, ...): concatenation per group cut into blocks.
 
     The remainder of a group is dropped only when the group holds at least one
     full block; otherwise the group gives one short block. ``labels`` is a copy
-    of ``input_ids``.
+    of ``input_ids``. ``also`` names further array columns of the same lengths
+    (an attention mask, say) that are cut alike.
     """
-    sizes = df.select(group_col, order_col, ids_col).withColumn("_len", F.size(ids_col))
+    cols = [ids_col, *also]
+    n = F.coalesce(F.size(ids_col), F.lit(0))
+    for c in also:
+        n = F.when(F.size(c) == F.size(ids_col), n).otherwise(
+            F.raise_error(F.lit(f"{c} and {ids_col} differ in length")).cast("int"))
+    # offsets from lengths alone: no token array goes through the window's sort
+    sizes = df.select(group_col, order_col, n.cast("long").alias("_len"))
     w = Window.partitionBy(group_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wg = Window.partitionBy(group_col)
     offs = (sizes.withColumn("_end", F.sum("_len").over(w)).withColumn("_total", F.sum("_len").over(wg))
-            .withColumn("_start", F.col("_end") - F.col("_len")).where(F.col("_len") > 0))
+            .withColumn("_start", F.col("_end") - F.col("_len")).where(F.col("_len") > 0).drop("_len"))
     keep_upto = F.when(F.col("_total") >= block_size, (F.col("_total") / block_size).cast("long") * block_size) \
         .otherwise(F.col("_total"))
     first_b = (F.col("_start") / block_size).cast("long")
     last_b = ((F.col("_end") - 1) / block_size).cast("long")
-    pieces = offs.select(group_col, ids_col, "_start", "_end", keep_upto.alias("_keep"),
-                         F.explode(F.sequence(first_b, last_b)).alias("block_id"))
+    pieces = df.select(group_col, order_col, *cols).join(offs, [group_col, order_col]).select(
+        group_col, *cols, "_start", "_end", keep_upto.alias("_keep"),
+        F.explode(F.sequence(first_b, last_b)).alias("block_id"))
     lo = F.greatest(F.col("block_id") * block_size, F.col("_start"))
     hi = F.least((F.col("block_id") + 1) * block_size, F.col("_end"), F.col("_keep"))
-    pieces = pieces.where(hi > lo).select(
-        group_col, "block_id", lo.alias("_from"),
-        F.slice(ids_col, (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")).alias("_piece"))
+    cut = [F.slice(c, (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in cols]
+    pieces = pieces.where(hi > lo).select(group_col, "block_id", lo.alias("_from"), *cut)
     blocks = pieces.groupBy(group_col, "block_id").agg(
-        F.array_sort(F.collect_list(F.struct("_from", "_piece"))).alias("_p"))
-    ids = F.flatten(F.transform("_p", lambda p: p["_piece"]))
-    return blocks.select(group_col, "block_id", ids.alias("input_ids"), ids.alias("labels"))
+        F.array_sort(F.collect_list(F.struct("_from", *cols))).alias("_p"))
+
+    def whole(c: str):
+        return F.flatten(F.transform("_p", lambda p: p[c]))
+
+    return blocks.select(group_col, "block_id", whole(ids_col).alias("input_ids"), whole(ids_col).alias("labels"),
+                         *[whole(c).alias(c) for c in also])
 
 
 def assign_groups(df: DataFrame, order_col: str, rows_per_group: int = 1000, group_col: str = "group_id",

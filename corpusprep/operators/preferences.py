@@ -33,10 +33,13 @@ def prepare_preferences(df: DataFrame, id_col: str, max_source_length: int, max_
                         max_samples: int | None = None, seed: int | None = 42, train: bool = True) -> DataFrame:
     """take -> shuffle (train only) -> chat frame -> length filter.
 
-    The limit is source + target length, counted in characters.
+    The limit is source + target length, counted in characters. Shuffled rows carry
+    their ``shuffle_key``, so the order survives a later exchange or write.
     """
     out = take(df, max_samples, id_col)
+    keep: tuple[str, ...] = (id_col,)
     if train and seed is not None:
         out = shuffle(out, seed, id_col)
-    out = preference_pairs(out, keep=(id_col,))
+        keep = (id_col, "shuffle_key")
+    out = preference_pairs(out, keep=keep)
     return preference_length_filter(out, max_source_length + max_target_length)

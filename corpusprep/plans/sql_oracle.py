@@ -1,13 +1,19 @@
 """DuckDB SQL for the correctness oracle, written from the operator definitions.
 
 Each function returns a SQL fragment (CTE bodies or full statements) over the
-pre-registered views (documents, conversations, embeddings, ...). Regular
-expressions are the same text as the Spark side; RE2 and Java read them alike.
+pre-registered views (documents, conversations, embeddings, ...). Nothing is taken
+from the code under test: character classes, frames and templates are written out
+here a second time.
 """
 
 from __future__ import annotations
 
-from ..functions.text import LINE_END, NON_CHARACTER_CLASS, WS_CLASS
+# White space of Python's str.isspace, the exact key's dropped characters, line ends.
+WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
+NON_CHARACTER_CLASS = r"""[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}\p{Nd}!"#$%&'()*+,\-./:;<=>?@\[\\\]\^_`{|}~]"""
+LINE_END = r"\r\n|\n|\r"
+PIECE = r"(<unk>|</s>|<s>|[\p{L}\p{N}]+|[^\p{L}\p{N}\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}])"
+CHAT_PREFIX, CHAT_SUFFIX = "<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n"
 
 
 def q(s: str) -> str:

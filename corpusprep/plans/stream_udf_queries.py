@@ -6,12 +6,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import udf as U
-from ..functions.text import WS_CLASS
 from ..operators import quality as Q
+from ..session import scratch_path
 from ..sources.readers import read_table
 from ..streaming import stream as ST
 from . import training_queries as TQ
-from .sql_oracle import alnum_ratio_sql, max_line_sql, q
+from .sql_oracle import WS_CLASS, alnum_ratio_sql, max_line_sql, q
 
 
 def _doc_stream(spark, sf):
@@ -29,13 +29,28 @@ def q_stream_clean(spark, sf):
     return spark.read.parquet(sink)
 
 
+def _stream_blocks(spark, sink):
+    b = spark.read.parquet(sink)
+    return b.select(F.col("batch_id").cast("long").alias("batch_id"), "group_id", "block_id",
+                    F.size("input_ids").cast("long").alias("n_tokens"), TQ._ids_digest(F.col("input_ids")).alias("ids_md5"))
+
+
 def q_stream_packed(spark, sf):
-    """Streaming pre-training prep; one micro-batch holds the whole table, so it equals the static packing."""
+    """Streaming pre-training prep in id order; one micro-batch holds the whole table, so it equals the static packing."""
     vocab = TQ.doc_vocab(spark, sf)
-    sink = ST.stream_prepare(_doc_stream(spark, sf), vocab, TQ.BLOCK_SIZE, "doc_id", TQ.ROWS_PER_GROUP)
-    b = spark.read.parquet(sink)
-    return b.select("group_id", "block_id", F.size("input_ids").cast("long").alias("n_tokens"),
-                    TQ._ids_digest(F.col("input_ids")).alias("ids_md5"))
+    return _stream_blocks(spark, ST.stream_prepare(_doc_stream(spark, sf), vocab, TQ.BLOCK_SIZE, "doc_id", TQ.ROWS_PER_GROUP))
+
+
+def q_stream_pretrain(spark, sf):
+    """The shuffled path over two deliveries: even ids arrive first, odd ids later, and the stream is started again."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    vocab = TQ.doc_vocab(spark, sf)
+    inbox, sink, state = (scratch_path(spark, f"deliveries-{x}") for x in ("in", "out", "state"))
+    for part in (0, 1):
+        docs.where(F.col("doc_id") % 2 == part).write.mode("append").parquet(inbox)
+        ST.stream_prepare(ST.stream_corpus(spark, inbox, docs.schema), vocab, TQ.BLOCK_SIZE, "doc_id", TQ.ROWS_PER_GROUP,
+                          sink=sink, checkpoint=state, seed=TQ.SEED)
+    return _stream_blocks(spark, sink)
 
 
 def _word_counts(batch: pd.DataFrame) -> pd.DataFrame:
@@ -60,6 +75,7 @@ def q_filter_rows_pandas(spark, sf):
 QUERIES = {
     "stream_clean": q_stream_clean,
     "stream_packed": q_stream_packed,
+    "stream_pretrain": q_stream_pretrain,
     "map_batches_word_counts": q_map_batches_word_counts,
     "filter_rows_pandas": q_filter_rows_pandas,
 }
@@ -67,7 +83,11 @@ QUERIES = {
 ORACLES = {
     "stream_clean": f"""SELECT doc_id, lang FROM documents WHERE text IS NOT NULL AND {alnum_ratio_sql()} >= 0.1
   AND {max_line_sql()} >= 20 AND length(text) >= 30""",
-    "stream_packed": TQ.ORACLES["packed_blocks"],
+    "stream_packed": TQ.ORACLES["packed_blocks"].replace("SELECT group_id, block_id", "SELECT 0::BIGINT AS batch_id, group_id, block_id"),
+    "stream_pretrain": f"""WITH {TQ._doc_tokens_sql()},
+  bt AS (SELECT doc_id % 2 AS batch, md5(doc_id::VARCHAR || ':' || ({TQ.SEED} * 1000003 + doc_id % 2)) AS sk, ids FROM dtok),
+{TQ._pack_cte("sk", "bt", "batch")}
+SELECT batch::BIGINT AS batch_id, group_id, block_id, len(ids)::BIGINT AS n_tokens, {TQ._digest("ids")} AS ids_md5 FROM blocks""",
     "map_batches_word_counts": f"""SELECT doc_id,
   len(list_filter(regexp_split_to_array(coalesce(text, ''), {q(WS_CLASS + '+')}), lambda x: x <> ''))::BIGINT AS n_words
 FROM documents""",

@@ -9,8 +9,9 @@ shuffle buffer. With ``trigger(availableNow=True)`` and one micro-batch the
 result equals the static run.
 
 Sinks and checkpoints live under the session's shared checkpoint folder
-unless given; the parquet sink plus the streaming checkpoint make a restart
-after a lost driver or executor resume where it stopped.
+unless given. Each micro-batch has a folder of its own in the packed sink, which a
+replay overwrites, so a restart after a lost driver or executor neither loses nor
+doubles rows.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import packing as P
 from ..operators import quality as Q
 from ..operators import splits as SP
 from ..operators import tokens as TK
-from ..session import scratch_path
+from ..session import drop_materialized, materialize, scratch_path
 
 
 def stream_corpus(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
@@ -40,8 +40,8 @@ def stream_corpus(spark: SparkSession, path: str, schema: T.StructType | str, fm
 
 
 def shuffle_buffered(batch: DataFrame, seed: int, batch_id: int, id_col: str) -> DataFrame:
-    """Seeded shuffle of one micro-batch (seed varies with the batch id)."""
-    return SP.shuffle(batch, seed * 1_000_003 + batch_id, id_col)
+    """A seeded random order of one micro-batch as ``shuffle_key`` (the seed varies with the batch id)."""
+    return batch.withColumn("shuffle_key", SP.shuffle_key(id_col, seed * 1_000_003 + batch_id))
 
 
 def run_to_parquet(stream: DataFrame, sink: str | None = None, checkpoint: str | None = None,
@@ -59,25 +59,32 @@ def run_to_parquet(stream: DataFrame, sink: str | None = None, checkpoint: str |
 
 def stream_prepare(stream: DataFrame, vocab: TK.Vocabulary, block_size: int, id_col: str,
                    rows_per_group: int = 1000, sink: str | None = None, checkpoint: str | None = None,
-                   text_col: str = "text") -> str:
-    """Streaming pre-training preparation: null filter -> tokenize -> per micro-batch packing.
+                   text_col: str = "text", seed: int | None = None) -> str:
+    """Streaming pre-training preparation: null filter -> tokenize -> per micro-batch shuffle and packing.
 
-    Each micro-batch is numbered in ``id_col`` order, cut into groups of
-    ``rows_per_group`` rows and packed into ``block_size`` blocks; blocks are
-    appended to the parquet sink with the micro-batch id.
+    Each micro-batch is numbered in ``id_col`` order, or in a seeded random order
+    (``seed``), cut into groups of ``rows_per_group`` rows and packed into
+    ``block_size`` blocks. A batch is written to ``batch_id=N`` below the sink and
+    overwrites it, so a batch that runs again after a failure adds no rows.
     """
     spark = stream.sparkSession
     tag = f"prepare-{uuid.uuid4().hex[:8]}"
     sink = sink or scratch_path(spark, f"streams/{tag}/out")
     checkpoint = checkpoint or scratch_path(spark, f"streams/{tag}/checkpoint")
     toks = TK.tokenize_text(Q.remove_null_text(stream, text_col).select(id_col, text_col), vocab).drop(text_col)
-
-    def pack(batch: DataFrame, batch_id: int) -> None:
-        grouped = P.assign_groups(batch, id_col, rows_per_group)
-        blocks = P.group_texts(grouped, block_size)
-        blocks.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
-
-    q = (toks.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    q = (toks.writeStream.foreachBatch(lambda batch, n: pack_batch(batch, n, sink, block_size, id_col, rows_per_group, seed))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return sink
+
+
+def pack_batch(batch: DataFrame, batch_id: int, sink: str, block_size: int, id_col: str, rows_per_group: int,
+               seed: int | None) -> None:
+    """Pack one micro-batch of tokenized rows into its own folder of the sink, replacing what is there."""
+    order = id_col
+    if seed is not None:
+        batch, order = shuffle_buffered(batch, seed, batch_id, id_col), "shuffle_key"
+    batch = materialize(batch, "micro-batch")  # numbered and packed from one written copy
+    blocks = P.group_texts(P.assign_groups(batch, order, rows_per_group), block_size)
+    blocks.write.mode("overwrite").parquet(f"{sink}/batch_id={int(batch_id)}")
+    drop_materialized(batch)

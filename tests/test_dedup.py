@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from corpusprep.operators import dedup as D
@@ -40,6 +41,42 @@ def test_near_pairs_equal_brute_force(spark):
         assert got == want
 
 
+def test_large_bucket_is_dealt_in_cells(spark):
+    """20,000 distinct fingerprints that share their first two blocks: right links, bounded cells."""
+    rnd = random.Random(11)
+    low = sorted({rnd.getrandbits(50) for _ in range(20_000)})
+    low += [x ^ 1 << rnd.randrange(50) for x in low[:300]]  # near copies
+    fps = sorted(set(low))
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    cell = 1024
+    dealt = D._dealt(df, 9, 7, cell).groupBy("band", "key", "i", "j").count()
+    assert dealt.agg(F.max("count")).first()[0] < 3 * cell
+    got = {(r.fp_a, r.fp_b) for r in D.near_pairs(df, "fp", 9, 7, cell).collect()}
+    arr = np.array(fps, dtype=np.uint64)
+    want = set()
+    for i, x in enumerate(arr):
+        for j in np.flatnonzero(np.bitwise_count(arr[i + 1:] ^ x) <= 7):
+            want.add((int(x), int(arr[i + 1 + j])))
+    assert got == want
+    links = [(r.fp_a, r.fp_b) for r in D.near_links(df, 9, 7, cell).collect()]
+    assert len(links) < 40 * len(fps)
+
+    def parts(pairs):
+        root = {f: f for f in fps}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return [find(f) for f in fps]
+
+    assert parts(links) == parts(want)
+
+
 def test_connected_components_chain(spark):
     nodes = spark.createDataFrame([(i,) for i in range(1, 8)], "node long")
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (6, 7)], "src long, dst long")
@@ -47,6 +84,17 @@ def test_connected_components_chain(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 6}
 
 
+def test_connected_components_long_path_and_no_edges(spark):
+    n = 400  # more rounds than a label could walk one step at a time in a fixed number of them
+    order = list(range(n))
+    random.Random(2).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "src long, dst long")
+    nodes = spark.range(0, n + 1).withColumnRenamed("id", "node")
+    got = {r.node: r.label for r in connected_components(nodes, edges).collect()}
+    assert got == {**{i: 0 for i in range(n)}, n: n}
+    assert connected_components(nodes, edges.limit(0)).where("node <> label").count() == 0
+
+
 def test_simhash_dedup_keeps_empty_and_smallest(spark):
     t = "the quick brown fox jumps over the lazy dog again and again"
     # 2 differs from 4 only in case and punctuation: same fingerprint after normalization

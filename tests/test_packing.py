@@ -1,28 +1,36 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import packing as P
 
 
-def python_group(rows, bs):
-    cat = [t for r in rows for t in r]
-    total = len(cat)
-    if total >= bs:
-        total = total // bs * bs
-    return [cat[i:i + bs] for i in range(0, total, bs)]
-
-
-def test_group_texts_matches_python(spark):
-    groups = {0: [[1, 2, 3], [], [4, 5, 6, 7, 8, 9, 10, 11], [12]], 1: [[1, 2]], 2: [[1, 2, 3, 4]], 3: [[1] * 9]}
-    rows = [(g, i, ids) for g, docs in groups.items() for i, ids in enumerate(docs)]
-    df = spark.createDataFrame(rows, "group_id long, row_idx long, input_ids array<int>")
-    out = P.group_texts(df, 4).collect()
-    got = {}
-    for r in out:
-        got.setdefault(r.group_id, {})[r.block_id] = list(r.input_ids)
-        assert list(r.labels) == list(r.input_ids)
-    for g, docs in groups.items():
-        want = python_group(docs, 4)
-        assert [got.get(g, {})[b] for b in sorted(got.get(g, {}))] == want, g
+def test_group_texts_by_hand(spark):
+    groups = {0: [[1, 2, 3], [], [4, 5, 6, 7, 8, 9, 10, 11], [12]], 1: [[1, 2]], 2: [[1, 2, 3, 4]], 3: [[1] * 9], 4: [[], []]}
+    want = {0: [[1, 2, 3, 4], [5, 6, 7, 8], [9, 10, 11, 12]],
+            1: [[1, 2]],                                  # less than a block: one short block
+            2: [[1, 2, 3, 4]],
+            3: [[1, 1, 1, 1], [1, 1, 1, 1]],              # the ninth token is dropped
+            4: []}
+    rows = [(g, i, ids, [-x for x in ids]) for g, docs in groups.items() for i, ids in enumerate(docs)]
+    df = spark.createDataFrame(rows, "group_id long, row_idx long, input_ids array<int>, mask array<int>")
+    got = {g: {} for g in groups}
+    for r in P.group_texts(df, 4, also=("mask",)).collect():
+        got[r.group_id][r.block_id] = list(r.input_ids)
+        assert list(r.labels) == list(r.input_ids) and list(r.mask) == [-x for x in r.input_ids]
+    assert {g: [b[k] for k in sorted(b)] for g, b in got.items()} == want
+
+
+def test_group_texts_refuses_unequal_columns(spark):
+    df = spark.createDataFrame([(0, 0, [1, 2], [1])], "group_id long, row_idx long, input_ids array<int>, mask array<int>")
+    with pytest.raises(Exception, match="differ in length"):
+        P.group_texts(df, 4, also=("mask",)).collect()
+
+
+def test_pad_to_longest(spark):
+    df = spark.createDataFrame([(0, [5, 6], [5, -100]), (0, [7], [7]), (1, [8], [8])],
+                               "batch int, input_ids array<int>, labels array<int>")
+    got = sorted((r.batch, list(r.input_ids), list(r.labels)) for r in P.pad_to_longest(df, "batch", 0).collect())
+    assert got == [(0, [5, 6], [5, -100]), (0, [7, 0], [7, -100]), (1, [8], [8])]
 
 
 def test_token_conservation_sf0001(spark):

@@ -2,6 +2,11 @@ import json
 import os
 import tempfile
 
+import pandas as pd
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from corpusprep.plans import recipe as R
 from corpusprep.sources import readers as S
 
@@ -23,6 +28,41 @@ def test_json_split_reader(spark):
     assert sorted(r.instruction for r in df.collect()) == ["i", "j"]
 
 
+def test_json_arrays_next_to_lines(spark):
+    d = _tmpdir()
+    with open(os.path.join(d, "train_a.jsonl"), "w") as fh:
+        fh.write("".join(json.dumps({"id": i, "text": f"line {i}"}) + "\n" for i in range(3)))
+    with open(os.path.join(d, "train_b.json"), "w") as fh:
+        json.dump([{"id": 10, "text": "x"}, {"id": 11, "text": "y", "more": 1}], fh, indent=2)
+    with open(os.path.join(d, "train_c.json"), "w") as fh:
+        fh.write(json.dumps({"id": 20, "text": "l1"}) + "\n" + json.dumps({"id": 21, "text": "l2"}) + "\n")
+    with open(os.path.join(d, "train_d.json"), "w") as fh:
+        json.dump({"id": 30, "text": "one object"}, fh, indent=1)
+    df = S.read_json_split(spark, d, "train")
+    assert sorted(r.id for r in df.collect()) == [0, 1, 2, 10, 11, 20, 21, 30]
+    assert df.where("text IS NULL OR id IS NULL").count() == 0
+
+
+def test_validation_is_carved_when_absent(spark):
+    d = _tmpdir()
+    with open(os.path.join(d, "train_a.jsonl"), "w") as fh:
+        fh.write("".join(json.dumps({"id": i, "text": f"t{i}"}) + "\n" for i in range(2000)))
+    read = lambda split: S.read_json_split(spark, d, split)
+    train, val = S.with_validation(read, "id", 10)
+    a, b = {r.id for r in train.collect()}, {r.id for r in val.collect()}
+    assert not a & b and a | b == set(range(2000)) and 100 < len(b) < 300
+    assert train.columns == ["id", "text"]
+    with open(os.path.join(d, "validation.jsonl"), "w") as fh:
+        fh.write(json.dumps({"id": 9999, "text": "v"}) + "\n")
+    train, val = S.with_validation(read, "id", 10)
+    assert train.count() == 2000 and [r.id for r in val.collect()] == [9999]
+
+
+def test_named_table_and_lines_without_end(spark):
+    spark.range(3).createOrReplaceTempView("three_rows")
+    assert S.read_named(spark, "three_rows").count() == 3
+
+
 def test_corpus_reader_mixed_formats_and_text(spark):
     d = _tmpdir()
     spark.createDataFrame([("p1",), ("p2",)], "text string").toPandas().to_parquet(os.path.join(d, "train_x.parquet"))
@@ -62,3 +102,46 @@ def test_recipe_yaml_and_funnel_consistent(spark):
     assert tr[2] == (1, "document_deduplicator", 1) and tr[3] == (2, "text_length_filter", None)
     fun = [(r.step, r.remaining) for r in R.funnel(R.trace(df, steps, ctx), steps).orderBy("step").collect()]
     assert fun == [(1, 3), (2, 2)]
+
+
+def test_null_texts_run_trace_and_funnel_agree(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a text that is long enough"), (4, "A text that is long enough!")],
+                               "id long, text string")
+    steps = [("document_deduplicator", {"lowercase": True, "ignore_non_character": True}), ("text_length_filter", {"min_len": 5})]
+    ctx = R.RecipeContext(id_col="id")
+    assert sorted(r.id for r in R.run_recipe(df, steps, ctx).collect()) == [3]
+    traced = R.trace(df, steps, ctx)
+    got = {r.id: (r.removed_step, r.kept_id) for r in traced.collect()}
+    assert got == {1: (2, None), 2: (1, 1), 3: (None, None), 4: (1, 3)}
+    assert [(r.step, r.remaining) for r in R.funnel(traced, steps).orderBy("step").collect()] == [(1, 2), (2, 1)]
+
+
+def test_user_operators_and_missing_inputs(spark):
+    df = spark.createDataFrame([(1, "aa x"), (2, "aa y"), (3, "b")], "id long, text string")
+    ctx = R.RecipeContext(id_col="id")
+    R.register_operator("starts_with_a", lambda ctx, a: F.col(ctx.text_col).startswith("a"))
+    R.register_operator("same_first_word", lambda ctx, a: F.substring_index(ctx.text_col, " ", 1),
+                        lambda keyed, a: keyed.withColumn("kept_id", F.min("id").over(Window.partitionBy("key"))).drop("key"))
+    steps = [("same_first_word", {}), ("starts_with_a", {})]
+    assert {r.id: r.removed_by for r in R.trace(df, steps, ctx).collect()} == {1: None, 2: "same_first_word", 3: "starts_with_a"}
+    with pytest.raises(ValueError, match="flagged-word"):
+        R.run_recipe(df, [("flagged_words_filter", {"lang": "fr"})], ctx)
+    with pytest.raises(NotImplementedError):
+        R.run_recipe(df, [("alphanumeric_filter", {"tokenization": True})], ctx)
+
+
+def test_repetition_runs_once_per_document(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(ctx, a):
+        @F.pandas_udf("double")
+        def ratio(s: pd.Series) -> pd.Series:
+            seen.add(len(s))
+            return pd.Series([0.0] * len(s))
+        return ratio(F.col(ctx.text_col)) <= 0.5
+
+    R.register_operator("counted", count)
+    df = spark.createDataFrame([(i, f"text number {i % 40}") for i in range(100)], "id long, text string")
+    steps = [("document_deduplicator", {}), ("counted", {}), ("document_simhash_deduplicator", {"window_size": 2})]
+    R.run_recipe(df, steps, R.RecipeContext(id_col="id")).collect()
+    assert seen.value == 100

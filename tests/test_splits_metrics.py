@@ -1,16 +1,32 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from corpusprep.operators import metrics as M
 from corpusprep.operators import splits as SP
 
 
-def test_row_index_contiguous_and_partition_independent(spark):
-    df = spark.range(0, 1000).withColumn("k", F.md5(F.col("id").cast("string")))
-    a = {r.id: r.row_idx for r in SP.with_row_index(df, "k", num_partitions=7).collect()}
-    b = {r.id: r.row_idx for r in SP.with_row_index(df.repartition(3), "k", num_partitions=4).collect()}
-    assert a == b and sorted(a.values()) == list(range(1000))
+def test_row_index_is_the_rank_under_any_partitioning(spark):
+    df = spark.range(0, 400_000).withColumn("k", F.md5(F.col("id").cast("string")))
+    for part in (df.repartition(2), df.repartition(7)):
+        idx = SP.with_row_index(part, "k")
+        rank = idx.select("id", "k", "row_idx").toPandas().sort_values("k")
+        assert rank.row_idx.tolist() == list(range(400_000))
+
+
+def test_row_index_nulls_small_and_empty(spark):
+    df = spark.createDataFrame([(None, "n"), (5, "b"), (3, "a")], "k long, v string")
+    assert sorted((r.row_idx, r.v) for r in SP.with_row_index(df, "k").collect()) == [(0, "n"), (1, "a"), (2, "b")]
+    assert SP.with_row_index(df.limit(0), "k").count() == 0
+
+
+def test_head_split_large(spark):
+    df = spark.range(0, 400_000).withColumnRenamed("id", "doc_id").repartition(5)
+    for pct, k in [(50, 200_000), (90, 360_000)]:
+        r = SP.head_split(df, pct, "doc_id").where("split = 'validation'").agg(F.count("doc_id"), F.max("doc_id")).first()
+        assert tuple(r) == (k, k - 1)
 
 
 def test_head_split_edges(spark):
@@ -34,7 +50,7 @@ def test_random_split_stable_and_disjoint(spark):
 
 def test_take(spark):
     df = spark.range(10, 0, -1).withColumnRenamed("id", "doc_id")
-    assert [r.doc_id for r in SP.take(df, 3, "doc_id").collect()] == [1, 2, 3]
+    assert sorted(r.doc_id for r in SP.take(df, 3, "doc_id").collect()) == [1, 2, 3]
     assert SP.take(df, 0, "doc_id").count() == 10
 
 
@@ -47,6 +63,18 @@ def test_token_accuracy_ignored_labels_are_misses(spark):
     assert M.token_accuracy(df2, normalize=False).first().accuracy == 2.0
 
 
+def test_token_accuracy_weights_and_lengths(spark):
+    df = spark.createDataFrame([([5, 7, 0], [-100, 5, 9], [0.5, 2.0], 3.0), ([1, 0], [-100, 1], [1.0], 1.0)],
+                               "preds array<int>, labels array<int>, w array<double>, r double")
+    # hits: (5 = 5, 7 != 9) and (1 = 1)
+    assert M.token_accuracy(df).first().accuracy == 2 / 3
+    assert M.token_accuracy(df, weight_col="w").first().accuracy == 1.5 / 3.5
+    assert M.token_accuracy(df, weight_col="r", normalize=False).first().accuracy == 4.0
+    bad = spark.createDataFrame([([1, 2, 3, 4, 5], [1, 2])], "preds array<int>, labels array<int>")
+    with pytest.raises(Exception, match="differ in length"):
+        M.token_accuracy(bad).collect()
+
+
 def test_perplexity_overflow(spark):
     df = spark.createDataFrame([(800.0,), (800.0,)], "loss double")
     assert math.isinf(M.perplexity(df).first().perplexity)
@@ -54,23 +82,14 @@ def test_perplexity_overflow(spark):
     assert abs(M.perplexity(df2).first().perplexity - math.exp(2.0)) < 1e-12
 
 
-def python_numel(n, base):
-    b, m, k = base ** 3, base ** 2, base
-    if n >= b:
-        return f"{n / b:.2f} B"
-    if n >= m:
-        return f"{n / m:.2f} M"
-    if n >= k:
-        return f"{n / k:.2f} K"
-    return f"{n}"
-
-
-def test_format_numel_like_python(spark):
-    ns = [0, 999, 1000, 1023, 1024, 1152, 1005, 12345, 1048576, 1500000, 2**31, 5 * 10**12, 1024 + 128, 1024 * 3 + 384]
-    df = spark.createDataFrame([(n,) for n in ns], "n long")
-    for base in (1000, 1024):
-        got = [r.s for r in df.select(M.format_numel("n", base).alias("s")).collect()]
-        assert got == [python_numel(n, base) for n in ns], base
+def test_format_numel_by_hand(spark):
+    want = [(0, 1000, "0"), (999, 1000, "999"), (1000, 1000, "1.00 K"), (1152, 1000, "1.15 K"), (12345, 1000, "12.35 K"),
+            (1048576, 1000, "1.05 M"), (1500000, 1000, "1.50 M"), (2**31, 1000, "2.15 B"), (5 * 10**12, 1000, "5000.00 B"),
+            (999, 1024, "999"), (1023, 1024, "1023"), (1024, 1024, "1.00 K"), (1152, 1024, "1.12 K"), (3456, 1024, "3.38 K"),
+            (1048576, 1024, "1.00 M"), (2**31, 1024, "2.00 B")]
+    df = spark.createDataFrame([(n, b) for n, b, _ in want], "n long, b int")
+    got = {(r.n, b): r.s for b in (1000, 1024) for r in df.where(F.col("b") == b).select("n", M.format_numel("n", b).alias("s")).collect()}
+    assert got == {(n, b): s for n, b, s in want}
 
 
 def test_argmax_first_maximum(spark):

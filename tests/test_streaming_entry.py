@@ -1,6 +1,9 @@
 import os
+import re
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from corpusprep.operators import packing as P
@@ -23,6 +26,17 @@ def test_stream_prepare_equals_static(spark):
     assert got == want and len(got) > 10
 
 
+def test_replayed_batch_adds_no_rows(spark):
+    toks = spark.createDataFrame([(i, [i] * 5) for i in range(40)], "doc_id long, input_ids array<int>")
+    sink = os.path.join(tempfile.mkdtemp(prefix="corpusprep-stream-"), "out")
+    for seed in (None, 7):
+        for batch_id in (0, 1, 1, 0):
+            ST.pack_batch(toks, batch_id, sink, 8, "doc_id", 10, seed)
+        out = spark.read.parquet(sink)
+        assert out.groupBy("batch_id").count().count() == 2 and out.count() == 2 * 4 * 6
+        assert out.dropDuplicates(["batch_id", "group_id", "block_id"]).count() == out.count()
+
+
 def test_entry_flagship(spark):
     import __spark_entry__ as E
     from corpusprep.plans import recipe as R
@@ -32,7 +46,7 @@ def test_entry_flagship(spark):
     assert df.count() > 0
     # without a flagged-word list the en recipe keeps 180 of 200 documents (survey anchor)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    out = R.run_recipe(docs, R.EN_RECIPE, R.RecipeContext(id_col="doc_id"))
+    out = R.run_recipe(docs, R.EN_RECIPE, R.RecipeContext(id_col="doc_id", flagged_words={"en": []}))
     assert out.count() == 180
 
 
@@ -43,10 +57,43 @@ def test_every_query_has_an_oracle_or_is_marked():
     assert len(q) >= 30
 
 
-def test_plans_have_no_row_udfs_or_cartesian(spark):
-    import __spark_entry__ as E
-    qs = E.queries()
-    for name in ["exact_dedup", "quality_stats", "near_pairs", "sft_dialogs", "packed_blocks", "preferences"]:
-        plan = qs[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+# what a query's first scan of a table must not read beyond
+NEEDED = {"head_split": {"doc_id"}, "shuffle_order": {"doc_id"}, "take_docs": {"doc_id", "lang"},
+          "argmax_embeddings": {"vec_id", "embedding"}, "exact_dedup": {"doc_id", "text", "lang"},
+          "remove_null_text": {"doc_id", "text"}, "filter_rows_pandas": {"doc_id", "lang", "n_chars"},
+          "quality_stats": {"doc_id", "text"}, "simhash_en": {"doc_id", "text"}}
+
+
+def test_plans_scan_files_without_row_udfs_or_cartesian(spark):
+    from corpusprep.plans import catalog
+    for name, fn in catalog.queries().items():
+        if name.startswith("stream"):
+            continue
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan or "Scan parquet" in plan, name
         assert "BatchEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        for m in re.finditer(r"ReadSchema: struct<([^>]*)>?", plan):
+            if name in NEEDED:
+                read = {c.split(":")[0] for c in m[1].split(",") if ":" in c}
+                assert read <= NEEDED[name] | {"__key", "element"}, (name, read)
+
+
+def test_shared_folder_is_required_off_local_masters(monkeypatch):
+    from corpusprep import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -3,45 +3,44 @@ from pyspark.sql import functions as F
 from corpusprep.operators import tokens as TK
 
 
-def python_encode_dialog(ids, bos, eos, ms, mt):
-    """The turn loop, written plainly."""
-    input_ids, labels, truncated = [], [], False
-    for i in range(len(ids) // 2):
-        s = ([bos] if i == 0 else []) + ids[2 * i]
-        t = ids[2 * i + 1]
-        if len(s) > ms:
-            s, truncated = s[:ms], True
-        if len(t) > mt - 1:
-            t, truncated = t[:mt - 1], True
-        if s and s[0] == eos:
-            s = s[1:]
-        if t and t[-1] == eos:
-            t = t[:-1]
-        if len(input_ids) + len(s) + len(t) + 1 > ms + mt:
-            break
-        input_ids += s + t + [eos]
-        labels += [-100] * len(s) + t + [eos]
-    return input_ids, labels, truncated
-
-
+# Worked by hand with BOS 1, EOS 2 and limits 5 + 5: (ids of source0, target0, source1, ...), input_ids, labels,
+# truncated, turns kept. -100 stands for an ignored label.
+X = -100
 CASES = [
-    [[5, 6], [7, 8]],
-    [[5, 6, 7, 8], [9]],                      # source at limit after BOS (ms=5): 5 ids
-    [[5, 6, 7, 8, 9], [9]],                   # source over by one
-    [[2, 5], [6, 2]],                         # source starts with EOS, target ends with EOS
-    [[5], [6, 7, 8], [5], [6, 7, 8, 9]],      # second turn cut and overflowing
-    [[5], [6], [5, 6, 7], [8, 9, 10, 11]],    # second turn overflows by one: lost, not truncated
-    [[], []],
+    ([[5, 6], [7, 8]], [1, 5, 6, 7, 8, 2], [X, X, X, 7, 8, 2], False, 1),
+    ([[5, 6, 7, 8], [9]], [1, 5, 6, 7, 8, 9, 2], [X, X, X, X, X, 9, 2], False, 1),       # 5 ids with BOS: just fits
+    ([[5, 6, 7, 8, 9], [9]], [1, 5, 6, 7, 8, 9, 2], [X, X, X, X, X, 9, 2], True, 1),      # one more is cut
+    ([[5], [6, 2]], [1, 5, 6, 2], [X, X, 6, 2], False, 1),                                # a target's own EOS is not doubled
+    ([[5], [6, 7, 8], [5], [6, 7, 8, 9]], [1, 5, 6, 7, 8, 2], [X, X, 6, 7, 8, 2], False, 1),  # 6 + 6 > 10: turn 2 lost
+    ([[5], [6], [5, 6, 7], [8, 9]], [1, 5, 6, 2, 5, 6, 7, 8, 9, 2], [X, X, 6, 2, X, X, X, 8, 9, 2], False, 2),
+    ([[5], [6], [5, 6, 7], [8, 9, 10]], [1, 5, 6, 2], [X, X, 6, 2], False, 1),            # over by one: lost, not cut
+    ([[5], [6], [5, 6, 7], [8, 9, 10, 11, 12]], [1, 5, 6, 2], [X, X, 6, 2], True, 1),     # cut, then lost: still marked
+    ([[], []], [1, 2], [X, 2], False, 1),
+    ([[5], [6], [2, 7], [8]], [1, 5, 6, 2, 7, 8, 2], [X, X, 6, 2, X, 8, 2], False, 2),    # a source's leading EOS goes
 ]
 
 
-def test_encode_dialog_matches_turn_loop(spark):
-    bos, eos, ms, mt = 1, 2, 5, 5
-    df = spark.createDataFrame([(i, c) for i, c in enumerate(CASES)], "i int, ids array<array<int>>")
-    out = df.select("i", TK.encode_dialog(F.col("ids"), bos, eos, ms, mt).alias("e")).collect()
+def test_encode_dialog_by_hand(spark):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "i int, ids array<array<int>>")
+    out = df.select("i", TK.encode_dialog(F.col("ids"), 1, 2, 5, 5).alias("e")).collect()
+    assert len(out) == len(CASES)
     for r in out:
-        want = python_encode_dialog(CASES[r.i], bos, eos, ms, mt)
-        assert (list(r.e.input_ids), list(r.e.labels), r.e.truncated) == want, CASES[r.i]
+        got = (list(r.e.input_ids), list(r.e.labels), r.e.truncated, r.e.n_turns_kept)
+        assert got == CASES[r.i][1:], CASES[r.i]
+
+
+def test_encoder_udf_and_separator(spark):
+    enc = TK.encoder_udf(lambda: lambda texts: [[ord(c) for c in t] for t in texts])
+    df = spark.createDataFrame([("ab",), (None,)], "text string")
+    assert [list(r.i) for r in df.select(enc("text").alias("i")).collect()] == [[97, 98], []]
+    v = TK.Vocabulary(["<unk>", "<s>", "</s>", "a", "b"])
+    ids = spark.createDataFrame([([3, 4, 99],)], "x array<int>")
+    assert TK.decode_ids(ids, v, F.col("x"), "t", sep="|").first().t == "a|b|<?>"
+
+
+def test_preference_pad_id():
+    assert TK.preference_pad_id(TK.Vocabulary(["a", "b"], specials=(), unk_token=None, bos_token=None, eos_token=None)) == 0
+    assert TK.preference_pad_id(TK.Vocabulary(["a", "<p>"], pad_token="<p>")) == 1
 
 
 def test_vocabulary_order_and_encode(spark):

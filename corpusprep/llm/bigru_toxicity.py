@@ -16,8 +16,8 @@ a word's inputs are computed once per distinct word of a slice of rows.
 
 Defined results: null and empty texts have one window without words; a row with a
 null id is scored (held_out false) and never trained on; repeated rows get equal
-scores. Extra columns are ignored. Without a labelled row of either class ``fit``
-raises; an empty table to score gives no row.
+scores. Extra columns are ignored. Without labelled rows of both classes there is nothing
+to learn from: every text then scores 0. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -252,6 +252,8 @@ class Model:
         return np.stack([top, mean, chance * 8], axis=1)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
+        if self.weight is None:
+            return np.zeros(len(texts))
         return _sigmoid(self.evidence(texts) @ self.weight + self.bias)
 
 
@@ -274,8 +276,8 @@ def fit_texts(texts: list[bytes], labels: np.ndarray, base_rate: float | None =
               min_steps: int = 240, batch: int = 256, rate: float = 8e-3) -> Model:
     """Train on whole texts with 0/1 labels; every fifth text calibrates instead of training."""
     labels = np.asarray(labels)
-    if labels.min(initial=1) == labels.max(initial=0):
-        raise ValueError("both classes are needed")
+    if len(set(labels.tolist())) < 2:
+        return Model({})
     rng = np.random.default_rng(seed)
     tune = np.arange(len(texts)) % 5 == 4
     if len(set(labels[tune])) < 2 or len(set(labels[~tune])) < 2:

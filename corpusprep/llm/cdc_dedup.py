@@ -17,7 +17,8 @@ text leaves its row until that last join.
 Defined results: a null text counts as empty and stays null; rows with a null id
 take no part and keep their text; rows that repeat an id are told apart by their
 text, and equal rows get equal results. Cuts never split a UTF-8 character.
-Extra columns pass through ``deduplicate`` untouched. An empty table gives no row.
+Extra columns pass through ``deduplicate`` untouched, but for those named like the added
+ones. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -167,13 +168,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document whose every chunk in a run repeats elsewhere may end up empty; it stays as an empty text.
     """
     chunker = chunker or Chunker()
-    places = duplicate_places(docs, id_col, text_col, chunker).withColumnRenamed("id", "__cdc_id")
-    joined = docs.join(places, F.col(id_col) == F.col("__cdc_id"), "left").drop("__cdc_id") \
-        .withColumnRenamed("locs", "__cdc_locs")
+    added = [f"cdc_{n}" for n in ("bytes", "chunks", "duplicates", "removed", "spans")] if stats else []
+    docs = docs.drop(*added)
+    places = duplicate_places(docs, id_col, text_col, chunker).select(
+        F.col("id").alias("__cdc_id"), F.col("locs").alias("__cdc_locs"))
+    joined = docs.join(places, F.col(id_col) == F.col("__cdc_id"), "left").drop("__cdc_id")
     names = docs.columns
     fields = list(docs.schema.fields)
-    if stats:
-        fields += [T.StructField(f"cdc_{n}", T.LongType()) for n in ("bytes", "chunks", "duplicates", "removed", "spans")]
+    fields += [T.StructField(n, T.LongType()) for n in added]
     text_at, id_at = names.index(text_col), names.index(id_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

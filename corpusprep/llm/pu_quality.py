@@ -20,9 +20,9 @@ covers every row.
 
 Defined results: null and empty texts are scored on zero features; rows with a
 null id are scored (held_out false) and never trained on; repeated rows get equal
-scores. Extra columns pass through ``filter_quality`` untouched. Without a single
-positive there is nothing to fit and ``fit`` raises; an empty table to score gives
-no row.
+scores. Extra columns pass through ``filter_quality`` untouched. Without a positive or
+an unlabelled row there is nothing to learn from: every text then scores 1 and nothing
+is rejected. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -179,13 +179,14 @@ def estimate_prior(pos_scores: np.ndarray, unl_scores: np.ndarray, confidence: f
     if not ok.any():
         return 0.5
     best = np.argmin(((qu + (1 + slack) * room) / np.maximum(qp, 1e-9))[ok])
-    return float(np.clip((qu / qp)[ok][best], 0.01, 0.99))
+    return float(np.clip(qu[ok][best] / qp[ok][best], 0.01, 0.99))
 
 
 def fit_matrix(pos: np.ndarray, unl: np.ndarray, seed: int = 7, steps: int = 4000) -> Network:
     """nnPU network from positive and unlabelled feature rows, with the prior estimated by two-fold cross-scoring."""
     if len(pos) == 0 or len(unl) == 0:
-        raise ValueError("positive and unlabelled rows are both needed")
+        zero = np.zeros(N_FEATURES)
+        return Network(zero, zero + 1, np.zeros((N_FEATURES, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), zero, 100.0, 1.0)
     ps, us = np.empty(len(pos)), np.empty(len(unl))
     for fold in (0, 1):
         tp, tu = np.arange(len(pos)) % 2 == fold, np.arange(len(unl)) % 2 == fold
@@ -235,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x = feature_rows(rows, id_col, text_col).join(F.broadcast(picked), F.col("id") == F.col("__id"))
     got = x.select("id", "p", "x").toPandas()
     if got.empty:
-        raise ValueError("no row to fit on")
+        return fit_matrix(np.empty((0, N_FEATURES)), np.empty((0, N_FEATURES)))
     got["first"] = got["x"].map(lambda a: float(a[0]))
     got = got.sort_values(["id", "first"]).drop_duplicates("id")
     m = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), N_FEATURES)

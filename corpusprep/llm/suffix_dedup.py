@@ -18,9 +18,12 @@ suffixes that begin at anchors are sorted, about one in 70:
    a known prefix again (``suffix_runs``). In the merged order an anchor's suffixes are
    neighbours, and their common prefixes, with those of the text to the left of the
    anchor, tell exactly which windows repeat.
-3. An anchor with more than ``hot`` suffixes to sort (a passage in a third of all
-   texts) would be one large group: the windows of its distinct superstrings are counted
-   one by one by digest instead, an aggregation with map-side combine.
+   Equal superstrings are counted by digest before, so a string is sorted once however
+   many texts hold it.
+3. An anchor with more than ``hot`` different superstrings (the ends of a passage that a
+   third of all texts hold) would be one large group: their windows are counted by digest
+   instead, first in blocks of 16, then one by one where a block is alone; these are
+   aggregations with map-side combine.
 
 The repeated windows of a text go back to it by its row key. Anchors' hashes are kept
 out of the plan by two bit maps of fixed size (``filter_bits``), which only save work:
@@ -30,12 +33,13 @@ Texts are bytes: a null text is empty. Rows are counted as they are, so repeated
 repeat each other, whatever their ids; a null id is an id like any other. Texts shorter
 than ``length`` keep everything. Extra columns are ignored; an empty table gives no row.
 Equal means equal 64-bit hash for anchors together with equal 64-bit digest of the whole
-superstring in step 1, bytes in step 2, and a 128-bit digest in step 3.
+superstring in step 1, bytes in the sorted runs, and a 128-bit digest where strings are counted.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
@@ -48,7 +52,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import grouped_rows, text_slices
-from .suffix_runs import front_code, merge_runs, repeated_offsets
+from .suffix_runs import front_code, front_decode, merge_runs, repeated_offsets
 
 #: Production parameters.
 LENGTH, ANCHOR = 200, 64
@@ -133,14 +137,14 @@ class _Filter:
         self.words, self.bits = words, bits
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> np.uint64(64 - self.bits)
+        at = hashes & np.uint64((1 << self.bits) - 1)  # low bits: anchors are minima, their high bits are mostly zero
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
     @classmethod
     def of(cls, hashes: DataFrame, col: str, bits: int) -> _Filter:
-        at = F.shiftrightunsigned(F.col(col), 64 - bits)
+        at = F.col(col).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
         rows = hashes.groupBy(F.shiftrightunsigned(at, 6).alias("w")).agg(
-            F.expr(f"bit_or(shiftleft(1L, int(shiftrightunsigned({col}, {64 - bits}) & 63)))").alias("b"))
+            F.expr(f"bit_or(shiftleft(1L, int({col} & 63)))").alias("b"))
         got = rows.toArrow()  # at most 2^(bits - 6) rows, whatever the corpus
         words = np.zeros(max(1, 1 << (bits - 6)), dtype=np.uint64)
         words[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
@@ -175,7 +179,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
     counted = rows.select("row_key", "text").mapInArrow(count, "anchor long, digest long").groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-    again = materialize(counted.where("n > 1").select("anchor", "n", (F.col("lo") == F.col("hi")).alias("same")), "anchors")
+    again = materialize(counted.where("n > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("same")), "anchors")
     # two bit maps of fixed size go to the tasks, whatever the corpus
     repeats = sc.broadcast(_Filter.of(again, "anchor", filter_bits))
     mixed = sc.broadcast(_Filter.of(again.where("NOT same"), "anchor", filter_bits))
@@ -196,78 +200,98 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     found = rows.select("row_key", "text").mapInArrow(
         candidates, "anchor long, row_key long, at long, first long, last long, string binary")
     # written once: both the spans that are settled and the suffixes to sort are read from it
-    found = materialize(found.join(again, "anchor").withColumn("string", F.expr("CASE WHEN NOT same THEN string END")), "superstrings")
+    found = materialize(found.join(again, "anchor").withColumn(
+        "string", F.expr("CASE WHEN NOT same THEN string END")), "superstrings")
     settled = found.where("same").select("row_key", "first", "last")
-    todo = found.where("NOT same").select("anchor", "row_key", "at", "first", "last", "string", "n")
-    return settled.unionByName(_sorted_out(todo, length, anchor, hot))
+    todo = found.where("NOT same").select("anchor", "row_key", "at", "first", "last", "string")
+    return settled.unionByName(_mixed_spans(todo, length, anchor, hot))
 
 
-_MEMBER = "n long, row_key long, at long, first long, last long"
-
-
-def _sorted_out(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFrame:
+def _mixed_spans(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFrame:
     """The repeated window intervals among superstrings whose anchor has several different ones."""
+    named = todo.withColumn("name", F.unhex(F.md5(F.concat((F.col("at") - F.col("first")).cast("string").cast("binary"), "string"))))
+    classes = materialize(named.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at", "first", "last")).alias("m"),
+        F.first("string").alias("string"), F.first("anchor").alias("anchor")).select(
+        "name", "n", "anchor", "string", "m.*"), "classes")
+    again = named.select("name", "row_key", "first", "last").join(classes.where("n > 1").select("name"), "name")
+    crowded = materialize(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("anchor"),
+                          "crowded")
+    single = F.col("n") == 1
+    few = classes.join(crowded, "anchor", "left_anti").withColumn("single", single)
+    many = classes.join(crowded, "anchor", "left_semi").withColumn("single", single)
+    keep = ["string", "single", "row_key", "at", "first", "last"]
+    return (again.select("row_key", "first", "last")
+            .unionByName(_sorted_out(few.select(*keep), length, anchor)).unionByName(_counted_out(many.select(*keep), length)))
+
+
+BLOCK = 16
+
+
+def _counted_out(units: DataFrame, length: int) -> DataFrame:
+    """Repeated windows found by counting digests, of whole blocks of ``BLOCK`` windows first."""
+    out = None
+    for size in (BLOCK, 1):
+        def cut(batches: Iterable[pa.RecordBatch], size: int = size) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 512):
+                    rows = []
+                    for u in batch.slice(lo, 512).to_pylist():
+                        # window w stands at - w before the anchor: blocks are cut by that offset, alike in all strings
+                        w = u["first"]
+                        while w <= u["last"]:
+                            stop = min(u["last"], u["at"] - (u["at"] - w) // size * size)
+                            text = u["string"][w - u["first"]:stop - u["first"] + length]
+                            name = blake2b(text, digest_size=16, salt=(u["at"] - w).to_bytes(4, "little")).digest()
+                            rows.append((int.from_bytes(name[:8], "little", signed=True), int.from_bytes(name[8:], "little", signed=True),
+                                         text if size > 1 else None, u["single"], u["row_key"], u["at"], w, stop))
+                            w = stop + 1
+                    cols = list(zip(*rows)) or [()] * 8
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, block_schema)], schema=block_schema)
+
+        block_schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("string", pa.binary()), ("single", pa.bool_()),
+                                  *[(c, pa.int64()) for c in ("row_key", "at", "first", "last")]])
+        blocks = materialize(units.mapInArrow(
+            cut, "d1 long, d2 long, string binary, single boolean, row_key long, at long, first long, last long"), "blocks")
+        # a string that stands for several counts as two
+        often = materialize(blocks.groupBy("d1", "d2").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n"))
+                            .where("n > 1").select("d1", "d2"), "often")
+        hit = blocks.join(often, ["d1", "d2"])
+        spans = hit.where("single").select("row_key", "first", "last")
+        out = spans if out is None else out.unionByName(spans)
+        # what is alone goes on in smaller pieces, and one of each kind that is not, to be compared with
+        rest = blocks.join(often, ["d1", "d2"], "left_anti").select("string", "single", "row_key", "at", "first", "last")
+        kinds = hit.dropDuplicates(["d1", "d2"]).select("string", F.lit(False).alias("single"), "row_key", "at", "first", "last")
+        units = rest.unionByName(kinds)
+    return out
+
+
+def _sorted_out(todo: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Repeated windows of different superstrings, found by merging sorted runs of their suffixes from the anchor on."""
     spark = todo.sparkSession
     size = todo.agg(F.sum(F.length("string"))).first()[0] or 0
     n_parts = int(size // PART_BYTES) + 1
-    sample = todo.where(F.col("n") <= hot).select(
-        F.expr(f"substring(string, int(at - first) + 1, {anchor})").alias("s"), "row_key", "at")
+    sample = todo.select(F.expr(f"substring(string, int(at - first) + 1, {anchor})").alias("s"), "row_key", "at")
     points = sorted(bytes(r.s) for r in sample.orderBy(F.xxhash64("row_key", "at"), "row_key", "at").limit(SPLITTER_SAMPLE).collect())
     splitters = sorted({points[len(points) * i // n_parts] for i in range(1, n_parts)} if points else set())
 
-    piece = pa.struct([("lcp", pa.list_(pa.int32())), ("rest", pa.list_(pa.binary())), ("left_lcp", pa.list_(pa.int32())),
-                       ("left_rest", pa.list_(pa.binary())), ("single", pa.list_(pa.bool_())),
-                       ("row_key", pa.list_(pa.int64())), ("at", pa.list_(pa.int64())), ("before", pa.list_(pa.int64())),
-                       ("windows", pa.list_(pa.int64()))])
-
     def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each task's sorted runs, cut at the splitters; what a run holds twice is settled and goes on once."""
-        from bisect import bisect_right
+        """Each task's sorted runs, front-coded and cut at the splitters."""
 
-        def one_run(held: list[dict]):
-            held.sort(key=lambda r: (r["right"], r["left"], r["back"], r["n"] > hot))
-            spans, digests, out = [], [], []
+        def emit(held: list[dict]) -> Iterator[pa.RecordBatch]:
+            held.sort(key=lambda r: (r["right"], r["left"]))
+            parts = [bisect_right(splitters, r["right"][:anchor]) for r in held]
             k = 0
             while k < len(held):
-                stop = k + 1
-                same = lambda a, b: (a["right"], a["left"], a["back"]) == (b["right"], b["left"], b["back"])
-                while stop < len(held) and same(held[k], held[stop]):
-                    stop += 1
-                single = stop == k + 1
-                if not single:
-                    spans += [(r["row_key"], r["first"], r["last"]) for r in held[k:stop]]
-                r = held[k]
-                if r["n"] > hot:
-                    whole = r["string"]
-                    for w in range(r["last"] - r["first"] + 1):
-                        name = blake2b(whole[w:w + length], digest_size=16).digest()
-                        digests.append((name, 1 if single else 2, r["row_key"], r["first"] + w))
-                else:
-                    out.append((bisect_right(splitters, r["right"][:anchor]), single, r))
-                k = stop
-            return spans, digests, out
-
-        def emit(held):
-            spans, digests, out = one_run(held)
-            blank = {"part": None, "piece": None, "d1": None, "d2": None, "n": None, "row_key": None, "first": None, "last": None}
-            rows = [blank | {"row_key": a, "first": b, "last": c} for a, b, c in spans]
-            rows += [blank | {"d1": int.from_bytes(d[:8], "little", signed=True), "d2": int.from_bytes(d[8:], "little", signed=True),
-                              "n": n, "row_key": a, "first": b} for d, n, a, b in digests]
-            for lo in range(0, len(rows), 8192):
-                yield pa.RecordBatch.from_pylist(rows[lo:lo + 8192], schema=out_schema)
-            k = 0
-            while k < len(out):
-                stop = k
-                while stop < len(out) and out[stop][0] == out[k][0] and stop - k < 4096:
-                    stop += 1
-                recs = [r for _, _, r in out[k:stop]]
+                stop = min(len(held), k + 4096, bisect_right(parts, parts[k]))
+                recs = held[k:stop]
                 lcp, rest = front_code([r["right"] for r in recs])
                 left_lcp, left_rest = front_code([r["left"] for r in recs])
-                yield pa.RecordBatch.from_pylist([blank | {"part": out[k][0], "piece": {
-                    "lcp": lcp, "rest": rest, "left_lcp": left_lcp, "left_rest": left_rest,
-                    "single": [s for _, s, _ in out[k:stop]], "row_key": [r["row_key"] for r in recs],
+                yield pa.RecordBatch.from_pylist([{
+                    "part": parts[k], "lcp": lcp, "rest": rest, "left_lcp": left_lcp, "left_rest": left_rest,
+                    "single": [r["single"] for r in recs], "row_key": [r["row_key"] for r in recs],
                     "at": [r["at"] for r in recs], "before": [r["at"] - r["first"] for r in recs],
-                    "windows": [r["last"] - r["first"] for r in recs]}}], schema=out_schema)
+                    "windows": [r["last"] - r["first"] for r in recs]}], schema=piece)
                 k = stop
 
         held, held_bytes = [], 0
@@ -275,7 +299,7 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFram
             for lo in range(0, batch.num_rows, 2048):
                 for r in batch.slice(lo, 2048).to_pylist():
                     cut = r["at"] - r["first"]
-                    r["right"], r["left"], r["back"] = r["string"][cut:], r["string"][:cut][::-1], len(r["string"])
+                    r["right"], r["left"] = r["string"][cut:], r["string"][:cut][::-1]
                     held.append(r)
                     held_bytes += 2 * len(r["string"]) + 400
                 if held_bytes >= RUN_BYTES:
@@ -284,32 +308,20 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFram
         if held:
             yield from emit(held)
 
-    out_schema = pa.schema([("part", pa.int32()), ("piece", piece), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()),
-                            ("row_key", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
-    piece_ddl = ("struct<lcp:array<int>,rest:array<binary>,left_lcp:array<int>,left_rest:array<binary>,single:array<boolean>,"
-                 "row_key:array<bigint>,at:array<bigint>,before:array<bigint>,windows:array<bigint>>")
-    made = materialize(todo.mapInArrow(runs, f"part int, piece {piece_ddl}, d1 long, d2 long, n long, row_key long, "
-                                             "first long, last long"), "suffix-runs")
-    settled = made.where("part IS NULL AND d1 IS NULL").select("row_key", "first", "last")
-
-    # hot anchors: windows one by one
-    windows = made.where("d1 IS NOT NULL").select("d1", "d2", "n", "row_key", "first")
-    often = materialize(windows.groupBy("d1", "d2").agg(F.sum("n").alias("all")).where("all > 1").select("d1", "d2"), "windows")
-    by_window = windows.where("n = 1").join(often, ["d1", "d2"]).select("row_key", "first", F.col("first").alias("last"))
+    piece = pa.schema([("part", pa.int32()), ("lcp", pa.list_(pa.int32())), ("rest", pa.list_(pa.binary())),
+                       ("left_lcp", pa.list_(pa.int32())), ("left_rest", pa.list_(pa.binary())), ("single", pa.list_(pa.bool_())),
+                       *[(c, pa.list_(pa.int64())) for c in ("row_key", "at", "before", "windows")]])
+    made = todo.mapInArrow(runs, "part int, lcp array<int>, rest array<binary>, left_lcp array<int>, left_rest array<binary>, "
+                                 "single array<boolean>, row_key array<bigint>, at array<bigint>, before array<bigint>, "
+                                 "windows array<bigint>")
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped_rows(batches, ["part"]):
             parts = table["part"].to_numpy()
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(parts)) + 1)).tolist()
             for lo, hi in zip(cuts, [*cuts[1:], len(parts)]):
-                pieces = table["piece"].slice(lo, hi - lo).to_pylist()
-                lefts = []
-                for p in pieces:
-                    prev, own = b"", []
-                    for k, rest in zip(p["left_lcp"], p["left_rest"]):
-                        prev = prev[:k] + rest
-                        own.append(prev)
-                    lefts.append(own)
+                pieces = table.slice(lo, hi - lo).to_pylist()
+                lefts = [[s for _, s in front_decode(p["left_lcp"], p["left_rest"])] for p in pieces]
                 spans: list[tuple[int, int, int]] = []
                 group: list[tuple[int, bytes, int, int]] = []
 
@@ -334,9 +346,8 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["row_key", "first", "last"])
 
     n = max(n_parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    merged = (made.where("part IS NOT NULL").select("part", "piece").repartition(n, "part").sortWithinPartitions("part")
-              .mapInArrow(merge, "row_key long, first long, last long"))
-    return settled.unionByName(by_window).unionByName(merged)
+    return (made.repartition(n, "part").sortWithinPartitions("part")
+            .mapInArrow(merge, "row_key long, first long, last long"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.splits import random_split
+from ..session import materialize
 
 CONVERSATION_TYPE = T.ArrayType(T.StructType([
     T.StructField("from", T.StringType()),
@@ -23,9 +24,16 @@ CONVERSATION_TYPE = T.ArrayType(T.StructType([
 ]))
 
 
+#: Session setting, off by default: tables are dealt over so many partitions first. For local runs on files of a single
+#: row group, which Spark cannot split; a real corpus has row groups enough and is scanned as it is.
+SPREAD = "spark.corpusprep.spreadTables"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables (``<sf_dir>/<name>.parquet``): a plain scan, so columns and filters reach it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    parts = spark.conf.get(SPREAD, None)
+    return materialize(df.repartition(int(parts)), f"spread-{name}") if parts else df
 
 
 def _load(spark: SparkSession, data_dir: str, glob: str, fmt: str, schema, **options) -> DataFrame | None:

@@ -16,6 +16,18 @@ from pyspark.sql import functions as F
 SAMPLE_KEYS, GROUPS, CUTS = 16384, 32, 32
 
 
+def smallest_hashes(df: DataFrame, limit: int, hashed: Column, *ties: str) -> DataFrame:
+    """The ``limit`` rows with the smallest 64-bit hashes (``ties`` by these columns); the same for the same rows.
+
+    A threshold from the row count goes first, so about twice ``limit`` rows leave their tasks in all, however many
+    tasks there are. Rows that share one hash may make it fewer than ``limit``.
+    """
+    n = df.count()
+    if n > 2 * limit:
+        df = df.where(hashed < F.lit(int(-2**63 + 2**64 * (2 * limit / n))).cast("long"))
+    return df.orderBy(hashed, *ties).limit(limit)
+
+
 def _bucket(key: Column, bounds: list) -> Column:
     """How many boundaries lie below ``key``, counted in two steps of about sqrt(n) comparisons."""
     if not bounds:
@@ -34,7 +46,7 @@ def with_row_index(df: DataFrame, order_col: str | Column, index_col: str = "row
     """
     key = F.col(order_col) if isinstance(order_col, str) else order_col
     keys = df.select(key.alias("__key"))
-    got = (keys.where(F.col("__key").isNotNull()).orderBy(F.xxhash64("__key"), "__key").limit(SAMPLE_KEYS).collect())
+    got = smallest_hashes(keys.where(F.col("__key").isNotNull()), SAMPLE_KEYS, F.xxhash64("__key"), "__key").collect()
     sample = sorted(r[0] for r in got)
     n = GROUPS * CUTS
     bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.splits import smallest_hashes
 from .common import text_slices
 from .pu_quality import held_out
 from .string_tiling import lowered, token_hashes
@@ -334,9 +335,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .groupBy(id_col).agg(F.max(label_col).alias("y"))
     known = known.join(docs.select(id_col), id_col, "left_semi")
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    by_hash = [F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)]
-    picked = (known.where("y = 1").orderBy(*by_hash).limit(max_positive)
-              .unionByName(known.where("y = 0").orderBy(*by_hash).limit(max_negative))
+    hashed = F.xxhash64(F.col(id_col), F.lit(seed))
+    picked = (smallest_hashes(known.where("y = 1"), max_positive, hashed, id_col)
+              .unionByName(smallest_hashes(known.where("y = 0"), max_negative, hashed, id_col))
               .withColumnRenamed(id_col, "__id"))  # at most max_positive + max_negative ids
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("__id"))
     got = rows.select(id_col, text_col, "y").toPandas().sort_values([id_col, text_col]).drop_duplicates(id_col)

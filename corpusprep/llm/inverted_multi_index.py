@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.splits import smallest_hashes
 from ..session import materialize
 from .common import grouped_rows
 
@@ -118,7 +119,7 @@ def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def fit_codebooks(rows: DataFrame, centroids: int = CENTROIDS, sample_rows: int = SAMPLE_ROWS) -> Codebooks | None:
     """Codebooks from the ``sample_rows`` rows with the smallest id hashes; ``rows`` as ``clean`` gives them."""
-    got = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).toPandas().sort_values("id")
+    got = smallest_hashes(rows, sample_rows, F.xxhash64("id"), "id").toPandas().sort_values("id")
     if got.empty:
         return None
     x = unit(np.array(got["v"].tolist(), dtype=np.float64))

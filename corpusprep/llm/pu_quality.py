@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.splits import smallest_hashes
 from .common import text_slices
 from .string_tiling import lowered, token_hashes
 
@@ -225,11 +226,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         seed: int = 7) -> Network:
     """Fit on the rows with the smallest hashes: labelled 1 (outside ``out``) as positives, never labelled as unlabelled."""
     out = held_out(id_col) if out is None else out
-    by_hash = [F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)]
+    hashed = F.xxhash64(F.col(id_col), F.lit(seed))
     known = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
-    ids = docs.select(id_col).where(F.col(id_col).isNotNull() & ~out).join(known, id_col, "left")
-    pos = ids.where(F.col("y") == 1).select(id_col).distinct().orderBy(*by_hash).limit(max_positives)
-    unl = ids.where(F.col("y").isNull()).select(id_col).distinct().orderBy(*by_hash).limit(max_unlabelled)
+    ids = docs.select(id_col).where(F.col(id_col).isNotNull() & ~out).distinct().join(known, id_col, "left")
+    pos = smallest_hashes(ids.where(F.col("y") == 1).select(id_col), max_positives, hashed, id_col)
+    unl = smallest_hashes(ids.where(F.col("y").isNull()).select(id_col), max_unlabelled, hashed, id_col)
     picked = (pos.withColumn("p", F.lit(1)).unionByName(unl.withColumn("p", F.lit(0)))
               .withColumnRenamed(id_col, "__id"))  # at most max_positives + max_unlabelled ids
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("__id"))

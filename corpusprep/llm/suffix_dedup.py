@@ -50,6 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.splits import smallest_hashes
 from ..session import materialize
 from .common import grouped_rows, text_slices
 from .suffix_runs import front_code, front_decode, merge_runs, repeated_offsets
@@ -272,7 +273,8 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int) -> DataFrame:
     size = todo.agg(F.sum(F.length("string"))).first()[0] or 0
     n_parts = int(size // PART_BYTES) + 1
     sample = todo.select(F.expr(f"substring(string, int(at - first) + 1, {anchor})").alias("s"), "row_key", "at")
-    points = sorted(bytes(r.s) for r in sample.orderBy(F.xxhash64("row_key", "at"), "row_key", "at").limit(SPLITTER_SAMPLE).collect())
+    sample = smallest_hashes(sample, SPLITTER_SAMPLE, F.xxhash64("row_key", "at"), "row_key", "at")
+    points = sorted(bytes(r.s) for r in sample.collect())
     splitters = sorted({points[len(points) * i // n_parts] for i in range(1, n_parts)} if points else set())
 
     def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

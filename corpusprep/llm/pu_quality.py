@@ -111,7 +111,7 @@ def features(texts: list[bytes]) -> np.ndarray:
 # ------------------------------------------------------------------ model
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
 @dataclass

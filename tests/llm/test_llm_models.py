@@ -4,12 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.llm import bigru_toxicity as B
 from corpusprep.llm import pu_quality as P
 
-SF = "/root/testdata/sf0.01"
 EDGE = [(1, None), (2, ""), (3, " \n"), (4, "x"), (5, "word " * 200_000), (6, "same"), (6, "same"), (None, "some text"), (7, "é" * 50)]
 
 
@@ -57,16 +57,18 @@ def test_quality_edge_rows_and_missing_labels(spark):
     assert P.filter_quality(docs, P.fit(docs, none)).columns == docs.columns
 
 
-def test_quality_query_on_held_out_labels(spark):
+@pytest.mark.parametrize("sf, least", [("/root/testdata/sf0.01", 0.85), ("/root/testdata/sf0.1", 0.95)])
+def test_quality_query_on_held_out_labels(spark, sf, least):
+    """With the 300 labels of sf0.01 about one text in ten is judged wrong (junk kept); sf0.1 has ten times as many."""
     import __spark_entry__ as E
-    got = {r.doc_id: r for r in E.queries()["op6_pu_quality"](spark, SF).collect()}
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    got = {r.doc_id: r for r in E.queries()["op6_pu_quality"](spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert all(r.held_out == held(i, 4, 2) and r.predicted == int(r.score >= 0.7) for i, r in got.items())
     test = [(got[i].predicted, y) for i, y in labels.items() if i in got and held(i, 4, 2)]
     kept = [p for p, y in test if y == 1]
     assert sum(kept) >= 0.95 * len(kept)
-    assert sum(p == y for p, y in test) >= 0.9 * len(test)
+    assert sum(p == y for p, y in test) >= least * len(test)
 
 
 # ------------------------------------------------------------------ toxicity

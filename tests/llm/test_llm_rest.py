@@ -321,6 +321,40 @@ def test_pipeline_stages_on_the_small_table(spark):
     assert {"block", "mix_key"} <= set(docs.columns) and docs.count() > 100
 
 
+def test_pipeline_stages_decide_by_row_and_not_by_id(spark, tmp_path):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    row = lambda i, t: (i, t, "en", "s", len(t or ""))
+
+    def rows_after(stage, rows, name):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / name))
+        out = stage(spark, spark.read.parquet(str(tmp_path / name)), str(tmp_path))
+        assert out.columns == schema.names
+        return Counter((r.doc_id, r.text) for r in out.collect())
+
+    a, b, c, d, e = (text(100) for _ in range(5))
+    # one near copy in id 5 does not take the clean row of that id; equal rows and null-id copies leave one
+    got = rows_after(corpus_pipeline.near_dedup, [
+        row(1, a), row(5, a), row(5, b), row(6, c), row(6, c), row(None, c), row(None, d), row(None, d), row(None, e)], "near")
+    assert got == Counter([(1, a), (5, b), (6, c), (None, d), (None, e)])
+
+    # a passage shared by rows of one id, or held by rows without one, stays once
+    p, q = text(80), text(80)
+    rows = [row(3, text(50) + " " + p), row(3, text(51) + " " + p), row(None, text(50) + " " + q), row(None, text(52) + " " + q),
+            row(4, "short"), row(4, "short"), row(None, None), row(None, None), row(8, a), row(8, a), row(None, b), row(None, b)]
+    got = rows_after(corpus_pipeline.substring_dedup, rows, "substring")
+    holding = lambda x: sum(n for (_, t), n in got.items() if x[200:400] in (t or ""))
+    assert holding(p) == 1 and holding(q) == 1 and sum(got.values()) == 10
+    assert got[8, a] == 1 and got[None, b] == 1 and got[4, "short"] == 2 and got[None, None] == 2
+
+    # a contaminated row goes, the other rows of its id, or without an id, stay
+    spark.createDataFrame([(0, a)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = rows_after(corpus_pipeline.decontamination, [
+        row(1, a), row(1, b), row(None, "x " + a), row(None, c), row(None, c), row(2, d)], "items")
+    assert got == Counter([(1, b), (None, c), (None, c), (2, d)])
+
+
 def test_pipeline_runs_on_an_empty_table(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))

@@ -274,6 +274,18 @@ def test_page_reading_by_hand():
     assert G.page_lines("<nav>never closed<article><p>text</p></article>")[0] == ["text"]
 
 
+def test_names_that_only_hint_at_chrome_drop_nothing_of_an_article():
+    page = """<body><div class="cookie-notice">We use</div><form id="aspnetForm"><div class="has-sidebar layout"><!-- </div> -->
+    <article><div class="article-header"><h1 class="header-title">Title</h1></div>
+    <section id="legal-history"><h2 id="social-media-policy">Policy</h2><p>text <span class="footer-note">note</span></p></section>
+    <h2 id="comments">On comments</h2><div class="box share">Tweet</div><div class="Ad"><p>Buy</p></div>
+    <div class="comments-area"><article>first!</article></div><nav>Up</nav></article>
+    <div class="sidebar">Side</div></div></form><div class="related">More</div></body>"""
+    lines, inside = G.page_lines(page)
+    assert lines == ["Title", "Policy", "text note", "On comments"] and all(inside)
+    assert G.page_lines("<div class=sidebar><div>a</div><!-- <article> --></div><main>b</main>")[0] == ["b"]
+
+
 def test_unmarked_pages_lose_what_their_neighbour_shares(spark):
     page = lambda *body: "<body>" + "".join(f"<p>{b}</p>" for b in body) + "</body>"
     rows = [(1, "https://h.org/a/1", page("Top", "first story", "Bottom")), (2, "https://h.org/a/2", page("Top", "second story", "Bottom")),

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Texts are handled in slices of about this many bytes, so that numpy work arrays stay small.
 SLICE_BYTES = 1 << 21
@@ -57,3 +58,23 @@ def grouped_rows(batches: Iterable[pa.RecordBatch], key_cols: list[str]) -> Iter
         held = [batch.slice(cut)]
     if held:
         yield pa.Table.from_batches(held)
+
+
+#: A key with over this share of all rows is hot; there can be at most ``1 / share`` of them.
+HOT_SHARE = 1 / 4096
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+    """``rows`` left-joined to ``counted`` (one row per ``key``, with its number of rows in ``n``), no key in one task.
+
+    Keys with over ``HOT_SHARE`` of all rows are at most 4,096, so they are broadcast; each of the
+    others holds less than that share and is shuffled. Null keys match null.
+    """
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") > int(total * HOT_SHARE)
+    hot = counted.where(is_hot).withColumnRenamed(key, "__key").withColumn("__hot", F.lit(True))
+    rest = counted.where(~is_hot).withColumnRenamed(key, "__key")
+    met = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
+    done = met.where("__hot").drop("__hot", "__key")
+    left = met.where("__hot IS NULL").select(rows.columns)
+    return done.unionByName(left.join(rest, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bigru_toxicity, cdc_dedup, inverted_multi_index, page_differencing, pu_quality, revisits, simhash_bktree, string_tiling, suffix_dedup, temperature_mixing
+from . import (bigru_toxicity, cdc_dedup, inverted_multi_index, mask_search, page_differencing, pu_quality, revisits, secret_scan, simhash_bktree,
+               string_tiling, suffix_dedup, temperature_mixing, vector_codes)
 from .common import read_table
 
 
@@ -190,8 +191,113 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inverted_multi_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
+#: Matches with their places: each step of a scan takes what is before a match and the match; places are running sums.
+OP11_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+scans AS (
+  SELECT r, source, 1 AS kind, 12 AS least, 2 AS part, regexp_extract_all(t, p, 0) AS steps, regexp_extract_all(t, p, 2) AS found, regexp_extract_all(t, p, 3) AS val
+  FROM docs, (SELECT '(?s)(.*?)((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))' AS p)
+  UNION ALL SELECT r, source, 2, 18, 0, regexp_extract_all(t, '(?s)(.*?)(AKIA[A-Z0-9]+)', 0), regexp_extract_all(t, '(?s)(.*?)(AKIA[A-Z0-9]+)', 2), NULL FROM docs
+  UNION ALL SELECT r, source, 3, 16, 0, regexp_extract_all(t, '(?s)(.*?)([0-9a-f]+)', 0), regexp_extract_all(t, '(?s)(.*?)([0-9a-f]+)', 2), NULL FROM docs
+  UNION ALL SELECT r, source, 4, 20, 0, regexp_extract_all(t, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 0), regexp_extract_all(t, '(?s)(.*?)([A-Za-z0-9+/_=-]+)', 2), NULL FROM docs),
+steps AS (SELECT r, source, kind, least, unnest(steps) AS step, unnest(found) AS found, unnest(coalesce(val, found)) AS val, generate_subscripts(steps, 1) AS i FROM scans),
+ends AS (SELECT *, sum(length(step)) OVER (PARTITION BY r, kind ORDER BY i ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM steps),
+places AS (SELECT r, source, kind, e - length(found) AS s, e, val,
+                  regexp_matches(val, '[A-Za-z]') AND regexp_matches(val, '[0-9]') AND len(list_distinct(string_split(val, ''))) >= 10 AS alive
+           FROM ends WHERE length(val) >= least),
+base AS (SELECT * FROM places WHERE kind < 4),
+bare AS (SELECT * FROM places p WHERE kind = 4 AND alive AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = p.r AND b.s < p.e AND b.e > p.s)),
+candidates AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
+owners AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) <= 3 AND count(DISTINCT coalesce(regexp_extract(source, '^([^/]*)', 1), chr(1))) <= 2 AS own
+           FROM candidates GROUP BY val),
+judged AS (SELECT c.*, ['assign', 'access', 'hex', 'live'][kind] || ':' || s || ':' || e AS span, own AND alive AS live, NOT own AS copied
+           FROM candidates c JOIN owners USING (val)),
+per_doc AS (
+  SELECT r, count(*) FILTER (kind = 1) AS n_assign, count(*) FILTER (kind = 2) AS n_access, count(*) FILTER (kind = 3) AS n_hex,
+         string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 4) AS base, string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 4 OR live) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM docs LEFT JOIN per_doc USING (r)
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql() -> str:
+    """Every part against every entry, round by round."""
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS MATERIALIZED (
+  SELECT r, part, min_by(entry, d * 1000 + entry) AS entry, min(d) AS d FROM (
+    SELECT x.r, x.part, b.entry, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts x JOIN b{k} b USING (part)) GROUP BY r, part),"""
+
+    def refined(k: int) -> str:
+        return f"""
+s{k} AS (SELECT part, entry, list(v ORDER BY dim) AS v FROM (
+    SELECT part, entry, dim, floor(sum(u)::DOUBLE / count(*))::BIGINT AS v FROM (
+      SELECT part, entry, unnest(v) AS u, generate_subscripts(v, 1) AS dim FROM a{k} JOIN parts USING (r, part)) GROUP BY part, entry, dim)
+  GROUP BY part, entry),
+b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(s.v, b.v) AS v FROM b{k} b LEFT JOIN s{k} s USING (part, entry)),"""
+
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, part, v[(part * len(v) // 4 + 1):((part + 1) * len(v) // 4)] AS v FROM kept, range(4) g(part)),
+b0 AS (SELECT part, r AS entry, v FROM parts WHERE r < 256),
+{"".join(assigned(k) + refined(k) for k in range(4))}{assigned(4)}
+hashed AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM b4),
+coded AS (SELECT r, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (r), hashed
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+#: All documents with any term of an item, scored and ranked.
+OP13_SQL = r"""
+WITH terms AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+lengths AS (SELECT r, count(*) AS n FROM terms GROUP BY r),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM lengths),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY r, doc_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+asked AS (
+  SELECT q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)),
+wanted AS (SELECT q, item_id, term, count(*) AS times FROM asked GROUP BY q, item_id, term),
+scores AS (
+  SELECT q, item_id, r, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // len))))::BIGINT AS score
+  FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (r), total GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES = {"op1_revisits": op1_revisits, "op2_cdc_dedup": op2_cdc_dedup, "op3_string_tiling": op3_string_tiling,
            "op4_suffix_dedup": op4_suffix_dedup, "op5_temperature_mixing": op5_temperature_mixing, "op6_pu_quality": op6_pu_quality,
            "op7_page_differencing": op7_page_differencing, "op8_simhash_bktree": op8_simhash_bktree,
-           "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index, "pipeline": corpus_pipeline.run}
-ORACLES: dict[str, str] = {"op1_revisits": OP1_SQL, "op5_temperature_mixing": OP5_SQL}
+           "op9_bigru_toxicity": op9_bigru_toxicity, "op10_inverted_multi_index": op10_inverted_multi_index, "op11_ownership_secrets": op11_ownership_secrets,
+           "op12_vector_codes": op12_vector_codes, "op13_mask_search": op13_mask_search, "pipeline": corpus_pipeline.run}
+ORACLES: dict[str, str] = {"op1_revisits": OP1_SQL, "op5_temperature_mixing": OP5_SQL, "op11_ownership_secrets": OP11_SQL,
+                           "op12_vector_codes": OP12_SQL, "op13_mask_search": OP13_SQL}

@@ -226,7 +226,7 @@ def _search_block(docs: DataFrame, items: Items, k: int, id_type: str) -> DataFr
     n_docs, n_terms = s["docs"], max(s["terms"] or 0, 1)
     weight = np.array([term_weight(n_docs, df.get(t, 0)) for t in range(size)], dtype=np.int64)
     chunks = max(1, -(-s["rows"] // CHUNK_ROWS), -(-(s["bytes"] or 0) // 4 // CHUNK_POSTINGS))
-    dealt = matched.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int")).repartition(int(min(chunks, 1 << 16)), "chunk")
+    dealt = matched.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int")).repartitionByRange(int(min(chunks, 1 << 16)), "chunk")
     found = dealt.sortWithinPartitions("chunk").mapInArrow(lambda it: _search(it, items, weight, n_docs, n_terms, k),
                                                            f"item int, row long, id {id_type}, score long")
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("id"), F.asc("row"))

@@ -58,9 +58,13 @@ def token_accuracy(df: DataFrame, preds_col: str = "preds", labels_col: str = "l
     return agg.select((F.col("hit") / F.col("all") if normalize else F.col("hit")).cast("double").alias("accuracy"))
 
 
-def perplexity(df: DataFrame, loss_col: str = "loss") -> DataFrame:
-    """exp(mean loss); an overflowing mean gives Infinity."""
-    return df.agg(F.exp(F.avg(loss_col)).alias("perplexity"))
+def perplexity(df: DataFrame, loss_col: str = "loss", group_cols: tuple[str, ...] = ()) -> DataFrame:
+    """exp(mean loss), of all rows or per group (a split, a language); an overflowing mean gives Infinity.
+
+    One aggregate whatever the number of groups. A null group value is a group; a group
+    whose losses are all null, like an empty table without groups, has a null perplexity.
+    """
+    return df.groupBy(*group_cols).agg(F.exp(F.avg(loss_col)).alias("perplexity"))
 
 
 def format_numel(n: str | Column, base: int = 1000) -> Column:

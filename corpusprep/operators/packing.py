@@ -5,7 +5,9 @@ order) and cuts them into ``block_size`` blocks. Tokens are never exploded:
 each document is cut into at most ceil(len / block) + 1 *pieces* (slices that
 fall into one block), and a block is reassembled from its pieces. A block
 holds at most ``block_size`` tokens, so no task ever collects more than that
-per key; groups are fixed-size by construction, so there is no hot group.
+per key; groups have a fixed number of rows, so there is no hot group. The
+token arrays are shuffled once, by group, and computed once: ``df`` is not
+read twice, so a lazy tokenizer below it runs once.
 """
 
 from __future__ import annotations
@@ -38,21 +40,20 @@ def group_texts(df: DataFrame, block_size: int, ids_col: str = "input_ids", grou
     cols = [ids_col, *also]
     n = F.coalesce(F.size(ids_col), F.lit(0))
     for c in also:
-        n = F.when(F.size(c) == F.size(ids_col), n).otherwise(
+        n = F.when(F.size(c).eqNullSafe(F.size(ids_col)), n).otherwise(
             F.raise_error(F.lit(f"{c} and {ids_col} differ in length")).cast("int"))
-    # offsets from lengths alone: no token array goes through the window's sort
-    sizes = df.select(group_col, order_col, n.cast("long").alias("_len"))
-    w = Window.partitionBy(group_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wg = Window.partitionBy(group_col)
-    offs = (sizes.withColumn("_end", F.sum("_len").over(w)).withColumn("_total", F.sum("_len").over(wg))
-            .withColumn("_start", F.col("_end") - F.col("_len")).where(F.col("_len") > 0).drop("_len"))
+    # one shuffle by group serves the running sums and the blocks: a block's pieces already lie in its group's task
+    w = Window.partitionBy(group_col)
+    upto = w.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offs = (df.select(group_col, order_col, *cols, n.cast("long").alias("_len"))
+            .withColumn("_end", F.sum("_len").over(upto)).withColumn("_total", F.sum("_len").over(w))
+            .withColumn("_start", F.col("_end") - F.col("_len")).where(F.col("_len") > 0))
     keep_upto = F.when(F.col("_total") >= block_size, (F.col("_total") / block_size).cast("long") * block_size) \
         .otherwise(F.col("_total"))
     first_b = (F.col("_start") / block_size).cast("long")
     last_b = ((F.col("_end") - 1) / block_size).cast("long")
-    pieces = df.select(group_col, order_col, *cols).join(offs, [group_col, order_col]).select(
-        group_col, *cols, "_start", "_end", keep_upto.alias("_keep"),
-        F.explode(F.sequence(first_b, last_b)).alias("block_id"))
+    pieces = offs.select(group_col, *cols, "_start", "_end", keep_upto.alias("_keep"),
+                         F.explode(F.sequence(first_b, last_b)).alias("block_id"))
     lo = F.greatest(F.col("block_id") * block_size, F.col("_start"))
     hi = F.least((F.col("block_id") + 1) * block_size, F.col("_end"), F.col("_keep"))
     cut = [F.slice(c, (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in cols]

@@ -1,19 +1,23 @@
 """Row order, splits, sampling.
 
 Spark rows have no order, so every operator that needs one takes an explicit
-``id_col`` (unique). The distributed row index cuts the order key at boundaries
-that are data: quantiles of a bounded sample, chosen by hash and put in the plan
-as literals. Every run, and every retry after a lost executor, therefore puts a
-row in the same bucket; bucket sizes give offsets, ``row_number`` the rest.
+``id_col`` (unique). The distributed row index range-partitions and sorts the key
+alone, in ranges whose number follows the row count, and writes the result; a key's
+place in its written range and the sizes of the ranges before it give the index. The
+written table is the order: whatever ran or was retried before, all later steps read it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The sample that boundaries are taken from, and buckets as groups times cuts per group.
-SAMPLE_KEYS, GROUPS, CUTS = 16384, 32, 32
+from ..session import materialize
+
+#: Keys that one range of the order (one task's sort) holds, by and large.
+KEYS_PER_RANGE = 1 << 20
+#: ``monotonically_increasing_id`` keeps the place in the partition in so many low bits.
+_PLACE_BITS = 33
 
 
 def smallest_hashes(df: DataFrame, limit: int, hashed: Column, *ties: str) -> DataFrame:
@@ -28,37 +32,41 @@ def smallest_hashes(df: DataFrame, limit: int, hashed: Column, *ties: str) -> Da
     return df.orderBy(hashed, *ties).limit(limit)
 
 
-def _bucket(key: Column, bounds: list) -> Column:
-    """How many boundaries lie below ``key``, counted in two steps of about sqrt(n) comparisons."""
-    if not bounds:
-        return F.lit(0)
-    groups = [bounds[i:i + CUTS] for i in range(0, len(bounds), CUTS)]
-    group = F.size(F.filter(F.lit([g[-1] for g in groups]), lambda b: b < key))
-    inside = F.element_at(F.array(*[F.lit(g) for g in groups], F.lit(bounds[:1])), group + 1)
-    more = F.when(group < len(groups), F.size(F.filter(inside, lambda b: b < key))).otherwise(F.lit(0))
-    return F.when(key.isNull(), F.lit(0)).otherwise(group * CUTS + more)
+def _sorted_keys(keys: DataFrame, n: int) -> DataFrame:
+    """(__key, __n, __at): the distinct keys of ``n`` rows in key order; ``__at`` is range number and place in the range.
+
+    Range partitioning settles the grouping too, so keys are shuffled once. The table is written: later steps
+    and retries read one and the same order.
+    """
+    ranges = max(1, -(-n // KEYS_PER_RANGE))
+    each = (keys.repartitionByRange(ranges, "__key").groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+            .sortWithinPartitions("__key"))
+    return materialize(each.withColumn("__at", F.monotonically_increasing_id()), "sorted-keys")
 
 
 def with_row_index(df: DataFrame, order_col: str | Column, index_col: str = "row_idx") -> DataFrame:
-    """Add a 0-based index in ``order_col`` order (``order_col`` must be unique; a null comes first).
+    """Add a 0-based index in ``order_col`` order; a null key comes first.
 
-    Only the key is sorted: the index is computed on it alone and joined back to the rows.
+    Keys must be unique (one null at most): a repeated key raises ``ValueError``. Only the
+    key is sorted: the index is computed on it alone and joined back to the rows.
     """
     key = F.col(order_col) if isinstance(order_col, str) else order_col
     keys = df.select(key.alias("__key"))
-    got = smallest_hashes(keys.where(F.col("__key").isNotNull()), SAMPLE_KEYS, F.xxhash64("__key"), "__key").collect()
-    sample = sorted(r[0] for r in got)
-    n = GROUPS * CUTS
-    bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
-    bucketed = keys.withColumn("__bucket", _bucket(F.col("__key"), bounds))
-    counts = {r["__bucket"]: r["count"] for r in bucketed.groupBy("__bucket").count().collect()}  # at most n rows
-    offsets, acc = [], 0
-    for b in range(len(bounds) + 2):
-        offsets.append(acc)
-        acc += counts.get(b, 0)
-    place = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
-    index = (F.element_at(F.lit(offsets), F.col("__bucket") + 1).cast("long") + place - 1).alias(index_col)
-    indexed = bucketed.select("__key", index)
+    order = _sorted_keys(keys, keys.count())
+    part = F.shiftright("__at", _PLACE_BITS)
+    sizes = order.groupBy(part.alias("__range")).agg(F.count(F.lit(1)).alias("n"), F.max("__n").alias("most")).collect()
+    if any(r["most"] > 1 for r in sizes):
+        raise ValueError(f"the order key {order_col} repeats: a row index needs unique keys")
+    place = F.col("__at").bitwiseAND((1 << _PLACE_BITS) - 1)
+    if len(sizes) > 1:  # one row per range: row count / KEYS_PER_RANGE of them
+        offsets, acc = [], 0
+        for r in sorted(sizes, key=lambda r: r["__range"]):
+            offsets.append((r["__range"], acc))
+            acc += r["n"]
+        first = df.sparkSession.createDataFrame(offsets, "__range long, __first long")
+        order = order.withColumn("__range", part).join(F.broadcast(first), "__range")
+        place = F.col("__first") + place
+    indexed = order.select("__key", place.alias(index_col))
     if isinstance(order_col, str) and df.columns == [order_col]:
         return indexed.withColumnRenamed("__key", order_col)
     return df.join(indexed, key.eqNullSafe(F.col("__key"))).drop("__key")

@@ -165,9 +165,9 @@ def q_sft_appended(spark, sf):
     return _pairs_of(d)
 
 
-def _block_columns(b: DataFrame) -> DataFrame:
+def _block_columns(b: DataFrame, *also) -> DataFrame:
     return b.select("group_id", "block_id", F.size("input_ids").cast("long").alias("n_tokens"),
-                    _ids_digest(F.col("input_ids")).alias("ids_md5"))
+                    _ids_digest(F.col("input_ids")).alias("ids_md5"), *also)
 
 
 def q_packed_blocks(spark, sf):
@@ -184,9 +184,8 @@ def pretrain_blocks(spark, sf) -> DataFrame:
 
 
 def q_pretrain_blocks(spark, sf):
-    b = pretrain_blocks(spark, sf)
-    return _block_columns(b).join(b.select("group_id", "block_id", F.aggregate(
-        "attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_attended")), ["group_id", "block_id"])
+    attended = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long").alias("n_attended")
+    return _block_columns(pretrain_blocks(spark, sf), attended)
 
 
 def q_tokens_by_split(spark, sf):
@@ -260,13 +259,8 @@ def q_unigram_perplexity(spark, sf):
     # the table has at most len(vocab) rows: a proven bound for the broadcast
     loss = counts.join(F.broadcast(logp), "id").groupBy("doc_id", "lang").agg(
         (-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("loss"))
-    loss = materialize(loss, "losses")
-    out = None
-    for lang in sorted(r.lang for r in loss.select("lang").distinct().collect()):  # a handful of languages
-        one = M.perplexity(loss.where(F.col("lang") == lang)).select(
-            F.lit(lang).alias("lang"), F.round("perplexity", 6).alias("perplexity"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    by_lang = M.perplexity(loss, "loss", ("lang",))
+    return by_lang.select("lang", F.round("perplexity", 6).alias("perplexity"))
 
 
 def q_format_token_counts(spark, sf):
@@ -471,11 +465,11 @@ def _doc_tokens_sql() -> str:
 {_encode_cte('dtok', 'documents', 'doc_id', 'text', 'vocab')}"""
 
 
-def _pack_cte(order: str = "doc_id", src: str = "dtok", batch: str = "") -> str:
+def _pack_cte(order: str = "doc_id", src: str = "dtok", batch: str = "", rows: int = ROWS_PER_GROUP) -> str:
     extra = f"{batch}, " if batch else ""
     part = f"PARTITION BY {batch} " if batch else ""
     return f"""
-  g AS (SELECT {extra}{order} AS ord, d.ids, ((row_number() OVER ({part}ORDER BY {order}) - 1) // {ROWS_PER_GROUP}) AS group_id
+  g AS (SELECT {extra}{order} AS ord, d.ids, ((row_number() OVER ({part}ORDER BY {order}) - 1) // {rows}) AS group_id
         FROM {src} d),
   o AS (SELECT *, sum(len(ids)) OVER (PARTITION BY {extra}group_id ORDER BY ord) - len(ids) AS start,
                sum(len(ids)) OVER (PARTITION BY {extra}group_id) AS total FROM g),

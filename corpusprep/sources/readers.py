@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.splits import random_split
-from ..session import materialize
+from ..session import materialize, scratch_path
+from .json_records import json_records
 
 CONVERSATION_TYPE = T.ArrayType(T.StructType([
     T.StructField("from", T.StringType()),
@@ -64,24 +65,21 @@ def read_json_split(spark: SparkSession, data_dir: str, split: str = "train",
                     schema: T.StructType | str | None = None) -> DataFrame:
     """Every ``<split>*.jsonl`` (one record a line) and ``<split>*.json`` (a list, an object or lines) below ``data_dir``.
 
-    A ``.json`` file whose first character opens a list or an object that spans lines is
-    read as one document; one with a record a line is read by line. Columns that only
-    some files have are null elsewhere.
+    A ``.json`` file is cut into records by byte range (``json_records``), so one list of any size is read by many
+    tasks. Without a schema its records are written as lines once, for Spark to infer one. Columns that only some
+    files have are null elsewhere.
     """
     lines = _load(spark, data_dir, f"{split}*.jsonl", "json", schema)
-    whole = _load(spark, data_dir, f"{split}*.json", "text", None, wholetext=True)
-    frames = [lines]
-    if whole is not None:
-        # a file's kind is decided where the file is read; only two lists of paths reach the driver
-        first = F.regexp_extract("value", r"(?s)\A\s*([^\n]*)", 1)
-        by_line = first.rlike(r"^\{.*\}\s*$")
-        kinds = whole.select(F.col("_metadata.file_path").alias("path"), by_line.alias("by_line")).distinct().collect()
-        for flag in (True, False):
-            paths = sorted(r.path for r in kinds if r.by_line == flag)
-            if paths:
-                r = spark.read.option("multiLine", not flag)
-                frames.append((r.schema(schema) if schema is not None else r).json(paths))
-    return _union(frames, f"no {split}*.json or {split}*.jsonl under {data_dir}")
+    whole = None
+    if _load(spark, data_dir, f"{split}*.json", "text", None) is not None:
+        records = json_records(spark, data_dir, f"{split}*.json")
+        if schema is not None:
+            whole = records.select(F.from_json("record", schema).alias("r")).select("r.*")
+        else:
+            path = scratch_path(spark, f"json-{split}")
+            records.select("record").write.text(path)
+            whole = spark.read.json(path)
+    return _union([lines, whole], f"no {split}*.json or {split}*.jsonl under {data_dir}")
 
 
 def read_corpus_split(spark: SparkSession, data_dir: str, split: str = "train",
@@ -113,14 +111,23 @@ def with_validation(read: Callable[[str], DataFrame], id_col: str | None = None,
 
 
 def read_text_lines(spark: SparkSession, data_dir: str, split: str = "train", keep_linebreaks: bool = True) -> DataFrame:
-    """Plain-text files, one row per line in ``text``; ``keep_linebreaks`` re-appends ``\\n``."""
-    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{split}*.txt")
-          .text(data_dir))
-    if keep_linebreaks:
-        df = df.select(F.concat(F.col("value"), F.lit("\n")).alias("text"))
-    else:
-        df = df.select(F.col("value").alias("text"))
-    return df
+    """Plain-text files, one row per line in ``text``; ``keep_linebreaks`` keeps each line's own end.
+
+    With it a line is what stands up to and with ``\\n`` (so ``\\r\\n`` stays as it is), and a last line without an
+    end gets none: the bytes of a file's lines tell whether its last one has an end.
+    """
+    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{split}*.txt")
+    if not keep_linebreaks:
+        return r.text(data_dir).select(F.col("value").alias("text"))
+    lines = r.option("lineSep", "\n").text(data_dir).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"))
+    sizes = lines.groupBy("path").agg(F.sum(F.octet_length("value").cast("long") + 1).alias("bytes"), F.max("size").alias("size"),
+                                      F.max("place").alias("place"))
+    unended = sizes.where(F.col("bytes") > F.col("size")).select("path", "place", F.lit("").alias("end"))
+    # one row per file without a last line end
+    ended = lines.join(F.broadcast(unended), ["path", "place"], "left")
+    return ended.select(F.concat("value", F.coalesce("end", F.lit("\n"))).alias("text"))
 
 
 def read_named(spark: SparkSession, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ def stream_corpus(spark: SparkSession, path: str, schema: T.StructType | str, fm
     return r.load(path)
 
 
-def shuffle_buffered(batch: DataFrame, seed: int, batch_id: int, id_col: str) -> DataFrame:
+def shuffle_batch(batch: DataFrame, seed: int, batch_id: int, id_col: str) -> DataFrame:
     """A seeded random order of one micro-batch as ``shuffle_key`` (the seed varies with the batch id)."""
     return batch.withColumn("shuffle_key", SP.shuffle_key(id_col, seed * 1_000_003 + batch_id))
 
@@ -83,7 +83,7 @@ def pack_batch(batch: DataFrame, batch_id: int, sink: str, block_size: int, id_c
     """Pack one micro-batch of tokenized rows into its own folder of the sink, replacing what is there."""
     order = id_col
     if seed is not None:
-        batch, order = shuffle_buffered(batch, seed, batch_id, id_col), "shuffle_key"
+        batch, order = shuffle_batch(batch, seed, batch_id, id_col), "shuffle_key"
     batch = materialize(batch, "micro-batch")  # numbered and packed from one written copy
     blocks = P.group_texts(P.assign_groups(batch, order, rows_per_group), block_size)
     blocks.write.mode("overwrite").parquet(f"{sink}/batch_id={int(batch_id)}")

@@ -145,3 +145,62 @@ def test_repetition_runs_once_per_document(spark):
     steps = [("document_deduplicator", {}), ("counted", {}), ("document_simhash_deduplicator", {"window_size": 2})]
     R.run_recipe(df, steps, R.RecipeContext(id_col="id")).collect()
     assert seen.value == 100
+
+
+def _nasty(r, i):
+    tail = r.choice(['plain', 'brace } and { "quoted" \\ back', 'ends in \\', '\\"', '}}}}', '{"a": [1]}', 'é ünï \U0001f600', '', '\n tab\t', ',[]'])
+    return {"id": i, "text": tail * r.randrange(1, 30), "more": {"a": [{"b": tail}, {}], "c": r.random()}, "none": None}
+
+
+def test_large_json_arrays_are_read_by_byte_range(spark):
+    import random
+
+    from corpusprep.sources import json_records as J
+    r, d, want = random.Random(8), _tmpdir(), {}
+    rows = [_nasty(r, i) for i in range(120)]
+    rows[7]["text"] = "x{y}" * 4_000  # a record over many ranges
+    layouts = {"a": json.dumps(rows), "b": json.dumps(rows, indent=2), "c": "\n".join(map(json.dumps, rows)), "d": json.dumps(rows, ensure_ascii=False) + "\n",
+               "e": "[]", "f": "", "g": json.dumps(rows[0], indent=1), "h": "\ufeff[" + ",\r\n".join(map(json.dumps, rows[:9])) + "]\r\n", "i": json.dumps(rows[:1])[1:-1]}
+    for name, text in layouts.items():
+        with open(os.path.join(d, f"train_{name}.json"), "w", newline="") as fh:
+            fh.write(text)
+        want[name] = rows if name in "abcd" else rows[:1] if name in "gi" else rows[:9] if name == "h" else []
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("128m", "1500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            if size == "1500":
+                assert J.json_pieces(spark, d, "train_a.json").rdd.getNumPartitions() > 20  # one array, many tasks
+            got = {}
+            for x in J.json_records(spark, d).collect():
+                got.setdefault(os.path.basename(x.path)[6:-5], []).append(json.loads(x.record))
+            for name in layouts:
+                mine = sorted(got.get(name, []), key=lambda v: v["id"])
+                assert mine == sorted(want[name], key=lambda v: v["id"]), (size, name)
+        schema = "id long, text string, more struct<c:double>"
+        df = S.read_json_split(spark, d, "train", schema)
+        n = sum(map(len, want.values()))
+        assert df.count() == n and S.read_json_split(spark, d, "train").count() == n
+        assert {(x.id, x.text, x.c) for x in df.select("id", "text", "more.c").collect()} == {(v["id"], v["text"], v["more"]["c"]) for v in rows}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_truncated_array_keeps_its_whole_records(spark):
+    d = _tmpdir()
+    with open(os.path.join(d, "train_a.json"), "w") as fh:
+        fh.write('[{"id": 1}, {"id": 2}, {"id": 3, "text": "cut')
+    got = S.read_json_split(spark, d, "train", "id long, text string").collect()
+    assert sorted((r.id for r in got if r.id is not None)) == [1, 2] and len(got) <= 3
+
+
+def test_line_ends_are_kept_as_they_are(spark):
+    d = _tmpdir()
+    for name, text in {"a": "one\r\ntwo\n\nfour", "b": "x\n", "c": "", "d": "é"}.items():
+        with open(os.path.join(d, f"train_{name}.txt"), "w", newline="") as fh:
+            fh.write(text)
+    got = sorted(r.text for r in S.read_text_lines(spark, d).collect())
+    assert got == sorted(["one\r\n", "two\n", "\n", "four", "x\n", "é"])
+    assert sorted(r.text for r in S.read_text_lines(spark, d, keep_linebreaks=False).collect()) == sorted(["one", "two", "", "four", "x", "é"])

@@ -95,3 +95,20 @@ def test_format_numel_by_hand(spark):
 def test_argmax_first_maximum(spark):
     df = spark.createDataFrame([([0.1, 0.9, 0.9],), ([3.0],)], "v array<float>")
     assert [r.a for r in df.select(M.argmax_last("v").alias("a")).collect()] == [1, 0]
+
+
+def test_row_index_over_many_ranges_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(SP, "KEYS_PER_RANGE", 1000)
+    df = spark.range(0, 20_000).select(F.md5(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    rank = SP.with_row_index(df.union(spark.createDataFrame([(None, -1)], "k string, v long")), "k").toPandas().sort_values("k", na_position="first")
+    assert rank.row_idx.tolist() == list(range(20_001)) and rank.v.iloc[0] == -1
+    # a repeated key, or a second null, raises; it never multiplies rows
+    for more in ([("a", 1), ("a", 2)], [(None, 1), (None, 2)]):
+        with pytest.raises(ValueError, match="unique keys"):
+            SP.with_row_index(spark.createDataFrame(more, "k string, v int"), "k")
+
+
+def test_perplexity_per_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 900.0), (None, 0.0), ("c", None)], "lang string, loss double")
+    got = {r.lang: r.perplexity for r in M.perplexity(df, "loss", ("lang",)).collect()}
+    assert abs(got["a"] - math.exp(2.0)) < 1e-12 and math.isinf(got["b"]) and got[None] == 1.0 and got["c"] is None

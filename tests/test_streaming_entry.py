@@ -76,7 +76,14 @@ def test_plans_scan_files_without_row_udfs_or_cartesian(spark):
         for m in re.finditer(r"ReadSchema: struct<([^>]*)>?", plan):
             if name in NEEDED:
                 read = {c.split(":")[0] for c in m[1].split(",") if ":" in c}
-                assert read <= NEEDED[name] | {"__key", "element"}, (name, read)
+                assert read <= NEEDED[name] | {"__key", "__at", "__n", "element"}, (name, read)
+
+
+def test_the_tokenizer_runs_once_per_plan(spark):
+    from corpusprep.plans import catalog
+    for name in ("packed_blocks", "pretrain_blocks", "token_accuracy", "tokens_by_split"):
+        plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"\bArrowEvalPython\b", plan.split("== Initial Plan ==")[0])) == 1, name
 
 
 def test_shared_folder_is_required_off_local_masters(monkeypatch):

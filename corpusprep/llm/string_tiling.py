@@ -9,19 +9,22 @@ tokens (Wise's RKR-GST). The item is covered by its marked tokens, in whatever
 order the document has them, so a reordered passage counts like a straight one.
 A pair is reported when the covered share reaches ``threshold``.
 
-On Spark: one pass hashes every document's seeds. When the benchmark's seeds are
-at most ``max_filter_seeds`` (a checked bound of 8 bytes each) they go along to
-drop documents without any; with a larger benchmark all seeds take part in the
-join, which is the same result. Only the document's tokens around shared seeds
-travel, so a pair's size is bounded by what it shares. Document texts are never
-shuffled or broadcast.
+On Spark: the benchmark is a stated query set, joined in blocks of items with at most
+``block_seeds`` seed places (24 bytes each, so the block's bound is checked). A block's
+seeds go to the tasks that scan the documents: one pass hashes every document's seeds,
+looks them up, and has, per item, the places that the document shares. The tokens that
+those places cover are a bound of what tiles can mark, so a pair that cannot reach the
+threshold (one phrase that hundreds of items and documents hold, say) ends there; only the
+shared runs of the other pairs go on, with the item's text, to the tiling. Document texts
+are never shuffled or broadcast, and no pair is built to be counted.
 
 Defined results: a null or empty text has no tokens and matches nothing; an item
-with fewer than ``min_match`` tokens is matched as a whole, in one run; rows that
-repeat an id are compared each on its own and the best cover counts; rows with a
-null id are compared like others and reported under the null id. Ties between
-equally long matches go to the smaller place in the item, then in the document.
-Extra columns are ignored, an empty table on either side gives no pair.
+with fewer than ``min_match`` tokens is matched as a whole, in one run; every row of
+either table is compared on its own, so equal rows never add up, and of rows that
+repeat an id the best cover counts; rows with a null id, on either side, are compared
+like others and reported under the null id. Ties between equally long matches go to
+the smaller place in the item, then in the document. Extra columns are ignored, an
+empty table on either side gives no pair.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,7 @@ from .common import text_slices
 
 #: Production parameters.
 MIN_MATCH, THRESHOLD = 5, 0.5
-MAX_FILTER_SEEDS = 1 << 21
+BLOCK_SEEDS = 1 << 20
 MAX_BROADCAST_BYTES = 8 << 20
 
 _WORD = np.zeros(256, dtype=bool)
@@ -158,50 +162,87 @@ def greedy_tiles(doc: list[bytes | None], item: list[bytes], min_match: int) ->
 
 # ------------------------------------------------------------------ Spark
 
-def _among(values: np.ndarray, known: np.ndarray | None) -> np.ndarray:
-    """Which values are in the sorted ``known``; all of them if there is none."""
-    if known is None:
-        return np.ones(len(values), dtype=bool)
-    if known.size == 0:
-        return np.zeros(len(values), dtype=bool)
-    at = np.searchsorted(known, values)
-    at[at == known.size] = 0
-    return known[at] == values
-
-
 def _hash_text(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     low = lowered(text)
     return low, *token_hashes(np.frombuffer(low, dtype=np.uint8))
 
 
-def _item_seeds(items: DataFrame, id_col: str, text_col: str, min_match: int) -> DataFrame:
-    """(item_id, n, seed): the distinct seeds of every item; n is the seed's length in tokens."""
+def _item_seeds(items: DataFrame, min_match: int) -> DataFrame:
+    """(item, n, size, seed, place): every seed of every item; n is the seed's length, size the item's, in tokens."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in text_slices(batch):
-                who, n, seeds = [], [], []
-                for i, t in zip(ids, texts):
-                    h = _hash_text(t)[3]
-                    k = min(min_match, len(h))
-                    own = np.unique(seed_hashes(h, k)).view(np.int64) if k else np.empty(0, np.int64)
-                    who += [i] * len(own)
-                    n += [k] * len(own)
-                    seeds.append(own)
+                hashes = [_hash_text(t)[3] for t in texts]
+                seeds = [seed_hashes(h, min(min_match, len(h))).view(np.int64) if len(h) else np.empty(0, np.int64) for h in hashes]
+                each = [len(v) for v in seeds]
+                sizes = np.array([len(h) for h in hashes], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(who, batch.schema.field(0).type), pa.array(n, pa.int32()), pa.array(np.concatenate(seeds))],
-                    names=["item_id", "n", "seed"])
-
-    schema = T.StructType([T.StructField("item_id", items.schema[id_col].dataType), T.StructField("n", T.IntegerType()),
-                           T.StructField("seed", T.LongType())])
-    return items.select(id_col, text_col).mapInArrow(run, schema)
-
-
-def _doc_runs(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], known: np.ndarray | None) -> DataFrame:
-    """(doc, run, seeds, tokens): a document's runs of tokens that shared seeds cover, with these seeds.
-
-    ``doc`` is a row's own key (id and check sum); without ``known`` the whole text is one run.
-    """
+                    [pa.array(np.repeat(np.array(ids, dtype=np.int64), each)), pa.array(np.repeat(np.minimum(sizes, min_match), each)),
+                     pa.array(np.repeat(sizes, each)), pa.array(np.concatenate(seeds)),
+                     pa.array(np.concatenate([np.arange(k) for k in each]).astype(np.int64))], names=["item", "n", "size", "seed", "place"])
+
+    return items.select("item", "item_text").mapInArrow(run, "item long, n long, size long, seed long, place long")
+
+
+class SeedIndex(NamedTuple):
+    """A block of items: their seeds in ascending order, with the item's number, its place there and the seed's length."""
+
+    seeds: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    n: np.ndarray
+    keys: np.ndarray  # per item number: its key
+    size: np.ndarray  # per item number: its tokens
+
+
+def seed_index(t: pa.Table) -> SeedIndex:
+    cols = {c: t.column(c).to_numpy() for c in ("item", "n", "size", "seed", "place")}
+    keys, number = np.unique(cols["item"], return_inverse=True)
+    size = np.zeros(len(keys), dtype=np.int64)
+    size[number] = cols["size"]
+    order = np.argsort(cols["seed"], kind="stable")
+    return SeedIndex(cols["seed"][order], number[order], cols["place"][order], cols["n"][order], keys, size)
+
+
+def _windows_within(item: np.ndarray, place: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Tokens that an item's windows (place, n) cover, per row its part; rows are distinct and sorted by item, then place."""
+    step = np.full(len(item), np.iinfo(np.int64).max)
+    step[:-1] = np.where(item[1:] == item[:-1], place[1:] - place[:-1], step[:-1])
+    return np.minimum(n, step)
+
+
+def reachable(found: np.ndarray, index: SeedIndex, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For a document's seeds: (items it may cover to the threshold, and as pairs which of ``found`` belongs to which item)."""
+    distinct, back = np.unique(found, return_inverse=True)
+    lo, hi = np.searchsorted(index.seeds, distinct), np.searchsorted(index.seeds, distinct, side="right")
+    count = hi - lo
+    at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    owner = np.repeat(np.arange(len(distinct)), count)
+    order = np.lexsort((index.place[at], index.item[at]))
+    item, place = index.item[at][order], index.place[at][order]
+    covered = np.bincount(item, _windows_within(item, place, index.n[at][order]), len(index.size))
+    fine = np.flatnonzero((covered > 0) & (covered >= threshold * index.size))
+    mine = np.isin(index.item[at], fine)
+    pairs = np.unique(np.stack([index.item[at][mine], owner[mine]]), axis=1)
+    # from distinct seeds back to the places of the document that hold them
+    by_seed = np.argsort(back, kind="stable")
+    first, last = np.searchsorted(back[by_seed], pairs[1]), np.searchsorted(back[by_seed], pairs[1], side="right")
+    each = last - first
+    spots = by_seed[np.repeat(first - np.concatenate([[0], np.cumsum(each)[:-1]]), each) + np.arange(each.sum())] if each.size else first
+    return fine, np.repeat(pairs[0], each), spots
+
+
+def _candidates(docs: DataFrame, id_col: str, text_col: str, index: SeedIndex, threshold: float) -> DataFrame:
+    """(id, item, runs): per row and item it may cover, the runs of tokens that their shared seeds cover."""
+    lengths = [int(n) for n in np.unique(index.n)]
+    known = np.unique(index.seeds)
+
+    def hits_of(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        v = seed_hashes(h, n).view(np.int64)
+        at = np.searchsorted(known, v)
+        at[at == known.size] = 0
+        return np.flatnonzero(known[at] == v), v
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,61 +252,64 @@ def _doc_runs(docs: DataFrame, id_col: str, text_col: str, lengths: list[int], k
                 starts, ends, h = token_hashes(np.frombuffer(joined, dtype=np.uint8))
                 sizes = np.fromiter(map(len, low), np.int64, len(low)) + 1
                 bound = np.searchsorted(starts, np.concatenate(([0], np.cumsum(sizes))))
-                hits = {n: seed_hashes(h, n).view(np.int64) for n in lengths}
-                shared = {n: np.flatnonzero(_among(v, known)) for n, v in hits.items()}
-                out = ([], [], [], [], [])
+                shared = {n: hits_of(h, n) for n in lengths}
+                out: tuple[list, list, list] = ([], [], [])
                 for row in range(len(ids)):
                     lo, hi = int(bound[row]), int(bound[row + 1])
-                    at = [(int(p), n) for n, v in shared.items()
-                          for p in v[np.searchsorted(v, lo):np.searchsorted(v, max(lo, hi - n + 1))]]
-                    at.sort()
-                    key, k = xxhash.xxh3_64_intdigest(texts[row]) >> 1, 0
-                    while k < len(at):
-                        begin, stop, seeds = at[k][0], at[k][0], set()
-                        while k < len(at) and at[k][0] <= stop:
-                            stop = max(stop, at[k][0] + at[k][1])
-                            seeds.add(int(hits[at[k][1]][at[k][0]]))
-                            k += 1
-                        for c, v in zip(out, (ids[row], key, begin - lo, sorted(seeds),
-                                              [joined[s:e] for s, e in zip(starts[begin:stop], ends[begin:stop])])):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int64()),
-                     pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64())),
-                     pa.array(out[4], pa.list_(pa.binary()))], names=["id", "row_key", "begin", "seeds", "tokens"])
-
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row_key", T.LongType()),
-                           T.StructField("begin", T.LongType()), T.StructField("seeds", T.ArrayType(T.LongType())),
-                           T.StructField("tokens", T.ArrayType(T.BinaryType()))])
+                    spots, spans, values = [], [], []
+                    for n, (at, v) in shared.items():
+                        own = at[np.searchsorted(at, lo):np.searchsorted(at, max(lo, hi - n + 1))]
+                        spots.append(own)
+                        spans.append(np.full(len(own), n))
+                        values.append(v[own])
+                    spot, span, value = np.concatenate(spots), np.concatenate(spans), np.concatenate(values)
+                    if not spot.size:
+                        continue
+                    fine, item, which = reachable(value, index, threshold)
+                    for k in fine:
+                        own = which[item == k]
+                        own = own[np.argsort(spot[own], kind="stable")]
+                        begin, stop = spot[own], np.maximum.accumulate(spot[own] + span[own])
+                        new = np.flatnonzero(np.append(True, begin[1:] > stop[:-1]))
+                        last = np.append(new[1:], len(own)) - 1
+                        out[0].append(ids[row])
+                        out[1].append(int(index.keys[k]))
+                        out[2].append([{"begin": int(a - lo), "tokens": [joined[x:y] for x, y in zip(starts[a:z], ends[a:z])]}
+                                       for a, z in zip(begin[new], stop[last])])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int64()), pa.array(out[2], runs)],
+                                                 names=["id", "item", "runs"])
+
+    runs = pa.list_(pa.struct([("begin", pa.int64()), ("tokens", pa.list_(pa.binary()))]))
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("item", T.LongType()),
+                           T.StructField("runs", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()),
+                                                                           T.StructField("tokens", T.ArrayType(T.BinaryType()))])))])
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_id_col: str = "item_id",
                        text_col: str = "text", item_text_col: str = "text", min_match: int = MIN_MATCH,
-                       threshold: float = THRESHOLD, max_filter_seeds: int = MAX_FILTER_SEEDS) -> DataFrame:
+                       threshold: float = THRESHOLD, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """(id, item_id, n_item_tokens, n_covered, n_tiles, coverage) for every pair covered to ``threshold`` or more."""
-    items = items.where(F.col(item_id_col).isNotNull())
-    seeds = materialize(_item_seeds(items, item_id_col, item_text_col, min_match), "item-seeds")
-    lengths = sorted(r.n for r in seeds.select("n").distinct().collect())  # min_match values at most
-    known = None
-    if seeds.count() <= max_filter_seeds:
-        known = np.sort(np.array([r.seed for r in seeds.select("seed").distinct().toLocalIterator()], dtype=np.int64))
-    runs = materialize(_doc_runs(docs, id_col, text_col, lengths, known), "seed-runs")
-    where = ["id", "row_key", "begin"]
-    # a run goes once to every item that shares a seed with it
-    linked = (runs.select(*where, F.explode("seeds").alias("seed")).join(seeds.select("seed", "item_id"), "seed")
-              .select("item_id", *where).distinct())
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in where]
-    linked = linked.alias("l").join(runs.alias("r"), same).select("item_id", *[f"l.{c}" for c in where], "tokens")
-    pairs = linked.groupBy("item_id", "id", "row_key").agg(F.collect_list(F.struct("begin", "tokens")).alias("runs"))
-    texts = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("item_text"))
-    size = texts.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
-    pairs = pairs.join(F.broadcast(texts) if size <= MAX_BROADCAST_BYTES else texts, "item_id")
+    keyed = materialize(items.select(F.monotonically_increasing_id().alias("item"), F.col(item_id_col).alias("item_id"),
+                                     F.col(item_text_col).alias("item_text")), "items")
+    seeds = materialize(_item_seeds(keyed, min_match), "item-seeds")
+    blocks = max(1, -(-seeds.count() // max(block_seeds, 1)))
+    pairs = None
+    for b in range(blocks):
+        index = seed_index(seeds.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).toArrow())  # block_seeds rows, give or take an item
+        if index.seeds.size:
+            one = _candidates(docs, id_col, text_col, index, threshold)
+            pairs = one if pairs is None else pairs.unionByName(one)
+    size = keyed.agg(F.sum(F.octet_length("item_text").cast("long"))).first()[0] or 0
+    if pairs is None:  # no item has a token
+        pairs = _candidates(docs.limit(0), id_col, text_col, SeedIndex(*[np.empty(0, np.int64)] * 6), threshold)
+    pairs = pairs.join(F.broadcast(keyed) if size <= MAX_BROADCAST_BYTES else keyed, "item")
 
     def tile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for p in batch.to_pylist():
+            for at in range(batch.num_rows):
+                p = batch.slice(at, 1).to_pylist()[0]
                 item = tokens(lowered((p["item_text"] or "").encode()))
                 doc: list[bytes | None] = []
                 for r in sorted(p["runs"], key=lambda r: r["begin"]):

@@ -7,6 +7,7 @@ from datetime import datetime
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,8 +65,8 @@ def test_tiles_by_hand_and_by_brute_force():
         assert sum(t[0] for t in S.greedy_tiles(doc, item, 3)) == brute_tiles(doc, item, 3)
 
 
-@pytest.mark.parametrize("filter_seeds", [S.MAX_FILTER_SEEDS, 0])
-def test_contamination_edge_cases(spark, filter_seeds):
+@pytest.mark.parametrize("block_seeds", [S.BLOCK_SEEDS, 60])
+def test_contamination_edge_cases(spark, block_seeds):
     rnd = random.Random(2)
     text = lambda n: " ".join(f"t{rnd.randrange(500)}" for _ in range(n))
     items = [(0, text(30)), (1, text(40)), (2, "Only Three Words"), (3, None), (4, ""), (None, text(20)), (5, text(12)), (5, text(12))]
@@ -76,12 +77,12 @@ def test_contamination_edge_cases(spark, filter_seeds):
             (None, items[0][1]), (9, ", ".join(a)), (10, "é " + items[6][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash")).withColumn("seeds", F.lit(1))
     it = spark.createDataFrame(items, "item_id long, text string").withColumn("n", F.lit("clash"))
-    got = Counter((r.doc_id, r.item_id) for r in S.contaminated_pairs(df, it, max_filter_seeds=filter_seeds).collect())
+    got = Counter((r.doc_id, r.item_id) for r in S.contaminated_pairs(df, it, block_seeds=block_seeds).collect())
     want = set()
     for i, t in docs:
         for k, x in items:
             item = tokens(x)
-            if k is not None and item and 2 * brute_tiles(tokens(t)[-2000:], item, 5) >= len(item):
+            if item and 2 * brute_tiles(tokens(t)[-2000:], item, 5) >= len(item):
                 want.add((i, k))
     assert set(got) == want and {(4, 1), (7, 1), (None, 0), (5, 2)} <= want and (6, 0) not in want
     assert max(got.values()) == 1
@@ -90,6 +91,49 @@ def test_contamination_edge_cases(spark, filter_seeds):
     assert S.contaminated_pairs(df.limit(0), it).count() == 0 and S.contaminated_pairs(df, it.limit(0)).count() == 0
 
 
+def test_equal_rows_do_not_add_up_and_null_items_are_found(spark):
+    rnd = random.Random(6)
+    item = " ".join(f"w{rnd.randrange(900)}" for _ in range(15))
+    part = " ".join(item.split()[:5])
+    docs = [(1, f"x {part} y"), (1, f"x {part} y"), (2, f"x {part} y {part} z"), (3, f"{part} {part}"), (None, item), (4, f"a {item} b"), (4, f"a {item} b")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    it = spark.createDataFrame([(None, item), (7, item)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_covered, r.n_tiles) for r in S.contaminated_pairs(df, it).collect()}
+    assert got == {(d, i): (15, 1) for d in (None, 4) for i in (None, 7)}
+    low = {(r.doc_id, r.item_id): r.coverage for r in S.contaminated_pairs(df, it, threshold=0.3).collect()}
+    assert {low[d, i] for d in (1, 2, 3) for i in (None, 7)} == {1 / 3}  # 5 of 15 tokens, however often the rows repeat
+
+
+def test_one_phrase_in_many_items_builds_no_pair(spark):
+    rnd = random.Random(7)
+    text = lambda n: " ".join(f"t{rnd.randrange(10_000)}" for _ in range(n))
+    phrase = "the same five word phrase"
+    docs = spark.createDataFrame([(i, f"{text(20)} {phrase} {text(20)}") for i in range(300)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"{text(10)} {phrase} {text(10)}") for i in range(300)], "item_id long, text string")
+    keyed = items.select(F.col("item_id").alias("item"), F.col("text").alias("item_text"))
+    index = S.seed_index(S._item_seeds(keyed, 5).toArrow())
+    assert S._candidates(docs, "doc_id", "text", index, 0.5).count() == 0
+    assert S._candidates(docs, "doc_id", "text", index, 0.2).count() == 90_000  # 5 of 25 tokens: all can reach this one
+    assert S.contaminated_pairs(docs, items).count() == 0
+
+
+def test_the_bound_never_drops_a_pair():
+    rnd = random.Random(9)
+    for _ in range(200):
+        item = [rnd.choice([b"a", b"b", b"c", b"d"]) for _ in range(rnd.randint(1, 25))]
+        doc = [rnd.choice([b"a", b"b", b"c", b"d"]) for _ in range(rnd.randint(1, 60))]
+        n = min(3, len(item))
+        h = lambda seq: S.token_hashes(np.frombuffer(b" ".join(seq), np.uint8))[2]
+        seeds = S.seed_hashes(h(item), n).view(np.int64)
+        index = S.seed_index(pa.table({"item": np.zeros(len(seeds), np.int64), "n": np.full(len(seeds), n), "size": np.full(len(seeds), len(item)),
+                                       "seed": seeds, "place": np.arange(len(seeds))}))
+        covered = brute_tiles(doc, item, 3)
+        found = S.seed_hashes(h(doc), n).view(np.int64)
+        if covered:
+            fine, _, spots = S.reachable(found, index, covered / len(item))
+            assert fine.tolist() == [0] and set(found[spots].tolist()) == set(found.tolist()) & set(seeds.tolist())
+
+
 def test_contamination_query_equals_brute_force(spark):
     import __spark_entry__ as E
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()

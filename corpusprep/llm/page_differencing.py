@@ -3,20 +3,31 @@
 A page is read into text lines, one per block of its markup, and the lines that a
 page's own markup names as something else than the article (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are
-left out. Pages are then paired by URL path within each host: sorted by path, a
-page's partner is the neighbour that shares more leading path segments (then more
-characters; ties: the one before; a neighbour without text is passed over). The two
-pages' lines are aligned by longest
-common subsequence and the shared lines are deleted: what repeats on the nearest
-page is template. Lines inside an ``article`` or ``main`` element are the page's
-own claim to be the article; they are kept even when shared, because copies of an
-article often sit side by side on a host, and when there are any they are the
-whole result. Differencing therefore decides the pages that mark no article.
-
-On Spark: one pass parses the pages; one shuffle brings neighbours together. The
-sorted order is cut into ranges by a bounded sample of the rows (the smallest
-hashes), so a host or a URL that holds a third of all pages is many ranges, the
-same ones on every run; a range is read as a stream that holds three pages at a time.
+left out, wherever they stand. Names are read by whole words: a class or id names
+chrome if a word of it does and only container words follow ("cookie-notice",
+"comment-section", "ad-wrapper"; not "legal-history", "share-price", "has-sidebar",
+"content-header"). Inside an article the words that articles use themselves do not
+count, and ids only where they name comments, adverts, newsletters or cookies. An
+``article`` that its class calls a teaser, card or comment is chrome beside another one.
+
+Pages are then paired by URL path within each host: sorted by path, a page's partner is
+the neighbour that shares more leading path segments (then more characters; ties: the
+one before). Pages without text lines are passed over as neighbours. The two pages'
+lines are aligned by longest common subsequence and the shared lines are deleted: what
+repeats on the nearest page is template. A partner that shares every line is a copy of
+the page and says nothing about the template: the other neighbour is taken, and if that
+is a copy too the page keeps its lines. Lines inside an ``article`` element, or inside
+``main`` where no article has any, are the page's own claim to be the article; they are
+the whole result and kept even when shared, because copies of an article often sit side
+by side on a host. Differencing therefore decides the pages that mark no article.
+
+On Spark: the sorted order is cut into ranges by a bounded sample of the rows (the
+smallest hashes), so a host or a URL that holds a third of all pages is many ranges, the
+same ones on every run. A first pass finds, on narrow columns, each range's first and
+last page with text per host that goes on in another range; these (two per border) are
+also sent to the ranges beside them. Then one shuffle brings neighbours together, and a
+range is read as a stream that holds three pages at a time. So a page's partner does not
+depend on where the ranges are cut.
 
 Defined results: null or empty html gives an empty text; a page whose URL is null
 or has no host has no partner; equal rows give equal rows; extra columns are
@@ -34,14 +45,16 @@ from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..operators.splits import smallest_hashes
+from ..session import materialize
 
-SAMPLE_URLS, RANGE_SAMPLES = 32768, 64  # at most 512 ranges, each of 64 sampled rows or more
+SAMPLE_URLS, RANGE_SAMPLES = 32768, 16  # at most 2,048 ranges, each of 16 sampled rows or more
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
@@ -57,48 +70,80 @@ _CHROME = {"head", "nav", "header", "footer", "aside", "form", "menu", "button",
            "fieldset", "datalist"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert",
           "alertdialog", "toolbar", "tablist"}
-_CHROME_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|navigation|"
-    r"menu|breadcrumb|breadcrumbs|header|masthead|footer|sidebar|side-bar|aside|widget|related|recommended|share|sharing|"
-    r"social|cookie|cookies|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|comment|comments|"
-    r"disqus|reply|replies|respond|pagination|pager|skip|toolbar|copyright|legal)(?=$|[\s_-])", re.I)
-#: Whole class tokens that stand for chrome inside an article too; parts of names such as "legal-history" do not.
-_SURE_CLASS = {"ad", "ads", "advert", "adverts", "advertisement", "advertisements", "ad-container", "ad-slot", "ad-banner",
-               "comments", "comments-area", "comment-list", "disqus_thread", "share", "sharing", "share-buttons",
-               "social-share", "social-sharing"}
+# Words that name chrome in a class or id, those of them that articles use themselves, words of containers,
+# words before "header" that make it the article's own, first words that make a name a modifier, and kinds of side articles.
+_CHROME_WORDS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertisements", "advertising", "aside", "banner", "banners", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "gdpr", "header", "legal", "login", "masthead", "menu",
+    "menus", "modal", "nav", "navbar", "navigation", "newsletter", "newsletters", "notice", "notices", "overlay", "pager", "pagination", "popup",
+    "promo", "promos", "promotion", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "sidebars", "signup",
+    "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets"}
+_ARTICLE_WORDS = {"aside", "copyright", "header", "legal", "masthead", "skip"}
+_SURE_IDS = {"ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "cookie", "cookies", "disqus", "newsletter", "respond"}
+_CONTAINER_WORDS = {
+    "area", "bar", "block", "body", "box", "button", "buttons", "col", "column", "container", "content", "footer", "form", "group", "holder", "icons",
+    "inner", "item", "items", "label", "link", "links", "list", "media", "module", "outer", "panel", "region", "row", "section", "slot", "thread", "top",
+    "unit", "wrap", "wrapper", "zone"}
+_OWN_HEADER = {"article", "content", "entry", "page", "post", "section", "story"}
+_MODIFIERS = {"has", "hide", "is", "no", "not", "with", "without"}
+_SIDE_ARTICLES = {"card", "comment", "preview", "promo", "promoted", "recommended", "related", "reply", "sponsored", "summary", "teaser"}
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+_HIDDEN, _QUOTED = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I), re.compile(r"\"[^\"]*\"|'[^']*'")
+_ARTICLES = re.compile(r"<article(?=[\s/>])([^>]*)>", re.I)
 _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 
 
+def _names_chrome(token: str, known: set[str]) -> bool:
+    """Whether a class token or id has a word of ``known`` that only container words, numbers or more of them follow."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not words or words[0] in _MODIFIERS:
+        return False
+    for k in range(len(words) - 1, -1, -1):
+        w = words[k]
+        if w in known and not (w == "header" and k and words[k - 1] in _OWN_HEADER) and not (w == "footer" and words[-1] != "footer"):
+            return True
+        if w not in _CONTAINER_WORDS and w not in _CHROME_WORDS and not w.isdigit():
+            return False
+    return False
+
+
+def _named(attrs: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
+
+
+def _is_side_article(attrs: str) -> bool:
+    return any(not _SIDE_ARTICLES.isdisjoint(w.lower() for w in _WORD.findall(t)) for t in _named(attrs).get("class", "").split())
+
+
 def _is_chrome(name: str, attrs: str, in_article: bool, page: str, pos: int) -> bool:
-    """Whether the element opened before ``pos`` is chrome; a class or id that only hints at it counts outside articles."""
+    """Whether the element opened before ``pos`` is chrome, by its name, role, class or id; never one that holds the article."""
     if name == "form" and not in_article:
         return not _holds_article(page, pos, name)  # some sites wrap the whole page in a form
     if name in _CHROME:
         return not (name == "header" and in_article)  # an article's own header holds its title
-    if name in ("html", "body", "article", "main") or not attrs or name not in _BLOCK and name not in ("span", "a"):
+    if name == "article":  # beside an article that is none itself
+        return _is_side_article(attrs) and any(not _is_side_article(m[1]) for m in _ARTICLES.finditer(page))
+    if name in ("html", "body", "main") or not attrs or name not in _BLOCK and name not in ("span", "a"):
         return False
-    hint = False
-    for key, value in _ATTR.findall(attrs):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "class" or key == "id" and name not in _HEADINGS:
-            if not _SURE_CLASS.isdisjoint(value.lower().split()):
-                return True
-        if key in ("class", "id") and _CHROME_CLASS.search(value):
-            hint = True
-        if key == "role" and value.lower() in _ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-    return hint and not in_article and not _holds_article(page, pos, name)
+    named = _named(attrs)
+    if named.get("role", "").lower() in _ROLES or _HIDDEN.search(_QUOTED.sub("", attrs)) or named.get("aria-hidden") == "true":
+        return True
+    words = _CHROME_WORDS - _ARTICLE_WORDS if in_article else _CHROME_WORDS
+    hint = any(_names_chrome(t, words) for t in named.get("class", "").split())
+    if not hint and name not in _HEADINGS:
+        hint = _names_chrome(named.get("id", ""), _SURE_IDS if in_article else words)
+    return hint and (in_article or not _holds_article(page, pos, name))
 
 
 def _holds_article(page: str, pos: int, name: str) -> bool:
     """Whether an article or main element opens before the element called ``name`` that was opened before ``pos`` is closed."""
     depth = 1
     tag = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)"
-                     rf"|<(/?)({re.escape(name)}|article|main)(?=[\s/>])", re.I | re.S)
+                     rf"|<(/?)({re.escape(name)}|article|main)(?=[\s/>])([^>]*)", re.I | re.S)
     for m in tag.finditer(page, pos):
         found = (m[3] or "").lower()
-        if found in ("article", "main") and not m[2]:
+        if found in ("article", "main") and not m[2] and not _is_side_article(m[4]):
             return True
         if found == name:
             depth += -1 if m[2] else 1
@@ -107,10 +152,13 @@ def _holds_article(page: str, pos: int, name: str) -> bool:
     return False
 
 
-def page_lines(page: str) -> tuple[list[str], list[bool]]:
-    """The page's text lines outside its marked chrome, in page order, and whether each stands inside an article."""
+NOWHERE, IN_MAIN, IN_ARTICLE = 0, 1, 2
+
+
+def page_lines(page: str) -> tuple[list[str], list[int]]:
+    """The page's text lines outside its marked chrome, in page order, and what each stands in."""
     lines, inside, text = [], [], []
-    article = 0
+    article = main = 0
     skip, depth = "", 0
     resume = False
 
@@ -120,7 +168,7 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
             text.clear()
             if line:
                 lines.append(line)
-                inside.append(article > 0)
+                inside.append(IN_ARTICLE if article else IN_MAIN if main else NOWHERE)
 
     pos, n = 0, len(page)
     while pos < n:
@@ -151,7 +199,9 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
             skip, depth = "", 0  # the skipped element is never closed: it does not hold the article
         if name in _BLOCK:
             flush()
-        if name in ("article", "main"):
+        if name == "main":
+            main = max(0, main + (-1 if closing else 1))
+        elif name == "article" and (closing or not _is_chrome(name, attrs, article > 0, page, pos)):
             article = max(0, article + (-1 if closing else 1))
         elif not closing and name not in _VOID and _is_chrome(name, attrs, article > 0, page, pos):
             flush()
@@ -160,6 +210,13 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
     return lines, inside
 
 
+def main_lines(page: str) -> tuple[list[str], bool]:
+    """The page's lines, and whether it marks them itself: those of its articles, else of its main part, else all."""
+    lines, inside = page_lines(page)
+    most = max(inside, default=NOWHERE)
+    return [t for t, i in zip(lines, inside) if i == most], most > NOWHERE
+
+
 def _closes(page: str, pos: int, name: str, depth: int) -> bool:
     """Whether the open elements called ``name`` are closed again after ``pos``."""
     for m in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])", page[pos:], re.I):
@@ -239,43 +296,80 @@ def _range_bounds(pages: DataFrame, id_col: str, url_col: str) -> list[tuple[str
     return sorted(set(keys[RANGE_SAMPLES::RANGE_SAMPLES]))
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text, n_chars) per page."""
-    spark = pages.sparkSession
-    bounds = _range_bounds(pages, id_col, url_col)
+def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str, bounds: list, with_lines: bool) -> DataFrame:
+    """(id, url, range, host, path, hash, full, and with lines: lines, marked); ``full`` tells whether there are lines."""
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
                 keys = [_range_key(u, i) for i, u in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-                lines, marked = [], []
-                for h in b.column(2).to_pylist():
-                    text, inside = page_lines(h or "")
-                    if any(inside):
-                        text = [t for t, i in zip(text, inside) if i]
-                    lines.append(text)
-                    marked.append(any(inside))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array([bisect_right(bounds, k) for k in keys], pa.int32()),
-                     pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]),
-                     pa.array(lines, pa.list_(pa.string())), pa.array(marked)],
-                    names=["id", "url", "range", "host", "path", "lines", "marked"])
+                parsed = [main_lines(h or "") for h in b.column(2).to_pylist()]
+                cols = [b.column(0), b.column(1), pa.array([bisect_right(bounds, k) for k in keys], pa.int32()),
+                        pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]),
+                        pa.array([xxhash.xxh3_64_intdigest("\0".join(t)) >> 1 for t, _ in parsed], pa.int64()), pa.array([bool(t) for t, _ in parsed])]
+                names = ["id", "url", "range", "host", "path", "hash", "full"]
+                if with_lines:
+                    cols += [pa.array([t for t, _ in parsed], pa.list_(pa.string())), pa.array([m for _, m in parsed])]
+                    names += ["lines", "marked"]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    fields = [T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("range", T.IntegerType()),
+              T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("hash", T.LongType()),
+              T.StructField("full", T.BooleanType())]
+    if with_lines:
+        fields += [T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("marked", T.BooleanType())]
+    return pages.select(id_col, url_col, html_col).mapInArrow(parse, T.StructType(fields))
+
+
+def _guests(narrow: DataFrame) -> DataFrame:
+    """(range, host, path, url, id, hash, to, side): the last page with text before a range, and the first behind it, per host that goes on.
+
+    At most two rows per range: a host that lies in two ranges holds all that is between them.
+    """
+    key = F.struct("path", "url", "id", "hash")
+    ends = narrow.where("full AND host <> ''").groupBy("range", "host").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    seen = narrow.where("host <> ''").select("range", "host").distinct().join(ends, ["range", "host"], "left")
+    w = Window.partitionBy("host").orderBy("range")
+    with_range = lambda c: F.when(F.col(c).isNotNull(), F.struct("range", F.col(c).alias("row")))
+    before = F.last(with_range("last"), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    behind = F.first(with_range("first"), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    beside = seen.select("host", F.col("range").alias("to"), before.alias("before"), behind.alias("behind"))
+    both = beside.select("host", "to", F.explode(F.array(F.struct(F.lit(-1).alias("side"), F.col("before").alias("at")),
+                                                         F.struct(F.lit(1).alias("side"), F.col("behind").alias("at")))).alias("g"))
+    return both.where("g.at IS NOT NULL").select("g.at.range", "host", "g.at.row.*", "to", "g.side")
+
+
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, text, n_chars) per page."""
+    spark = pages.sparkSession
+    bounds = _range_bounds(pages, id_col, url_col)
 
     def difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(prev, row, nxt):
             kept = row["lines"]
-            near = [p for p in (prev, nxt)
-                    if p is not None and p["host"] and p["lines"] and (p["range"], p["host"]) == (row["range"], row["host"])]
-            if near and not row["marked"]:
-                partner = max(near, key=lambda p: _closeness(row["path"], p["path"]))
-                kept = [t for t, s in zip(kept, shared_lines(kept, partner["lines"])) if not s]
+            near = [p for p in (prev, nxt) if p is not None and p["host"] and (p["range"], p["host"]) == (row["range"], row["host"])]
+            if not row["marked"]:
+                for partner in sorted(near, key=lambda p: _closeness(row["path"], p["path"]), reverse=True):
+                    shared = shared_lines(kept, partner["lines"])
+                    if not all(shared):
+                        kept = [t for t, s in zip(kept, shared) if not s]
+                        break
             return row["id"], row["url"], "\n".join(kept)
 
-        def rows():
+        def results():
+            prev = row = None
             for batch in batches:
                 for lo in range(0, batch.num_rows, 256):
-                    yield from batch.slice(lo, 256).to_pylist()
+                    for nxt in batch.slice(lo, 256).to_pylist():
+                        if not nxt["full"]:
+                            yield nxt["id"], nxt["url"], ""
+                            continue
+                        if row is not None and not row["side"]:
+                            yield emit(prev, row, nxt)
+                        prev, row = row, nxt
+            if row is not None and not row["side"]:
+                yield emit(prev, row, None)
 
         def done(out):
             ids, urls, texts = zip(*out)
@@ -283,28 +377,31 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 [pa.array(ids, types[0]), pa.array(urls, pa.string()), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
-        prev = row = None
         out: list = []
-        for nxt in rows():
-            if row is not None:
-                out.append(emit(prev, row, nxt))
-                if len(out) >= 256:
-                    yield done(out)
-                    out = []
-            prev, row = row, nxt
-        if row is not None:
-            out.append(emit(prev, row, None))
+        for r in results():
+            out.append(r)
+            if len(out) >= 256:
+                yield done(out)
+                out = []
         if out:
             yield done(out)
 
     id_type = pages.schema[id_col].dataType
     types = [to_arrow_type(id_type)]
-    parsed = pages.select(id_col, url_col, html_col).mapInArrow(parse, T.StructType([
-        T.StructField("id", id_type), T.StructField("url", T.StringType()), T.StructField("range", T.IntegerType()),
-        T.StructField("host", T.StringType()), T.StructField("path", T.StringType()),
-        T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("marked", T.BooleanType())]))
+    guests = None
+    if bounds:
+        guests = materialize(_guests(_parsed(pages, id_col, url_col, html_col, bounds, False)), "border-pages")
+    parsed = _parsed(pages, id_col, url_col, html_col, bounds, True).withColumn("side", F.lit(0))
+    if guests is not None:
+        # two rows per range at most, of which there are at most SAMPLE_URLS / RANGE_SAMPLES
+        g = guests.groupBy("range", "host", "path", "url", "id", "hash").agg(F.collect_set(F.struct("to", "side")).alias("also"))
+        g = F.broadcast(g.select(*[F.col(c).alias(f"g_{c}") for c in ("range", "host", "path", "url", "id", "hash")], "also"))
+        met = parsed.join(g, F.expr("range = g_range AND host = g_host AND path = g_path AND url <=> g_url AND id <=> g_id AND hash = g_hash"), "left")
+        places = F.concat(F.array(F.struct(F.col("range").alias("to"), F.col("side"))), F.coalesce("also", F.expr("array()")))
+        parsed = met.withColumn("at", F.explode(places)).select("id", "url", F.col("at.to").alias("range"), F.col("at.side").alias("side"),
+                                                                "host", "path", "hash", "full", "lines", "marked")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["range", "host", "path", "url", "id", F.xxhash64("lines")]
+    order = ["range", "host", "side", "path", "url", "id", "hash"]
     near = parsed.repartition(n, "range").sortWithinPartitions(*order)
     texts = near.mapInArrow(difference, T.StructType([
         T.StructField("id", id_type), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()),

@@ -330,6 +330,44 @@ def test_names_that_only_hint_at_chrome_drop_nothing_of_an_article():
     assert G.page_lines("<div class=sidebar><div>a</div><!-- <article> --></div><main>b</main>")[0] == ["b"]
 
 
+def test_chrome_is_left_out_wherever_it_stands():
+    chrome = ("<div class='sidebar'>side</div><div class='cookie-notice'>we use</div><div class='promo'>buy</div>"
+              "<section class='comment-section'><p>first!</p></section><div class='newsletter'>mail</div><div hidden>h</div>")
+    assert G.main_lines(f"<body><main><h1>T</h1>{chrome}<p>body</p></main></body>") == (["T", "body"], True)
+    page = ("<main><nav class='breadcrumb'>a</nav><div class='breadcrumbs'>a > b</div><article><h1>T</h1><p>body</p></article>"
+            "<div class='related-links'>more</div><div class='sidebar'>side</div><div id='respond'>say</div><p>loose</p></main>")
+    assert G.main_lines(page) == (["T", "body"], True)
+    page = ("<article><h1>T</h1><div class='comment'>c</div><div class='user-comments'>c</div><div class='ad-wrapper'>a</div>"
+            "<div class='advertisement-box'>a</div><div class='AdSlot'>a</div><div class='newsletter-signup'>n</div><div class='legal'>law</div><p>body</p></article>")
+    assert G.main_lines(page) == (["T", "law", "body"], True)
+    page = "<article><p>body</p><article class='comment'>nice</article></article><article class='teaser'>next</article><article class='post-card'>x</article>"
+    assert G.main_lines(page) == (["body"], True)
+    assert G.main_lines("<article class='card'><p>only</p></article>") == (["only"], True)
+    assert G.main_lines("<article class='post'>one</article><article class='post'>two</article>") == (["one", "two"], True)
+    page = "<div class='content-header'><h1>T</h1></div><div id='legal-history'><p>law</p></div><p class='share-price'>9</p><div class='site-header'>s</div>"
+    assert G.main_lines(page) == (["T", "law", "9"], False)
+    assert G.main_lines("<article></article><main><p>x</p></main>") == (["x"], True)
+
+
+def test_neighbours_without_text_and_across_ranges(spark, monkeypatch):
+    page = lambda *body: "<body>" + "".join(f"<p>{b}</p>" for b in body) + "</body>"
+    schema = "page_id long, url string, html string"
+    three = [(1, "https://h.org/1", page("Menu", "one")), (2, "https://h.org/2", page()), (3, "https://h.org/3", page("Menu", "three"))]
+    assert {r.page_id: r.text for r in G.extract_main_text(spark.createDataFrame(three, schema)).collect()} == {1: "one", 2: "", 3: "three"}
+    # copies tell nothing about the template: the other neighbour does, and copies alone keep their lines
+    copies = [(k, f"https://h.org/a/{k}", page("Menu", "same")) for k in (1, 2, 3)] + [(4, "https://h.org/a/4", page("Menu", "other"))]
+    assert {r.page_id: r.text for r in G.extract_main_text(spark.createDataFrame(copies, schema)).collect()} == {
+        1: "Menu\nsame", 2: "Menu\nsame", 3: "same", 4: "other"}
+    rows = [(i, f"https://h{i % 3}.org/a/{i:04d}", page("Menu", f"story {i}", "Foot") if i % 5 else None) for i in range(400)]
+    rows += [(1000 + i, "https://hot.org/", page("Top", f"copy {i}")) for i in range(150)] + [(5000, "https://lone.org/x", page("Menu", "lone"))]
+    df = spark.createDataFrame(rows, schema).repartition(7)
+    want = {i: f"story {i}" if i % 5 else "" for i in range(400)} | {1000 + i: f"copy {i}" for i in range(150)} | {5000: "Menu\nlone"}
+    for size in (1, 16, 10_000):
+        monkeypatch.setattr(G, "RANGE_SAMPLES", size)
+        out = G.extract_main_text(df).collect()
+        assert {r.page_id: r.text for r in out} == want and len(out) == len(rows), size
+
+
 def test_unmarked_pages_lose_what_their_neighbour_shares(spark):
     page = lambda *body: "<body>" + "".join(f"<p>{b}</p>" for b in body) + "</body>"
     rows = [(1, "https://h.org/a/1", page("Top", "first story", "Bottom")), (2, "https://h.org/a/2", page("Top", "second story", "Bottom")),

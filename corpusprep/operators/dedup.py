@@ -11,8 +11,10 @@ Scale notes
   row per map task before the shuffle; survivors are joined back on the
   unique id, so no join key is skewed and the text never goes through a sort.
 * Equal fingerprints are collapsed first, so copies never produce pairs.
-* A band bucket is compared inside one task only up to ``CELL`` fingerprints; a
-  larger one is dealt as a grid of cells, each a pair of its blocks, so the
+* A band bucket of over ``CELL`` fingerprints is split again on its remaining bits
+  (pigeonhole once more), as often as that at least halves the comparisons, which
+  their counts tell before. What is left large, a ball of fingerprints that are all
+  near each other, is dealt as a grid of cells, each a pair of its blocks, so the
   largest task does a bounded number of comparisons whatever the bucket.
 * For components a cell returns a spanning forest of its links: a family of m
   near copies gives O(m) edges, not m squared.
@@ -23,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -154,40 +157,96 @@ def _candidates(fp: np.ndarray, cell: np.ndarray, side: np.ndarray) -> Iterator[
                 yield i.ravel(), j.ravel()
 
 
-def _dealt(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int) -> DataFrame:
-    """(band, key, i, j, side, fp): every distinct fingerprint in every cell where it meets the ones it may be near to.
+class _Path(NamedTuple):
+    """What fingerprints of a bucket share: the agreed bits, and block masks on which a pair must differ to be given there."""
 
-    ``side`` is -1 in a cell that is compared as a whole, 0 or 1 in one that holds two blocks of a bucket.
+    agreed: int
+    differ: tuple[int, ...]
+
+
+def _first_paths(num_blocks: int, hamming_distance: int) -> dict[int, _Path]:
+    """The bands: ``num_blocks - hamming_distance`` agreeing blocks each; a pair is given by its lowest agreeing blocks."""
+    masks = block_masks(num_blocks)
+    out = {}
+    for b, c in enumerate(combinations(range(num_blocks), num_blocks - hamming_distance)):
+        out[b + 1] = _Path(sum(masks[i] for i in c), tuple(masks[i] for i in range(c[-1]) if i not in c))
+    return out
+
+
+def _longer_paths(code: int, path: _Path, hamming_distance: int) -> dict[int, _Path]:
+    """The pigeonhole again: of h + 1 blocks of the bits left over, two near fingerprints agree on one."""
+    free = [b for b in range(64) if not path.agreed >> b & 1]
+    n = hamming_distance + 1
+    blocks = [sum(1 << b for b in free[i * len(free) // n:(i + 1) * len(free) // n]) for i in range(n)]
+    return {code * (n + 1) + i + 1: _Path(path.agreed | m, path.differ + tuple(blocks[:i])) for i, m in enumerate(blocks)}
+
+
+def _keyed(rows: DataFrame, paths: dict[int, _Path], of: dict[int, int]) -> DataFrame:
+    """Rows (path, key, fp) under every path that follows theirs (``of``: path -> the one before), with that one as ``before``."""
+    table = [(c, before, _signed(paths[c].agreed), _signed(paths[before].agreed)) for c, before in of.items()]
+    masks = rows.sparkSession.createDataFrame(table, "next long, path long, m long, old long")
+    j = rows.join(F.broadcast(masks), "path")
+    return j.select(F.col("next").alias("path"), F.col("fp").bitwiseAND(F.col("m")).alias("key"), "fp",
+                    F.struct("path", F.col("fp").bitwiseAND(F.col("old")).alias("key")).alias("before"))
+
+
+def _buckets(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int) -> tuple[DataFrame, dict[int, _Path]]:
+    """(path, key, blocks, fp): every fingerprint in every bucket to compare, large ones split on their remaining bits.
+
+    Buckets of over ``cell`` fingerprints are split as long as that at least halves the comparisons (it does not in a
+    ball of fingerprints that are all near each other); the rest stays whole, with the number of ``blocks`` to deal it in.
     """
-    k = num_blocks - hamming_distance
-    if k < 1:
+    if num_blocks <= hamming_distance:
         raise ValueError("num_blocks must exceed hamming_distance for an exact band search")
-    masks = block_masks(num_blocks)
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(_signed(sum(masks[i] for i in c))).cast("long").alias("m"))
-                      for b, c in enumerate(combinations(range(num_blocks), k))])
-    banded = fps.select("fp", F.explode(bands).alias("k")).select(
-        "k.band", F.col("fp").bitwiseAND(F.col("k.m")).alias("key"), "fp")
-    # only buckets over the limit are listed; written, so that AQE sees their number and can split a hot one
-    large = materialize(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell).select(
-        "band", "key", F.ceil(F.col("n") / cell).cast("int").alias("blocks")), "large-buckets")
-    placed = banded.join(large, ["band", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    paths = _first_paths(num_blocks, hamming_distance)
+    bands = F.array(*[F.struct(F.lit(c).cast("long").alias("path"), F.lit(_signed(p.agreed)).cast("long").alias("m")) for c, p in paths.items()])
+    rows = fps.select("fp", F.explode(bands).alias("k")).select("k.path", F.col("fp").bitwiseAND(F.col("k.m")).alias("key"), "fp")
+    at, done = ["path", "key"], None
+    while True:
+        # only buckets over the limit are listed; written, so that AQE sees their number and can split a hot one
+        large = materialize(rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell), "large-buckets")
+        codes = [r["path"] for r in large.select("path").distinct().collect()]  # of the paths made so far
+        of = {}
+        for code in codes:
+            for longer, path in _longer_paths(code, paths[code], hamming_distance).items():
+                paths[longer], of[longer] = path, code
+        if of:
+            parts = _keyed(rows.join(large.select(*at), at, "left_semi"), paths, of)
+            after = (parts.groupBy("before", *at).agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("before")
+                     .agg(F.sum(F.col("m") * F.col("m")).alias("after")).select("before.*", "after"))
+            large = materialize(large.join(after, at).withColumn("split", F.col("after") * 2 < F.col("n").cast("double") * F.col("n")), "large-buckets")
+        else:
+            large = large.withColumn("split", F.lit(False))
+        kept = (rows.join(large.select(*at, "split", F.ceil(F.col("n") / cell).cast("int").alias("blocks")), at, "left")
+                .where("split IS NULL OR NOT split").select(*at, F.coalesce("blocks", F.lit(1)).alias("blocks"), "fp"))
+        done = kept if done is None else done.unionByName(kept)
+        if not of or large.where("split").isEmpty():
+            return done, paths
+        rows = materialize(_keyed(rows.join(large.where("split").select(*at), at, "left_semi"), paths, of).drop("before"), "split-buckets")
+
+
+def _dealt(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int) -> tuple[DataFrame, dict[int, _Path]]:
+    """(path, key, i, j, side, fp): every distinct fingerprint in every cell where it meets the ones it may be near to.
+
+    ``side`` is -1 in a cell that is compared as a whole, 0 or 1 in one that holds two blocks of a bucket.
+    """
+    placed, paths = _buckets(fps, num_blocks, hamming_distance, cell)
     own = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).otherwise(F.lit(0))
     placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return placed.select(
-        "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "fp")
+        "path", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "fp"), paths
 
 
 def _search(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int, spanning: bool) -> DataFrame:
     """(fp_a, fp_b, distance): all pairs, each once, or a spanning forest of the links of every cell."""
-    masks = np.array([m for m in block_masks(num_blocks)], dtype=np.uint64)
-    combos = list(combinations(range(num_blocks), num_blocks - hamming_distance))
-    members = np.zeros((len(combos), num_blocks), dtype=bool)
-    for b, c in enumerate(combos):
-        members[b, list(c)] = True
-    last = np.array([max(c) for c in combos])
-
-    def pairs(fp, band, cells, side):
+    cells_of, paths = _dealt(fps, num_blocks, hamming_distance, cell)
+    codes = np.array(sorted(paths), dtype=np.int64)
+    differ = np.full((len(codes), max(len(p.differ) for p in paths.values()) or 1), np.uint64(2**64 - 1), dtype=np.uint64)
+    for row, code in enumerate(codes.tolist()):
+        differ[row, :len(paths[code].differ)] = paths[code].differ
+
+    def pairs(fp, cells, side):
         for a, b in _candidates(fp, cells, side):
             x = fp[a] ^ fp[b]
             d = np.bitwise_count(x)
@@ -198,15 +257,13 @@ def _search(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int, s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_cells(batches):
             fp = t["fp"].to_numpy().view(np.uint64)
-            band, side = t["band"].to_numpy(), t["side"].to_numpy()
+            path, side = np.searchsorted(codes, t["path"].to_numpy()), t["side"].to_numpy()
             cells = _cell_numbers(t)
             comp = np.arange(len(fp))
-            for a, b, x, d in pairs(fp, band, cells, side):
+            for a, b, x, d in pairs(fp, cells, side):
                 if not spanning:
-                    # a pair is given by the band of its first agreeing blocks only
-                    agree = (x[:, None] & masks) == 0
-                    below = np.arange(num_blocks) <= last[band[a]][:, None]
-                    first = ~(agree & below & ~members[band[a]]).any(axis=1)
+                    # a pair is given only where its path takes the lowest agreeing blocks at every step
+                    first = ((x[:, None] & differ[path[a]]) != 0).all(axis=1)
                     lo, hi = fp[a][first].view(np.int64), fp[b][first].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(lo, hi)), pa.array(np.maximum(lo, hi)), pa.array(d[first].astype(np.int32))],
@@ -226,15 +283,14 @@ def _search(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int, s
                     [pa.array(fp[linked].view(np.int64)), pa.array(fp[comp[linked]].view(np.int64)),
                      pa.nulls(len(linked), pa.int32())], names=["fp_a", "fp_b", "distance"])
 
-    order = ["band", "key", "i", "j"]
+    order = ["path", "key", "i", "j"]
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (_dealt(fps, num_blocks, hamming_distance, cell).repartition(n, *order).sortWithinPartitions(*order)
-            .mapInArrow(run, "fp_a long, fp_b long, distance int"))
+    return cells_of.repartition(n, *order).sortWithinPartitions(*order).mapInArrow(run, "fp_a long, fp_b long, distance int")
 
 
 def _cell_numbers(t: pa.Table) -> np.ndarray:
     new = np.zeros(t.num_rows, dtype=np.int64)
-    for c in ("band", "key", "i", "j"):
+    for c in ("path", "key", "i", "j"):
         v = t[c].to_numpy()
         new[1:] |= v[1:] != v[:-1]
     return np.cumsum(new)
@@ -266,7 +322,8 @@ def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_
     B - h of the B blocks (pigeonhole), so they share the key (band, masked
     value) of at least one band of B - h blocks: the result is exact for any B.
     A pair is given only by the band made of its B - h lowest agreeing blocks, so
-    the pairs need no distinct().
+    the pairs need no distinct(). A bucket of over ``cell`` fingerprints is split
+    on the bits it has left, by the same argument: of h + 1 blocks of these, one agrees.
     """
     return _search(fps.select(F.col(fp_col).alias("fp")), num_blocks, hamming_distance, cell, spanning=False)
 

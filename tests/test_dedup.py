@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusprep.operators import dedup as D
@@ -41,6 +42,61 @@ def test_near_pairs_equal_brute_force(spark):
         assert got == want
 
 
+def _brute_pairs(fps, h):
+    arr, want = np.array(fps, dtype=np.uint64), set()
+    for i, x in enumerate(arr):
+        for j in np.flatnonzero(np.bitwise_count(arr[i + 1:] ^ x) <= h):
+            want.add((int(x), int(arr[i + 1 + j])))
+    return want
+
+
+def _comparisons(cells):
+    n = F.col("count").cast("double")
+    return cells.groupBy("path", "key", "i", "j").count().agg(F.sum(n * n / 2)).first()[0]
+
+
+def test_a_bucket_of_200000_is_split_on_its_remaining_bits(spark):
+    """Distinct fingerprints that share two blocks: exact pairs with far fewer comparisons than all with all."""
+    rng = np.random.default_rng(3)
+    low = np.unique(rng.integers(0, 1 << 50, 200_000, dtype=np.uint64))
+    near = low[:400].copy()
+    for k in range(400):  # copies at distances 1 to 9
+        for bit in rng.choice(50, 1 + k % 9, replace=False):
+            near[k] ^= np.uint64(1 << int(bit))
+    fps = np.unique(np.concatenate([low, near])).astype(np.int64)
+    df = spark.createDataFrame(pd.DataFrame({"fp": fps}))
+    cells, _ = D._dealt(df, 9, 7, D.CELL)
+    assert _comparisons(cells) < 36 / 4 * len(fps) ** 2 / 2 / 8  # the bucket alone would be len(fps) ** 2 / 2
+    got = {(r.fp_a, r.fp_b): r.distance for r in D.near_pairs(df, "fp", 9, 7).collect()}
+    # every pair within 7 bits is one of a fingerprint and its copy, or found among pairs that share a 25-bit half's block
+    want = {}
+    u = fps.view(np.uint64)
+    cuts = [50 * i // 8 for i in range(9)]
+    for a, b in zip(cuts, cuts[1:]):
+        part = (u >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)
+        order = np.argsort(part, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            g = u[group]
+            for i in range(len(g) - 1):
+                d = np.bitwise_count(g[i + 1:] ^ g[i])
+                for j in np.flatnonzero(d <= 7):
+                    x, y = int(g[i]), int(g[i + 1 + j])
+                    want[min(x, y), max(x, y)] = int(d[j])
+    assert got == want and len(want) > 200
+
+
+def test_a_ball_of_near_fingerprints_stays_a_grid(spark):
+    """All within 6 bits of each other: splitting would multiply rows, so the bucket is dealt in blocks."""
+    ball = sorted({0} | {1 << a | 1 << b | 1 << c for a in range(46) for b in range(a) for c in range(b)} | {1 << a for a in range(46)})
+    ball = ball[:6000]
+    df = spark.createDataFrame([(f,) for f in ball], "fp long")
+    cells, paths = D._dealt(df, 9, 7, 1024)
+    assert cells.groupBy("path", "key", "i", "j").count().agg(F.max("count")).first()[0] < 3 * 1024
+    assert cells.count() < 36 * 8 * 12 * len(ball)
+    roots = D.near_links(df, 9, 7, 1024)
+    assert connected_components(df.withColumnRenamed("fp", "node"), roots, "node", "fp_a", "fp_b").select("label").distinct().count() == 1
+
+
 def test_large_bucket_is_dealt_in_cells(spark):
     """20,000 distinct fingerprints that share their first two blocks: right links, bounded cells."""
     rnd = random.Random(11)
@@ -49,14 +105,10 @@ def test_large_bucket_is_dealt_in_cells(spark):
     fps = sorted(set(low))
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
     cell = 1024
-    dealt = D._dealt(df, 9, 7, cell).groupBy("band", "key", "i", "j").count()
+    dealt = D._dealt(df, 9, 7, cell)[0].groupBy("path", "key", "i", "j").count()
     assert dealt.agg(F.max("count")).first()[0] < 3 * cell
     got = {(r.fp_a, r.fp_b) for r in D.near_pairs(df, "fp", 9, 7, cell).collect()}
-    arr = np.array(fps, dtype=np.uint64)
-    want = set()
-    for i, x in enumerate(arr):
-        for j in np.flatnonzero(np.bitwise_count(arr[i + 1:] ^ x) <= 7):
-            want.add((int(x), int(arr[i + 1 + j])))
+    want = _brute_pairs(fps, 7)
     assert got == want
     links = [(r.fp_a, r.fp_b) for r in D.near_links(df, 9, 7, cell).collect()]
     assert len(links) < 40 * len(fps)

@@ -5,6 +5,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from corpusprep.operators import components as C
 from corpusprep.operators import dedup as D
 from corpusprep.operators.components import connected_components
 
@@ -147,6 +148,50 @@ def test_connected_components_long_path_and_no_edges(spark):
     assert connected_components(nodes, edges.limit(0)).where("node <> label").count() == 0
 
 
+def _plain_roots(rows):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in rows:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root}
+
+
+def test_contraction_settles_nodes_early(spark, monkeypatch):
+    """A shuffled path, a hub, a cycle and a clique over many partitions; integers contract, text nodes take star rounds."""
+    rng = np.random.default_rng(5)
+    path = rng.permutation(60_000)
+    hub = np.stack([np.full(30_000, 300_000), np.arange(300_001, 330_001)], axis=1)
+    cycle = np.stack([np.arange(400_000, 400_500), np.roll(np.arange(400_000, 400_500), 1)], axis=1)
+    clique = np.array([(a, b) for a, b in combinations(range(500_000, 500_060), 2)])
+    rows = np.concatenate([np.stack([path[:-1], path[1:]], axis=1), hub, cycle, clique])
+    edges = spark.createDataFrame(pd.DataFrame({"src": rows[:, 0], "dst": rows[:, 1]})).repartition(5)
+    want = _plain_roots(rows.tolist())
+    written = []
+    plain = C.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(C, "materialize", counted)
+    monkeypatch.setattr(C, "LOCAL_EDGES", 1 << 13)
+    assert {r.node: r.root for r in C.component_roots(edges).collect()} == want
+    rounds = [n for name, n in written if name == "edges"]
+    # star rounds alone take 15 of 90,000 edges each; here every round leaves fewer
+    assert len(rounds) <= 15 and sum(n for _, n in written) < 15 * 90_000 / 2, written
+    text = spark.createDataFrame([(f"n{a:06d}", f"n{b:06d}") for a, b in rows[59_000:61_000].tolist()], "src string, dst string")
+    got = {r.node: r.root for r in C.component_roots(text).collect()}
+    assert got == {f"n{a:06d}": f"n{b:06d}" for a, b in _plain_roots(rows[59_000:61_000].tolist()).items()}
+
+
 def test_simhash_dedup_keeps_empty_and_smallest(spark):
     t = "the quick brown fox jumps over the lazy dog again and again"
     # 2 differs from 4 only in case and punctuation: same fingerprint after normalization

@@ -275,7 +275,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 400
 
 def fit_texts(texts: list[bytes], labels: np.ndarray, base_rate: float | None = None, seed: int = 3, epochs: int = 12,
               min_steps: int = 240, batch: int = 256, rate: float = 8e-3) -> Model:
-    """Train on whole texts with 0/1 labels; every fifth text calibrates instead of training."""
+    """Train on texts with 0/1 labels; every fifth text calibrates instead of training.
+
+    An epoch reads one window of each text, drawn anew from all its windows, with the text's label; over the
+    epochs the windows of a short text are all read, those of a very long one only in part. Calibration and
+    scoring read every window of every text.
+    """
     labels = np.asarray(labels)
     if len(set(labels.tolist())) < 2:
         return Model({})
@@ -340,7 +345,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .unionByName(smallest_hashes(known.where("y = 0"), max_negative, hashed, id_col))
               .withColumnRenamed(id_col, "__id"))  # at most max_positive + max_negative ids
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("__id"))
-    got = rows.select(id_col, text_col, "y").toPandas().sort_values([id_col, text_col]).drop_duplicates(id_col)
+    # of rows that share a picked id the smallest text counts, so what reaches the driver is bounded by the ids
+    rows = rows.groupBy(id_col, "y").agg(F.min(text_col).alias(text_col))
+    got = rows.toPandas().sort_values(id_col)
     order = np.random.default_rng(seed).permutation(len(got))
     texts = [(t or "").encode() for t in got[text_col].to_numpy()[order]]
     base = counts.get(1, 0) / max(1, sum(counts.values()))

@@ -234,12 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = (pos.withColumn("p", F.lit(1)).unionByName(unl.withColumn("p", F.lit(0)))
               .withColumnRenamed(id_col, "__id"))  # at most max_positives + max_unlabelled ids
     rows = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col("__id"))
+    # of rows that share a picked id the smallest text counts, so what reaches the driver is bounded by the ids
+    rows = rows.groupBy(id_col).agg(F.min(text_col).alias(text_col))
     x = feature_rows(rows, id_col, text_col).join(F.broadcast(picked), F.col("id") == F.col("__id"))
     got = x.select("id", "p", "x").toPandas()
     if got.empty:
         return fit_matrix(np.empty((0, N_FEATURES)), np.empty((0, N_FEATURES)))
-    got["first"] = got["x"].map(lambda a: float(a[0]))
-    got = got.sort_values(["id", "first"]).drop_duplicates("id")
+    got = got.sort_values("id")
     m = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), N_FEATURES)
     is_pos = got["p"].to_numpy() == 1
     return fit_matrix(m[is_pos], m[~is_pos], seed)

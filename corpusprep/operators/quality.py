@@ -8,7 +8,7 @@ it runs as an Arrow-batched pandas UDF with numpy inside.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -170,6 +170,81 @@ def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "t
     return df.where(r <= F.lit(max_ratio))
 
 
+#: Bytes of a (lang, word) table that go to every worker; a larger table is refused.
+MAX_LIST_BYTES = 256 << 20
+#: Languages whose tokens are characters.
+CHARACTER_LANGUAGES = ("zh", "ja", "th")
+
+
+def _trie(phrases: Iterable[list[str]]) -> dict:
+    """Nested dicts by token; a phrase ends where the key None is."""
+    root: dict = {}
+    for tokens in phrases:
+        node = root
+        for t in tokens:
+            node = node.setdefault(t, {})
+        if tokens:
+            node[None] = True
+    return root
+
+
+def _covered(tokens, trie: dict) -> int:
+    """Tokens that lie in an occurrence of a phrase of the trie; overlapping occurrences count each token once."""
+    n, reach = 0, 0
+    for i, t in enumerate(tokens):
+        node, k, end = trie.get(t), i + 1, 0
+        while node is not None:
+            if None in node:
+                end = k
+            if k == len(tokens):
+                break
+            node, k = node.get(tokens[k]), k + 1
+        if end > reach:
+            n += end - max(reach, i)
+            reach = end
+    return n
+
+
+def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "text", lang_col: str = "lang", out_col: str = "flagged_ratio",
+                              lang_word_cols: tuple[str, str] = ("lang", "word"), character_languages: Iterable[str] = CHARACTER_LANGUAGES) -> DataFrame:
+    """``df`` with the share of tokens that lie in a word or phrase listed for the row's language; 0.0 without tokens.
+
+    ``words`` is a table of (language, word); a word may be a phrase of several tokens. Both sides are tokenized alike:
+    letter/digit runs, or characters for ``character_languages``. The table is looked up in a trie per language that
+    each worker builds once; it must be at most ``MAX_LIST_BYTES`` large. A row of a language without words, or of no
+    language, has ratio 0.0; list entries without language, word or token count for nothing.
+    """
+    lang, word = lang_word_cols
+    listed = words.select(F.col(lang).alias("lang"), F.col(word).alias("word")).where("lang IS NOT NULL AND word IS NOT NULL")
+    size = listed.agg(F.sum(F.octet_length("word").cast("long") + F.octet_length("lang"))).first()[0] or 0
+    if size > MAX_LIST_BYTES:
+        raise ValueError(f"the flagged-word table has {size} bytes, over {MAX_LIST_BYTES}")
+    by_character = list(character_languages)
+
+    def tokens(text: Column, language: Column) -> Column:
+        return F.when(language.isin(by_character), word_tokens(text, "character")).otherwise(word_tokens(text, "word")) if by_character \
+            else word_tokens(text, "word")
+
+    phrases: dict[str, list[list[str]]] = {}
+    for r in listed.select("lang", tokens(F.col("word"), F.col("lang")).alias("t")).distinct().collect():  # MAX_LIST_BYTES at most
+        phrases.setdefault(r["lang"], []).append(r["t"])
+    sent = df.sparkSession.sparkContext.broadcast(phrases)
+
+    @F.pandas_udf(T.DoubleType())
+    def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        tries = {k: _trie(v) for k, v in sent.value.items()}
+        for toks, langs in batches:
+            yield pd.Series([0.0 if t is None or len(t) == 0 or k not in tries else _covered(t, tries[k]) / len(t) for t, k in zip(toks, langs)],
+                            dtype="float64")
+
+    return df.withColumn(out_col, ratio(tokens(F.col(text_col), F.col(lang_col)), F.col(lang_col)))
+
+
+def flagged_words_filter_by_language(df: DataFrame, words: DataFrame, max_ratio: float = 0.045, **args) -> DataFrame:
+    """Rows whose flagged ratio for their own language is at most ``max_ratio``."""
+    return flagged_ratio_by_language(df, words, out_col="__flagged", **args).where(F.col("__flagged") <= max_ratio).drop("__flagged")
+
+
 # ---------------------------------------------------------------- lines, length
 
 def maximum_line_length(text: str | Column) -> Column:

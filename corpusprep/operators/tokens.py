@@ -20,11 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS, col_, let, materialize_column
+from ..session import materialize
 
 IGNORE_INDEX = -100
 DEFAULT_SPECIALS = ("<unk>", "<s>", "</s>")
@@ -129,21 +132,75 @@ def decode_ids(df: DataFrame, vocab: Vocabulary, ids: Column, out_col: str = "te
     return staged.withColumn(out_col, vocab.decode(df.sparkSession, F.col("_dec_ids"), sep)).drop("_dec_ids")
 
 
+#: Pieces that one task's sketch counts, and candidates that a recount may have.
+SKETCH_PIECES, MAX_CANDIDATES = 1 << 20, 1 << 22
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.RecordBatch]:
+    """(tok, n, lost): lower bounds of the counts of at most ``capacity`` pieces of a task, and by how much they may be short.
+
+    Misra-Gries with batched decrements: above twice the capacity, the count after the ``capacity`` largest is taken
+    off all, which is what a piece outside the sketch may have had at most. A null ``tok`` row carries ``lost``.
+    """
+    counts: dict[str, int] = {}
+    lost = 0
+
+    def shrink() -> int:
+        cut = int(np.partition(np.fromiter(counts.values(), np.int64, len(counts)), len(counts) - capacity - 1)[len(counts) - capacity - 1])
+        for t in [t for t, n in counts.items() if n <= cut]:
+            del counts[t]
+        for t in counts:
+            counts[t] -= cut
+        return cut
+
+    for batch in batches:
+        found = pc.value_counts(batch.column(0))
+        for t, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+            counts[t] = counts.get(t, 0) + n
+        if len(counts) > 2 * capacity:
+            lost += shrink()
+    if len(counts) > capacity:
+        lost += shrink()
+    yield pa.RecordBatch.from_arrays([pa.array([None, *counts], pa.string()), pa.array([0, *counts.values()], pa.int64()),
+                                      pa.array([lost] + [0] * len(counts), pa.int64())], names=["tok", "n", "lost"])
+
+
+def top_pieces(toks: DataFrame, k: int, capacity: int = SKETCH_PIECES, max_candidates: int = MAX_CANDIDATES) -> list[str]:
+    """The ``k`` most frequent values of the string column ``tok``, by (count desc, value asc); exact.
+
+    A sketch per task bounds what is shuffled. Where no sketch overflowed its counts are exact. Else the bounds give
+    the candidates, which are counted again; where the bounds cannot tell (the k-th count is no larger than what the
+    sketches lost, or there are too many candidates) all values are counted.
+    """
+    best = lambda df: df.orderBy(F.desc("n"), F.asc("tok")).limit(k)
+    if k <= 0:
+        return []
+    sketch = materialize(toks.where(F.col("tok").isNotNull()).mapInArrow(lambda it: _frequent(it, capacity), "tok string, n long, lost long"), "frequent")
+    lost = sketch.agg(F.sum("lost")).first()[0] or 0
+    lower = sketch.where(F.col("tok").isNotNull()).groupBy("tok").agg(F.sum("n").alias("n"))
+    if not lost:
+        return [r["tok"] for r in best(lower).collect()]
+    lower = materialize(lower, "lower-bounds")
+    top = best(lower).agg(F.min("n"), F.count(F.lit(1))).first()
+    counted = toks
+    if top[1] == k and top[0] > lost:
+        candidates = lower.where(F.col("n") + lost >= top[0]).select("tok")
+        if candidates.count() <= max_candidates:  # a bound for the broadcast
+            counted = toks.join(F.broadcast(candidates), "tok", "left_semi")
+    return [r["tok"] for r in best(counted.where(F.col("tok").isNotNull()).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))).collect()]
+
+
 def build_vocabulary(df: DataFrame, text_col: str = "text", size: int = 32000,
                      specials: Sequence[str] = DEFAULT_SPECIALS, mode: str = "word") -> Vocabulary:
     """The ``size - len(specials)`` most frequent pieces (count desc, piece asc) after the specials.
 
-    Counting is a map-side-combined aggregation; only the top pieces (a
-    TakeOrdered of at most ``size`` rows) reach the driver.
+    Only those pieces reach the driver; see ``top_pieces`` for how they are counted.
     """
     k = size - len(specials)
     if k < 0:
         raise ValueError("size must cover the special tokens")
-    counts = (df.select(F.explode(pieces(text_col, specials, mode)).alias("tok"))
-              .where(~F.col("tok").isin(list(specials)))
-              .groupBy("tok").agg(F.count(F.lit(1)).alias("n")))
-    top = [r.tok for r in counts.orderBy(F.desc("n"), F.asc("tok")).limit(k).collect()] if k else []
-    return Vocabulary(list(specials) + top, tuple(specials), mode)
+    toks = df.select(F.explode(pieces(text_col, specials, mode)).alias("tok")).where(~F.col("tok").isin(list(specials)))
+    return Vocabulary(list(specials) + top_pieces(toks, k), tuple(specials), mode)
 
 
 # ------------------------------------------------------------------ UDFs

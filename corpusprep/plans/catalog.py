@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cleaning_queries, stream_udf_queries, training_queries
+from . import cleaning_queries, reader_queries, stream_udf_queries, training_queries
 
 
 def queries():
@@ -20,4 +20,4 @@ def oracle_sql():
 
 
 def _modules():
-    return [cleaning_queries, training_queries, stream_udf_queries]
+    return [cleaning_queries, training_queries, stream_udf_queries, reader_queries]

@@ -65,3 +65,33 @@ def test_filters_compose_in_one_stage(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert out.count() == 1
+
+
+def test_flagged_words_by_language_with_phrases(spark):
+    words = [("en", "bad"), ("en", "Very Bad word"), ("en", "bad word thing"), ("en", None), (None, "x"), ("en", "..."), ("de", "schlimm"), ("zh", "坏人"), ("zh", "恶")]
+    rows = [(1, "en", "a bad day", 1 / 3), (2, "en", "VERY bad, word thing!", 1.0), (3, "en", "very bad idea", 1 / 3), (4, "de", "bad schlimm", 0.5),
+            (5, "zh", "他坏人 恶坏", 3 / 5), (6, "fr", "bad", 0.0), (7, None, "bad", 0.0), (8, "en", None, 0.0), (9, "en", "", 0.0), (10, "en", "bad bad", 1.0),
+            (11, "en", "bad " + "x " * 50_000, 1 / 50_001)]
+    df = spark.createDataFrame([r[:3] for r in rows], "id int, lang string, text string").withColumn("word", F.lit("clash"))
+    listed = spark.createDataFrame(words, "lang string, word string")
+    got = {r.id: r.flagged_ratio for r in Q.flagged_ratio_by_language(df, listed).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+    kept = Q.flagged_words_filter_by_language(df, listed, max_ratio=0.34)
+    assert sorted(r.id for r in kept.collect()) == [1, 3, 6, 7, 8, 9, 11] and kept.columns == df.columns
+    assert Q.flagged_ratio_by_language(df, listed.limit(0)).where("flagged_ratio > 0").count() == 0
+
+
+def test_a_list_of_100000_words_in_two_languages(spark):
+    listed = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"),
+                                         F.concat(F.lit("w"), "id", F.when(F.col("id") % 3 == 0, F.concat(F.lit(" v"), "id")).otherwise("")).alias("word"))
+    df = spark.createDataFrame([(1, "en", "w2 w3 w0 v0 zz"), (2, "de", "w2 w3 v3 w1"), (3, "en", " ".join(f"w{i}" for i in range(1000)))], "id int, lang string, text string")
+    got = {r.id: r.flagged_ratio for r in Q.flagged_ratio_by_language(df, listed).collect()}
+    assert got == {1: 3 / 5, 2: 3 / 4, 3: sum(i % 2 == 0 and i % 3 != 0 for i in range(1000)) / 1000}
+
+
+def test_a_list_too_large_to_send_is_refused(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(Q, "MAX_LIST_BYTES", 10)
+    with pytest.raises(ValueError, match="over 10"):
+        Q.flagged_ratio_by_language(spark.createDataFrame([("en", "t")], "lang string, text string"),
+                                    spark.createDataFrame([("en", "a long enough word")], "lang string, word string"))

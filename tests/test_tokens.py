@@ -76,3 +76,25 @@ def test_resolve_special_tokens_yi():
     from corpusprep.operators.templates import get_template
     v = TK.resolve_special_tokens(TK.Vocabulary(["<unk>", "<s>", "</s>"]), get_template("yi"))
     assert v.eos_token == "<|im_end|>" and v.eos_id == 3 and v.pad_id == 0
+
+
+def test_top_pieces_are_exact_whatever_the_sketch_holds(spark):
+    import random
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    r = random.Random(4)
+    words = [f"w{i:04d}" for i in range(3000)]
+    toks = r.choices(words, [1 / (i + 1) ** 1.2 for i in range(3000)], k=40_000) + ["é", "日本", "w0001 x"] * 50
+    r.shuffle(toks)
+    df = spark.createDataFrame([(t,) for t in toks] + [(None,)] * 9, "tok string").repartition(6)
+    order = [t for t, _ in sorted(Counter(toks).items(), key=lambda x: (-x[1], x[0]))]
+    # no overflow; overflow with a recount of candidates; too many candidates; a k-th count below what the sketches lost
+    for k, capacity, most in ((100, 1 << 20, 1 << 22), (20, 400, 1 << 22), (20, 400, 3), (1500, 60, 1 << 22), (5, 10, 1 << 22), (0, 10, 10), (9999, 1 << 20, 10), (9999, 50, 10)):
+        assert TK.top_pieces(df, k, capacity, most) == order[:k], (k, capacity)
+    assert TK.top_pieces(df.limit(0), 5) == []
+    sketch = df.where("tok IS NOT NULL").mapInArrow(lambda it: TK._frequent(it, 400), "tok string, n long, lost long")
+    true, lost = Counter(toks), sketch.agg(F.sum("lost")).first()[0]
+    low = Counter({x["tok"]: x["n"] for x in sketch.groupBy("tok").agg(F.sum("n").alias("n")).collect()})
+    assert lost > 0 and all(low[t] <= n <= low[t] + lost for t, n in true.items())
+    assert sketch.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 401

@@ -67,14 +67,16 @@ HOT_SHARE = 1 / 4096
 def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
     """``rows`` left-joined to ``counted`` (one row per ``key``, with its number of rows in ``n``), no key in one task.
 
-    Keys with over ``HOT_SHARE`` of all rows are at most 4,096, so they are broadcast; each of the
-    others holds less than that share and is shuffled. Null keys match null.
+    Keys with over ``HOT_SHARE`` of all counted rows are at most 4,096, so they are broadcast; each of the
+    others holds less than that share and is shuffled. Null keys match null. ``rows`` is read once.
     """
     total = counted.agg(F.sum("n")).first()[0] or 0
     is_hot = F.col("n") > int(total * HOT_SHARE)
-    hot = counted.where(is_hot).withColumnRenamed(key, "__key").withColumn("__hot", F.lit(True))
-    rest = counted.where(~is_hot).withColumnRenamed(key, "__key")
-    met = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
-    done = met.where("__hot").drop("__hot", "__key")
-    left = met.where("__hot IS NULL").select(rows.columns)
-    return done.unionByName(left.join(rest, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key"))
+    found = [c for c in counted.columns if c != key]
+    table = lambda df, name: df.select(F.col(key).alias(f"__{name}_key"), F.struct(*found).alias(f"__{name}"))
+    met = rows.join(F.broadcast(table(counted.where(is_hot), "hot")), F.col(key).eqNullSafe(F.col("__hot_key")), "left")
+    # rows that are answered go on under many keys that nothing has, so one pass over ``rows`` does
+    salt = F.when(F.col("__hot").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)) + 1).cast("int")
+    rest = table(counted.where(~is_hot), "rest").withColumn("__zero", F.lit(0))
+    both = met.withColumn("__salt", salt).join(rest, F.col(key).eqNullSafe(F.col("__rest_key")) & (F.col("__salt") == F.col("__zero")), "left")
+    return both.select(*rows.columns, F.coalesce("__hot", "__rest").alias("__found")).select(*rows.columns, "__found.*")

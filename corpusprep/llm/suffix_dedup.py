@@ -26,8 +26,12 @@ suffixes that begin at anchors are sorted, about one in 70:
    aggregations with map-side combine.
 
 The repeated windows of a text go back to it by its row key. Anchors' hashes are kept
-out of the plan by two bit maps of fixed size (``filter_bits``), which only save work:
-what they let through too much is dropped by an exact join.
+out of the plan by two bit maps, which only save work: what they let through too much is
+dropped by an exact join. They have eight bits per repeated anchor, within ``FILTER_BITS``
+(128 MB at most, which is enough for some 10^8 repeated anchors; beyond that they fill up
+and superstrings travel that the join drops). Where counts go back to anchors,
+superstrings or blocks, those in over 1/4096 of the rows are joined by broadcast
+(``join_counted``), so no passage that a third of all texts hold meets in one task.
 
 Texts are bytes: a null text is empty. Rows are counted as they are, so repeated rows
 repeat each other, whatever their ids; a null id is an id like any other. Texts shorter
@@ -52,13 +56,14 @@ from pyspark.sql import types as T
 
 from ..operators.splits import smallest_hashes
 from ..session import materialize
-from .common import grouped_rows, text_slices
+from .common import grouped_rows, join_counted, text_slices
 from .suffix_runs import front_code, front_decode, merge_runs, repeated_offsets
 
 #: Production parameters.
 LENGTH, ANCHOR = 200, 64
-HOT, FILTER_BITS = 2000, 25
-RUN_BYTES, PART_BYTES, SPLITTER_SAMPLE = 32 << 20, 8 << 20, 8192
+HOT, FILTER_BITS = 2000, (20, 30)
+#: Bytes of a run and of a part, and the sample that splitters come from: at least, per part, and at most.
+RUN_BYTES, PART_BYTES, SPLITTER_SAMPLE = 32 << 20, 8 << 20, (8192, 4, 1 << 20)
 _SEGMENT_BITS = 20
 
 _BYTE = np.array([xxhash.xxh64_intdigest(bytes([b]), 0x5A) for b in range(256)], dtype=np.uint64)
@@ -142,11 +147,12 @@ class _Filter:
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
     @classmethod
-    def of(cls, hashes: DataFrame, col: str, bits: int) -> _Filter:
+    def of(cls, hashes: DataFrame, col: str, bits: tuple[int, int]) -> _Filter:
+        bits = min(max(bits[0], (8 * hashes.count()).bit_length()), bits[1])
         at = F.col(col).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
         rows = hashes.groupBy(F.shiftrightunsigned(at, 6).alias("w")).agg(
             F.expr(f"bit_or(shiftleft(1L, int({col} & 63)))").alias("b"))
-        got = rows.toArrow()  # at most 2^(bits - 6) rows, whatever the corpus
+        got = rows.toArrow()  # at most 2^(bits - 6) rows
         words = np.zeros(max(1, 1 << (bits - 6)), dtype=np.uint64)
         words[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
         return cls(words, bits)
@@ -166,7 +172,7 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT,
-                   filter_bits: int = FILTER_BITS) -> DataFrame:
+                   filter_bits: tuple[int, int] = FILTER_BITS) -> DataFrame:
     """(row_key, first, last): closed intervals of window starts that repeat. ``rows``: (row_key long, text)."""
     spark = rows.sparkSession
     sc = spark.sparkContext
@@ -180,8 +186,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
     counted = rows.select("row_key", "text").mapInArrow(count, "anchor long, digest long").groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-    again = materialize(counted.where("n > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("same")), "anchors")
-    # two bit maps of fixed size go to the tasks, whatever the corpus
+    again = materialize(counted.where("n > 1").select("anchor", "n", (F.col("lo") == F.col("hi")).alias("same")), "anchors")
+    # two bit maps of bounded size go to the tasks
     repeats = sc.broadcast(_Filter.of(again, "anchor", filter_bits))
     mixed = sc.broadcast(_Filter.of(again.where("NOT same"), "anchor", filter_bits))
 
@@ -201,7 +207,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     found = rows.select("row_key", "text").mapInArrow(
         candidates, "anchor long, row_key long, at long, first long, last long, string binary")
     # written once: both the spans that are settled and the suffixes to sort are read from it
-    found = materialize(found.join(again, "anchor").withColumn(
+    found = materialize(join_counted(found, again, "anchor").where("same IS NOT NULL").drop("n").withColumn(
         "string", F.expr("CASE WHEN NOT same THEN string END")), "superstrings")
     settled = found.where("same").select("row_key", "first", "last")
     todo = found.where("NOT same").select("anchor", "row_key", "at", "first", "last", "string")
@@ -215,7 +221,7 @@ def _mixed_spans(todo: DataFrame, length: int, anchor: int, hot: int) -> DataFra
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at", "first", "last")).alias("m"),
         F.first("string").alias("string"), F.first("anchor").alias("anchor")).select(
         "name", "n", "anchor", "string", "m.*"), "classes")
-    again = named.select("name", "row_key", "first", "last").join(classes.where("n > 1").select("name"), "name")
+    again = join_counted(named.select("name", "row_key", "first", "last"), classes.where("n > 1").select("name", "n"), "name").where("n IS NOT NULL")
     crowded = materialize(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("anchor"),
                           "crowded")
     single = F.col("n") == 1
@@ -255,13 +261,14 @@ def _counted_out(units: DataFrame, length: int) -> DataFrame:
         blocks = materialize(units.mapInArrow(
             cut, "d1 long, d2 long, string binary, single boolean, row_key long, at long, first long, last long"), "blocks")
         # a string that stands for several counts as two
-        often = materialize(blocks.groupBy("d1", "d2").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n"))
-                            .where("n > 1").select("d1", "d2"), "often")
-        hit = blocks.join(often, ["d1", "d2"])
+        often = materialize(blocks.groupBy("d1", "d2").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("times"), F.count(F.lit(1)).alias("n"))
+                            .where("times > 1").select(F.struct("d1", "d2").alias("d"), "n"), "often")
+        judged = join_counted(blocks.withColumn("d", F.struct("d1", "d2")), often, "d")
+        hit = judged.where("n IS NOT NULL")
         spans = hit.where("single").select("row_key", "first", "last")
         out = spans if out is None else out.unionByName(spans)
         # what is alone goes on in smaller pieces, and one of each kind that is not, to be compared with
-        rest = blocks.join(often, ["d1", "d2"], "left_anti").select("string", "single", "row_key", "at", "first", "last")
+        rest = judged.where("n IS NULL").select("string", "single", "row_key", "at", "first", "last")
         kinds = hit.dropDuplicates(["d1", "d2"]).select("string", F.lit(False).alias("single"), "row_key", "at", "first", "last")
         units = rest.unionByName(kinds)
     return out
@@ -273,7 +280,8 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int) -> DataFrame:
     size = todo.agg(F.sum(F.length("string"))).first()[0] or 0
     n_parts = int(size // PART_BYTES) + 1
     sample = todo.select(F.expr(f"substring(string, int(at - first) + 1, {anchor})").alias("s"), "row_key", "at")
-    sample = smallest_hashes(sample, SPLITTER_SAMPLE, F.xxhash64("row_key", "at"), "row_key", "at")
+    least, each, most = SPLITTER_SAMPLE
+    sample = smallest_hashes(sample, min(most, max(least, each * n_parts)), F.xxhash64("row_key", "at"), "row_key", "at")
     points = sorted(bytes(r.s) for r in sample.collect())
     splitters = sorted({points[len(points) * i // n_parts] for i in range(1, n_parts)} if points else set())
 
@@ -353,7 +361,7 @@ def _sorted_out(todo: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   anchor: int = ANCHOR, hot: int = HOT, filter_bits: int = FILTER_BITS) -> DataFrame:
+                   anchor: int = ANCHOR, hot: int = HOT, filter_bits: tuple[int, int] = FILTER_BITS) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) per row; ``kept`` is the remaining bytes."""
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     spans = repeated_spans(keyed, length, anchor, hot, filter_bits)

@@ -225,7 +225,7 @@ def test_repeats_against_brute_force(spark, hot):
     texts[5] = texts[6] = "é" * 40
     rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7]), (None, "x" * 19), (None, "unique " + base[0])]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("row_key", F.lit("clash")).repartition(4)
-    got = S.remove_repeats(df, length=20, anchor=7, hot=hot, filter_bits=12).collect()
+    got = S.remove_repeats(df, length=20, anchor=7, hot=hot, filter_bits=(12, 12)).collect()
     want = brute_repeats([(t or "").encode() for _, t in rows], 20)
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == \
         Counter((i, *w) for (i, _), w in zip(rows, want))

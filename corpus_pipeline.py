@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm import cdc_dedup, pu_quality, simhash_bktree, string_tiling, temperature_mixing
 from corpusprep.llm.common import read_table
-from corpusprep.session import materialize
+from corpusprep.session import drop_materialized, materialize
 
 
 ROW = "__row"
@@ -92,5 +92,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        if k:  # the stage before is read no more; the table itself is not ours
+            drop_materialized(before)
     return docs

@@ -15,7 +15,11 @@ range, and a second one carries the last response over a URL's ranges, at most
 windows. Payloads never travel: a resolved row names its response, and
 ``attach_payload`` joins the body where it is wanted.
 
-Defined results (column ``resolution``): "resolved"; "no_url" (null URL, or one
+Revisits of another sort (a status other than 304, or, where ``profile_col`` names the
+record's WARC profile, one that is not server-not-modified: identical payload digests)
+confirm nothing by validators and are only named as such.
+
+Defined results (column ``resolution``): "resolved"; "other_profile"; "no_url" (null URL, or one
 without scheme and host), "no_time" (null capture time), "no_response" (nothing
 earlier), "etag_mismatch", "date_mismatch", "no_validator" (no pair to compare).
 Only resolved rows have merged headers. Responses captured at the same instant are
@@ -41,12 +45,17 @@ TRACKING = "^(utm_[^=]*|gclid|fbclid|msclkid|sessionid|phpsessid|jsessionid|sid|
 
 
 def canonical_url(url: Column) -> Column:
-    """host + path + sorted query: scheme, "www.", user, default port, fragment, tracking and a trailing slash dropped."""
+    """host + path + sorted query: scheme, "www.", user, the scheme's own port, fragment, tracking and a trailing slash dropped.
+
+    A host may be a bracketed IPv6 address.
+    """
     u = F.trim(url)
-    pattern = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:]+)(?::([0-9]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+    pattern = (r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?(\[[0-9A-Fa-f:.]+\]|[^/?#:\[\]]+)(?::([0-9]*))?([^?#]*)"
+               r"(?:\?([^#]*))?(?:#.*)?$")
     part = lambda i: F.regexp_extract(u, pattern, i)
     host = F.regexp_replace(F.regexp_replace(F.lower(part(2)), r"\.$", ""), r"^www\.", "")
-    port = F.when((part(3) == "") | part(3).isin("80", "443"), "").otherwise(F.concat(F.lit(":"), part(3)))
+    usual = F.when(F.lower(part(1)) == "http", "80").when(F.lower(part(1)) == "https", "443").otherwise("")
+    port = F.when((part(3) == "") | (part(3) == usual), "").otherwise(F.concat(F.lit(":"), part(3)))
     path = F.regexp_replace(part(4), "/+$", "")
     params = F.array_sort(F.filter(F.split(part(5), "&"), lambda p: (p != "") & ~F.lower(p).rlike(TRACKING)))
     query = F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise("")
@@ -90,7 +99,7 @@ def _validation(stored: Column, update: Column) -> Column:
 
 def resolve_revisits(records: DataFrame, id_col: str = "record_id", url_col: str = "target_uri",
                      time_col: str = "captured_at", type_col: str = "record_type", status_col: str = "status",
-                     headers_col: str = "headers", ranges: int = TIME_RANGES) -> DataFrame:
+                     headers_col: str = "headers", ranges: int = TIME_RANGES, profile_col: str | None = None) -> DataFrame:
     """One row per revisit: (record_id, canonical_url, captured_at, response_id, response_at, resolution, headers).
 
     ``headers`` is the merged list of (name, value). ``time_col`` is a timestamp, ``type_col`` "response" or "revisit".
@@ -98,7 +107,9 @@ def resolve_revisits(records: DataFrame, id_col: str = "record_id", url_col: str
     r = records.select(
         F.col(id_col).alias("record_id"), canonical_url(F.col(url_col)).alias("canonical_url"),
         F.col(time_col).alias("captured_at"), F.unix_micros(F.col(time_col).cast("timestamp")).alias("at"),
-        F.lower(F.col(type_col)).alias("kind"), F.col(status_col).alias("status"), F.col(headers_col).alias("h"))
+        F.lower(F.col(type_col)).alias("kind"), F.col(status_col).alias("status"), F.col(headers_col).alias("h"),
+        (F.coalesce(F.col(status_col) != 304, F.lit(False))
+         | (~F.coalesce(F.lower(F.col(profile_col)).rlike("server-not-modified/?$"), F.lit(True)) if profile_col else F.lit(False))).alias("other"))
     r = r.where((F.col("kind") == "revisit") | (F.col("kind") == "response") & (F.col("status") == 200))
     points = r.agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], 10_000).alias("p")).first()["p"]
     bounds = sorted(set(points or []))
@@ -118,7 +129,7 @@ def resolve_revisits(records: DataFrame, id_col: str = "record_id", url_col: str
                .withColumn("far", F.max("last").over(before)).select("url", "range", "far").where("far IS NOT NULL"))
     found = near.join(carried, ["url", "range"], "left").withColumn(
         "hit", F.when(F.col("at").isNotNull(), F.coalesce("near", "far")))
-    resolution = (F.when(F.col("canonical_url").isNull(), "no_url").when(F.col("at").isNull(), "no_time")
+    resolution = (F.when(F.col("other"), "other_profile").when(F.col("canonical_url").isNull(), "no_url").when(F.col("at").isNull(), "no_time")
                   .when(F.col("hit").isNull(), "no_response").otherwise(_validation(F.col("hit.h"), F.col("h"))))
     out = found.withColumn("resolution", resolution)
     return out.select("record_id", "canonical_url", "captured_at", F.col("hit.record_id").alias("response_id"),

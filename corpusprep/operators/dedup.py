@@ -22,7 +22,6 @@ Scale notes
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 from typing import NamedTuple
@@ -34,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.digest import md5_prefixes
 from ..functions.text import NON_CHARACTER_CLASS, col_
 from ..session import materialize
 from .components import component_roots
@@ -70,21 +70,55 @@ def document_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", lo
 
 # ================================================================ simhash
 
-def _vote(digests: bytes) -> int:
-    """Bit vote over 8-byte big-endian digests: a bit is set when over half of them have it."""
-    h = np.frombuffer(digests, dtype=">u8").astype("<u8")
+def _vote(h: np.ndarray) -> int:
+    """Bit vote over 64-bit hashes: a bit is set when over half of them have it."""
     votes = np.zeros(64, dtype=np.int64)
     for lo in range(0, len(h), 1 << 15):
-        votes += np.unpackbits(h[lo:lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        votes += np.unpackbits(h[lo:lo + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
 
 
+def _shingles(text: str, by_word: bool, window: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """A text's bytes with the starts and ends of its shingles; words are joined by single spaces."""
+    data = (" ".join(text.split()) if by_word else text).encode("utf-8", "surrogatepass")
+    b = np.frombuffer(data, dtype=np.uint8)
+    if not b.size:
+        return data, np.empty(0, np.int64), np.empty(0, np.int64)
+    if by_word:
+        gaps = np.flatnonzero(b == 32)
+        first, last = np.append(0, gaps + 1), np.append(gaps, len(b))
+    else:
+        first = np.flatnonzero((b & 0xC0) != 0x80)
+        last = np.append(first[1:], len(b))
+    if len(first) <= window:
+        return data, first[:1], last[-1:]
+    return data, first[:len(first) - window + 1], last[window - 1:]
+
+
+def _fingerprints(texts: list[str], by_word: bool, window: int) -> list[int | None]:
+    """SimHash of every text; all shingles of a slice of about a megabyte are hashed together."""
+    out: list[int | None] = []
+    at = 0
+    while at < len(texts):
+        parts, size = [], 0
+        while at < len(texts) and (not parts or size < 1 << 20):
+            parts.append(_shingles(texts[at], by_word, window))
+            size += len(parts[-1][0])
+            at += 1
+        offsets = np.cumsum([0, *(len(p[0]) for p in parts)])
+        hashes = md5_prefixes(np.frombuffer(b"".join(p[0] for p in parts), dtype=np.uint8),
+                              np.concatenate([p[1] + o for p, o in zip(parts, offsets)]), np.concatenate([p[2] + o for p, o in zip(parts, offsets)]))
+        ends = np.cumsum([len(p[1]) for p in parts])
+        out += [_vote(hashes[e - len(p[1]):e]) if len(p[1]) else None for p, e in zip(parts, ends)]
+    return out
+
+
 def fingerprint(text: str | Column, tokenization: str = "space", window_size: int = 6, lowercase: bool = True,
                 ignore_pattern: str | None = None) -> Column:
     """64-bit SimHash (signed BIGINT) over the md5 of token shingles; null when the text has no tokens.
 
     Fewer tokens than the window make one shingle of all. Normalization runs in the JVM;
-    one Arrow pass splits, hashes and votes.
+    one Arrow pass splits, hashes all shingles of a slice together and votes.
     """
     if tokenization not in ("space", "character"):
         raise ValueError(f"unsupported tokenization {tokenization!r}")
@@ -93,21 +127,11 @@ def fingerprint(text: str | Column, tokenization: str = "space", window_size: in
         t = F.lower(t)
     if ignore_pattern:
         t = F.regexp_replace(t, ignore_pattern, "")
-    md5, by_word = hashlib.md5, tokenization == "space"
+    by_word = tokenization == "space"
 
     @F.pandas_udf(T.LongType())
     def simhash(texts: pd.Series) -> pd.Series:
-        out = []
-        for x in texts:
-            tokens = (x or "").split() if by_word else (x or "")
-            if not tokens:
-                out.append(None)
-                continue
-            n = max(1, len(tokens) - window_size + 1)
-            shingles = (" ".join(tokens[i:i + window_size]) for i in range(n)) if by_word else \
-                (tokens[i:i + window_size] for i in range(n))
-            out.append(_vote(b"".join(md5(s.encode("utf-8", "surrogatepass")).digest()[:8] for s in shingles)))
-        return pd.Series(out, dtype="Int64")
+        return pd.Series(_fingerprints(["" if x is None else x for x in texts], by_word, window_size), dtype="Int64")
 
     return simhash(t)
 

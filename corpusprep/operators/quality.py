@@ -122,6 +122,10 @@ def character_repetition_filter(df: DataFrame, text_col: str = "text", rep_len:
 
 # ---------------------------------------------------------------- flagged words
 
+#: Words of a flagged list that go into the plan as literals.
+PLAN_WORDS = 1000
+
+
 def word_tokens(text: str | Column, mode: str = "word") -> Column:
     """Tokens for the flagged-word ratio: lower-cased letter/digit runs, or characters."""
     t = F.lower(col_(text))
@@ -145,15 +149,26 @@ def flagged_words_ratio(text: str | Column, words: Iterable[str], mode: str = "w
                         use_words_aug: bool = False) -> Column:
     """Flagged tokens / tokens, capped at 1; 0.0 without tokens.
 
-    The word list, of any size, is placed in the plan as a literal set: ``IN`` over
+    A list of up to ``PLAN_WORDS`` words is placed in the plan as a literal set: ``IN`` over
     more than a handful of literals becomes a hash-set lookup (``InSet``), so each
-    token costs O(1) without exploding, joining or shuffling the documents.
+    token costs O(1) without exploding, joining or shuffling the documents. A longer
+    list would stall planning; it goes to the workers as a set, and the tokens by Arrow.
+    For a (lang, word) table with a language per row see ``flagged_ratio_by_language``.
     """
     word_list = sorted({w.lower() for w in words if w})
     toks = word_tokens(text, mode)
     if use_words_aug:
         toks = augment_adjacent(toks)
 
+    if len(word_list) > PLAN_WORDS:
+        known = frozenset(word_list)
+
+        @F.pandas_udf(T.DoubleType())
+        def share(tokens: pd.Series) -> pd.Series:
+            return pd.Series([min(1.0, sum(w in known for w in t) / len(t)) if t is not None and len(t) else 0.0 for t in tokens], dtype="float64")
+
+        return share(toks)
+
     def ratio(t):
         hits = F.size(F.filter(t, lambda w: w.isin(word_list))) if word_list else F.lit(0)
         n = F.size(t)

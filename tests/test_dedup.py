@@ -207,3 +207,31 @@ def test_fingerprint_fewer_tokens_than_window(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "")], "id long, text string")
     fp = {r.id: r.fp for r in D.fingerprints(df, "id", window_size=3).collect()}
     assert fp[2] is None and fp[1] is not None
+
+
+def test_many_digests_at_once_are_md5():
+    import hashlib
+
+    from corpusprep.functions.digest import md5_prefixes
+    rnd = random.Random(2)
+    strings = [bytes(rnd.randrange(256) for _ in range(n)) for n in [*range(0, 70), 119, 120, 500]] * 3 + [b""] * 5000
+    data, ends = b"".join(strings), np.cumsum([len(s) for s in strings])
+    got = md5_prefixes(np.frombuffer(data, np.uint8), ends - [len(s) for s in strings], ends)
+    assert [int(h) for h in got] == [int.from_bytes(hashlib.md5(s).digest()[:8], "big") for s in strings]
+    assert md5_prefixes(np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)).size == 0
+
+
+def test_fingerprints_by_the_definition():
+    import hashlib
+    rnd = random.Random(3)
+    pieces = ["a", "bb", "ccc", "é", "日本", "\U0001f600", " ", "\u3000", "\n", "x" * 80, "  "]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randrange(40))) for _ in range(300)] + ["", " ", "one", "w " * 30_000]
+    for by_word, window in ((True, 3), (False, 4), (True, 1)):
+        want = []
+        for t in texts:
+            tokens = t.split() if by_word else t
+            shingles = [(" " if by_word else "").join(tokens[i:i + window]) for i in range(max(1, len(tokens) - window + 1))] if tokens else []
+            h = [int.from_bytes(hashlib.md5(s.encode()).digest()[:8], "big") for s in shingles]
+            fp = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+            want.append((fp - (1 << 64) if fp >> 63 else fp) if h else None)
+        assert D._fingerprints(texts, by_word, window) == want

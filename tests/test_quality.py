@@ -95,3 +95,12 @@ def test_a_list_too_large_to_send_is_refused(spark, monkeypatch):
     with pytest.raises(ValueError, match="over 10"):
         Q.flagged_ratio_by_language(spark.createDataFrame([("en", "t")], "lang string, text string"),
                                     spark.createDataFrame([("en", "a long enough word")], "lang string, word string"))
+
+
+def test_a_long_plain_list_gives_the_ratio_of_a_short_one(spark, monkeypatch):
+    df = spark.createDataFrame([("bad day bad",), ("x y",), ("",), (None,), ("b ad",)], "text string")
+    short = [r.r for r in df.select(Q.flagged_words_ratio("text", ["bad", "X"]).alias("r")).collect()]
+    aug = [r.r for r in df.select(Q.flagged_words_ratio("text", ["bad"], use_words_aug=True).alias("r")).collect()]
+    monkeypatch.setattr(Q, "PLAN_WORDS", 0)
+    assert [r.r for r in df.select(Q.flagged_words_ratio("text", ["bad", "X"]).alias("r")).collect()] == short == [2 / 3, 0.5, 0.0, 0.0, 0.0]
+    assert [r.r for r in df.select(Q.flagged_words_ratio("text", ["bad"], use_words_aug=True).alias("r")).collect()] == aug

@@ -176,21 +176,23 @@ def _search_chunk(t: pa.Table, items: Items, weight: np.ndarray, n_docs: int, n_
     order[rank] = np.arange(len(ids))
     row = t.column("row").to_numpy()
     out_item, out_doc, out_score = [], [], []
+    factor = np.zeros(len(weight), dtype=np.int64)  # how often the item at hand holds each term
+
+    def score_of(docs: np.ndarray) -> np.ndarray:
+        n = first[docs + 1] - first[docs]
+        begins = np.concatenate([[0], np.cumsum(n)[:-1]])
+        at = np.repeat(first[docs] - begins, n) + np.arange(n.sum())
+        return np.add.reduceat(gain[at] * factor[term[at]], begins)
+
     for i, (terms, times) in enumerate(items.terms):
         here = place[terms]
         known = here >= 0
         if not known.any():
             continue
         here, times_here = here[known], times[known]
-        factor = np.zeros(len(weight), dtype=np.int64)
         factor[terms] = times
-
-        def score_of(docs, factor=factor):
-            n = first[docs + 1] - first[docs]
-            at = np.repeat(first[docs] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            return np.add.reduceat(gain[at] * factor[term[at]], np.concatenate([[0], np.cumsum(n)[:-1]]))
-
         docs, scores = best_by_masks(map(bitmap, here.tolist()), most[here] * times_here, score_of, k, order)
+        factor[terms] = 0
         out_item.append(np.full(len(docs), i, dtype=np.int32))
         out_doc.append(docs)
         out_score.append(scores)

@@ -2,7 +2,7 @@
 
 Every vector becomes integers ``floor(scale * x)`` and is cut into equal parts; each part
 position has a codebook of up to 256 entries, refined by rounds over *all* rows. The parts
-are written once, sorted by part position and Hilbert index, as flat blocks of 256
+are written once, sorted by part position and Hilbert index, as flat blocks of 64
 neighbours that carry their box (least and greatest value of each dimension), their
 component sums and their rows. A round reads the blocks and gets the codebooks, which are
 bounded (parts x entries x dimensions): per block, the least and greatest distance of every
@@ -45,7 +45,7 @@ from .common import join_counted
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Members of a block, and parts in a range of the sort (a range is one task's work).
-BLOCK, RANGE = 256, 1 << 16
+BLOCK, RANGE = 64, 1 << 16
 #: Bits per dimension of the Hilbert index, over at most so many dimensions (it only orders; results do not depend on it).
 HILBERT_BITS, HILBERT_DIMS = 4, 16
 CLAMP = 2 ** 90

@@ -77,6 +77,7 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
     met = rows.join(F.broadcast(table(counted.where(is_hot), "hot")), F.col(key).eqNullSafe(F.col("__hot_key")), "left")
     # rows that are answered go on under many keys that nothing has, so one pass over ``rows`` does
     salt = F.when(F.col("__hot").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)) + 1).cast("int")
-    rest = table(counted.where(~is_hot), "rest").withColumn("__zero", F.lit(0))
+    # zero in every row, but no constant, which the optimizer would take out of the join's keys
+    rest = table(counted.where(~is_hot), "rest").withColumn("__zero", (F.col("__rest.n") < 0).cast("int"))
     both = met.withColumn("__salt", salt).join(rest, F.col(key).eqNullSafe(F.col("__rest_key")) & (F.col("__salt") == F.col("__zero")), "left")
     return both.select(*rows.columns, F.coalesce("__hot", "__rest").alias("__found")).select(*rows.columns, "__found.*")

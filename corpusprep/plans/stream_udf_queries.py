@@ -17,8 +17,8 @@ from .sql_oracle import WS_CLASS, alnum_ratio_sql, max_line_sql, q
 
 
 def _doc_stream(spark, sf):
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    return ST.stream_corpus(spark, sf, schema, path_glob_filter="documents.parquet")
+    path = f"{sf}/documents.parquet"  # one file, or a directory of part files
+    return ST.stream_corpus(spark, path, spark.read.parquet(path).schema)
 
 
 def q_stream_clean(spark, sf):

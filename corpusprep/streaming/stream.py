@@ -30,8 +30,11 @@ from ..session import drop_materialized, materialize, scratch_path
 
 def stream_corpus(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                   max_files_per_trigger: int | None = None, path_glob_filter: str | None = None) -> DataFrame:
-    """A file-source stream over the directory ``path`` (parquet or json lines), optionally one file pattern."""
+    """A file-source stream (parquet or json lines) over the directory ``path``, optionally one file pattern, or over one file."""
     r = spark.readStream.schema(schema).format(fmt)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():  # a source's base path must be a directory
+        path, path_glob_filter = p.getParent().toString(), p.getName()
     if path_glob_filter:
         r = r.option("pathGlobFilter", path_glob_filter)
     if max_files_per_trigger:

@@ -6,6 +6,10 @@ oracle) read them the same way: explicit character classes, no lookaround.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,3 +66,13 @@ def materialize_column(df, name: str, c: Column):
     into a UDF argument is otherwise left unevaluable by the planner).
     """
     return df.select("*", F.explode(F.array(c)).alias(name))
+
+
+def text_slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+    """An Arrow batch of texts (null: empty) in order, in lists of about ``size`` bytes or one text: only one is in Python at a time."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
+    lo, done = 0, 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(ends.searchsorted(done + size, "right")))
+        yield ["" if t is None else t for t in texts.slice(lo, hi - lo).to_pylist()]
+        lo, done = hi, int(ends[hi - 1])

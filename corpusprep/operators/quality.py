@@ -12,11 +12,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import LINE_END, code_points, col_, let
+from ..functions.text import LINE_END, code_points, col_, text_slices
+from ..session import materialize
 
 
 # ---------------------------------------------------------------- null text
@@ -36,7 +39,7 @@ def alphanumeric_ratio(text: str | Column) -> Column:
     """Alphanumeric characters / characters; 0.0 for empty text."""
     t = col_(text)
     n = F.length(t)
-    alnum = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]", ""))
+    alnum = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
     return F.when(n > 0, alnum / n).otherwise(F.lit(0.0)).cast("double")
 
 
@@ -50,16 +53,25 @@ def alphanumeric_filter(df: DataFrame, text_col: str = "text", min_ratio: float
 
 # ---------------------------------------------------------------- repetition
 
-def _ngram_ranks(cps: np.ndarray, rep_len: int) -> np.ndarray:
-    """An integer per n-gram, equal for equal n-grams: ranks of two overlapping halves, combined and ranked again."""
-    _, rank = np.unique(cps, return_inverse=True)
-    size = 1
+def _ranked(v: np.ndarray) -> tuple[np.ndarray, int]:
+    distinct, rank = np.unique(v, return_inverse=True)
+    return rank.astype(np.int64), len(distinct)
+
+
+def _ngram_ranks(cps: np.ndarray, rep_len: int) -> tuple[np.ndarray, int]:
+    """An integer per n-gram, equal for equal n-grams, and what all are below.
+
+    Numbers of two halves are put together as digits; they are ranked (a sort) only where that would overflow.
+    """
+    known = np.zeros(int(cps.max()) + 1, dtype=bool)
+    known[cps] = True
+    rank, below, size = (np.cumsum(known) - 1)[cps], int(known.sum()), 1
     while size < rep_len:
-        step = min(size, rep_len - size)
-        pair = rank[:-step].astype(np.int64) * (int(rank.max()) + 1) + rank[step:]
-        _, rank = np.unique(pair, return_inverse=True)
-        size += step
-    return rank
+        step = min(size, rep_len - size)  # the halves overlap where this is below size
+        if below * below >= 1 << 62:
+            rank, below = _ranked(rank)
+        rank, below, size = rank[:-step] * below + rank[step:], below * below, size + step
+    return rank, below
 
 
 def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
@@ -71,15 +83,17 @@ def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
     cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if cps.size < rep_len:
         return out
-    rank = _ngram_ranks(cps, rep_len)
+    rank, below = _ngram_ranks(cps, rep_len)
+    if below * len(texts) >= 1 << 62:
+        rank, below = _ranked(rank)
     doc = np.repeat(np.arange(len(texts)), size)[:len(rank)]
     end = np.cumsum(size)
     own = np.arange(len(rank)) + rep_len <= end[doc]  # n-grams that do not run into the next text
     doc, rank = doc[own], rank[own]
     if doc.size == 0:
         return out
-    gram, count = np.unique(doc * (int(rank.max()) + 1) + rank, return_counts=True)
-    doc = gram // (int(rank.max()) + 1)
+    gram, count = np.unique(doc * below + rank, return_counts=True)
+    doc = gram // below
     order = np.lexsort((-count, doc))
     doc, count = doc[order], count[order]
     distinct = np.bincount(doc, minlength=len(texts))
@@ -98,18 +112,10 @@ def character_repetition_ratio(text: str | Column, rep_len: int = 10) -> Column:
     shorter than ``rep_len`` characters has ratio 0.
     """
 
-    @F.pandas_udf(T.DoubleType())
-    def _ratio(s: pd.Series) -> pd.Series:
-        texts, done = ["" if t is None else t for t in s], []
-        lo = 0
-        while lo < len(texts):  # slices of about a million characters bound the work arrays
-            hi, n = lo, 0
-            while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= 1 << 20):
-                n += len(texts[hi])
-                hi += 1
-            done.append(_repetition_ratios(texts[lo:hi], rep_len))
-            lo = hi
-        return pd.Series(np.concatenate(done) if done else [], dtype="float64")
+    @F.arrow_udf(T.DoubleType())
+    def _ratio(texts: pa.Array) -> pa.Array:
+        done = [_repetition_ratios(t, rep_len) for t in text_slices(texts)]  # slices bound the work arrays
+        return pa.array(np.concatenate(done) if done else [], pa.float64())
 
     return _ratio(col_(text))
 
@@ -122,7 +128,7 @@ def character_repetition_filter(df: DataFrame, text_col: str = "text", rep_len:
 
 # ---------------------------------------------------------------- flagged words
 
-#: Words of a flagged list that go into the plan as literals.
+#: Kept for callers that set it: lists of any length take the same lookup.
 PLAN_WORDS = 1000
 
 
@@ -134,47 +140,62 @@ def word_tokens(text: str | Column, mode: str = "word") -> Column:
     return F.regexp_extract_all(t, F.lit(r"([\p{L}\p{N}]+)"), 1)
 
 
-def augment_adjacent(tokens: Column) -> Column:
-    """Tokens plus every adjacent pair joined without separator (``use_words_aug``)."""
+def _shares(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.divide(hits, n, out=np.zeros(len(n)), where=n > 0), 1.0)
 
-    def aug(t):
-        n = F.size(t)
-        pairs = F.zip_with(F.slice(t, 1, n - 1), F.slice(t, 2, n - 1), lambda x, y: F.concat(x, y))
-        return F.when(n > 1, F.concat(t, pairs)).otherwise(t)
 
-    return let(tokens, aug)
+def _word_shares(tokens: pa.Array, known: pa.Array, use_words_aug: bool) -> np.ndarray:
+    """The ratio of every row of an Arrow batch of token lists, on all tokens of the batch at once."""
+    n = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
+    flat, row = tokens.flatten(), np.repeat(np.arange(len(n)), n)
+    hits = np.bincount(row[pc.is_in(flat, value_set=known).to_numpy(zero_copy_only=False)], minlength=len(n))
+    if use_words_aug:
+        first = np.flatnonzero(row[1:] == row[:-1])
+        pairs = pc.binary_join_element_wise(flat.take(pa.array(first)), flat.take(pa.array(first + 1)), "")
+        hits = hits + np.bincount(row[first][pc.is_in(pairs, value_set=known).to_numpy(zero_copy_only=False)], minlength=len(n))
+        n = n + np.maximum(n - 1, 0)
+    return _shares(hits, n)
+
+
+def _character_shares(texts: list[str], words: list[str], use_words_aug: bool) -> np.ndarray:
+    """The ratio of texts whose every character is a token."""
+    n = np.fromiter(map(len, texts), np.int64, len(texts))
+    cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    row = np.repeat(np.arange(len(texts)), n)
+    hits = np.bincount(row[np.isin(cps, np.array([ord(w) for w in words if len(w) == 1], np.uint64))], minlength=len(n))
+    if use_words_aug:
+        first = np.flatnonzero(row[1:] == row[:-1])
+        pairs = cps[first] << np.uint64(32) | cps[first + 1]
+        two = np.array([ord(w[0]) << 32 | ord(w[1]) for w in words if len(w) == 2], np.uint64)
+        hits = hits + np.bincount(row[first][np.isin(pairs, two)], minlength=len(n))
+        n = n + np.maximum(n - 1, 0)
+    return _shares(hits, n)
 
 
 def flagged_words_ratio(text: str | Column, words: Iterable[str], mode: str = "word",
                         use_words_aug: bool = False) -> Column:
-    """Flagged tokens / tokens, capped at 1; 0.0 without tokens.
+    """Flagged tokens / tokens, capped at 1; 0.0 without tokens. ``use_words_aug``: adjacent pairs, joined, are tokens too.
 
-    A list of up to ``PLAN_WORDS`` words is placed in the plan as a literal set: ``IN`` over
-    more than a handful of literals becomes a hash-set lookup (``InSet``), so each
-    token costs O(1) without exploding, joining or shuffling the documents. A longer
-    list would stall planning; it goes to the workers as a set, and the tokens by Arrow.
+    Lower-casing and tokenizing run in the JVM; the tokens go by Arrow to one vectorized
+    lookup of a batch in the list, whatever its length. Characters travel as the
+    text of the letters and digits alone, not as arrays.
     For a (lang, word) table with a language per row see ``flagged_ratio_by_language``.
     """
     word_list = sorted({w.lower() for w in words if w})
-    toks = word_tokens(text, mode)
-    if use_words_aug:
-        toks = augment_adjacent(toks)
 
-    if len(word_list) > PLAN_WORDS:
-        known = frozenset(word_list)
-
-        @F.pandas_udf(T.DoubleType())
-        def share(tokens: pd.Series) -> pd.Series:
-            return pd.Series([min(1.0, sum(w in known for w in t) / len(t)) if t is not None and len(t) else 0.0 for t in tokens], dtype="float64")
+    if mode == "character":
+        @F.arrow_udf(T.DoubleType())
+        def share_of_characters(texts: pa.Array) -> pa.Array:
+            done = [_character_shares(t, word_list, use_words_aug) for t in text_slices(texts)]
+            return pa.array(np.concatenate(done) if done else [], pa.float64())
 
-        return share(toks)
+        return share_of_characters(F.regexp_replace(F.lower(col_(text)), r"[^\p{L}\p{N}]+", ""))
 
-    def ratio(t):
-        hits = F.size(F.filter(t, lambda w: w.isin(word_list))) if word_list else F.lit(0)
-        n = F.size(t)
-        return F.when(n > 0, F.least(hits / n, F.lit(1.0))).otherwise(F.lit(0.0)).cast("double")
+    @F.arrow_udf(T.DoubleType())
+    def share(tokens: pa.Array) -> pa.Array:
+        return pa.array(_word_shares(tokens, pa.array(word_list, pa.string()), use_words_aug))
 
-    return let(toks, ratio)
+    return share(word_tokens(text, mode))
 
 
 def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "text", lang: str = "en",
@@ -185,8 +206,12 @@ def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "t
     return df.where(r <= F.lit(max_ratio))
 
 
-#: Bytes of a (lang, word) table that go to every worker; a larger table is refused.
+#: Bytes of one entry of a (lang, word) table; a longer one is refused. The table may have any size.
 MAX_LIST_BYTES = 256 << 20
+#: Bytes of a (lang, word) table that go to every worker; a larger table is joined with the texts' words and word runs.
+SENT_LIST_BYTES = 1 << 20
+#: Tokens of the documents whose word runs are gathered together, each distinct run once.
+GATHERED_TOKENS = 1 << 19
 #: Languages whose tokens are characters.
 CHARACTER_LANGUAGES = ("zh", "ja", "th")
 
@@ -225,23 +250,30 @@ def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "
     """``df`` with the share of tokens that lie in a word or phrase listed for the row's language; 0.0 without tokens.
 
     ``words`` is a table of (language, word); a word may be a phrase of several tokens. Both sides are tokenized alike:
-    letter/digit runs, or characters for ``character_languages``. The table is looked up in a trie per language that
-    each worker builds once; it must be at most ``MAX_LIST_BYTES`` large. A row of a language without words, or of no
-    language, has ratio 0.0; list entries without language, word or token count for nothing.
+    letter/digit runs, or characters for ``character_languages``. A table of up to ``SENT_LIST_BYTES`` is looked up in a
+    trie per language that each worker builds once; a larger one is never collected but joined with the word runs of
+    the listed lengths. A row of a language without words, or of no language, has ratio 0.0; list entries without
+    language, word or token count for nothing.
     """
     lang, word = lang_word_cols
-    listed = words.select(F.col(lang).alias("lang"), F.col(word).alias("word")).where("lang IS NOT NULL AND word IS NOT NULL")
-    size = listed.agg(F.sum(F.octet_length("word").cast("long") + F.octet_length("lang"))).first()[0] or 0
-    if size > MAX_LIST_BYTES:
-        raise ValueError(f"the flagged-word table has {size} bytes, over {MAX_LIST_BYTES}")
     by_character = list(character_languages)
 
     def tokens(text: Column, language: Column) -> Column:
         return F.when(language.isin(by_character), word_tokens(text, "character")).otherwise(word_tokens(text, "word")) if by_character \
             else word_tokens(text, "word")
 
+    listed = words.select(F.col(lang).alias("lang"), F.col(word).alias("word")).where("lang IS NOT NULL AND word IS NOT NULL")
+    listed = listed.withColumn("bytes", F.octet_length("word").cast("long") + F.octet_length("lang"))
+    listed = materialize(listed.select("lang", tokens(F.col("word"), F.col("lang")).alias("t"), "bytes"), "flagged-words")
+    size, longest = listed.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    if longest > MAX_LIST_BYTES:
+        raise ValueError(f"the flagged-word table has an entry of {longest} bytes, over {MAX_LIST_BYTES}")
+    listed = listed.select("lang", "t").where(F.size("t") > 0).distinct()
+    if size > SENT_LIST_BYTES:
+        return _flagged_ratio_by_join(df, listed, tokens(F.col(text_col), F.col(lang_col)), lang_col, out_col)
+
     phrases: dict[str, list[list[str]]] = {}
-    for r in listed.select("lang", tokens(F.col("word"), F.col("lang")).alias("t")).distinct().collect():  # MAX_LIST_BYTES at most
+    for r in listed.collect():  # SENT_LIST_BYTES at most
         phrases.setdefault(r["lang"], []).append(r["t"])
     sent = df.sparkSession.sparkContext.broadcast(phrases)
 
@@ -255,6 +287,71 @@ def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "
     return df.withColumn(out_col, ratio(tokens(F.col(text_col), F.col(lang_col)), F.col(lang_col)))
 
 
+def _runs(batches: Iterator[pa.RecordBatch], lengths: dict[str, list[int]]) -> Iterator[pa.RecordBatch]:
+    """(row, lang, t) -> (lang, run, n, rows, places): each run of n tokens once per ``GATHERED_TOKENS``, with where it starts."""
+    names = ["lang", "run", "n", "rows", "places"]
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy().astype(np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(ends.searchsorted(before + GATHERED_TOKENS, "right")))
+            part = batch.slice(lo, hi - lo)
+            lo = hi
+            for lang in pc.unique(part.column(1)).to_pylist():
+                own = part.filter(pc.equal(part.column(1), lang))
+                t = own.column(2)
+                size = pc.fill_null(pc.list_value_length(t), 0).to_numpy().astype(np.int64)
+                flat, owner = t.flatten(), np.repeat(np.arange(len(size)), size)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+                ids = own.column(0).to_numpy()
+                for n in lengths[lang]:
+                    at = np.flatnonzero(owner[:len(owner) - n + 1] == owner[n - 1:])
+                    if not at.size:
+                        continue
+                    run = flat.take(pa.array(at)) if n == 1 else pc.binary_join_element_wise(*(flat.take(pa.array(at + k)) for k in range(n)), " ")
+                    coded = run.dictionary_encode()
+                    code = coded.indices.to_numpy()
+                    order = np.argsort(code, kind="stable")
+                    cuts = pa.array(np.searchsorted(code[order], np.arange(len(coded.dictionary) + 1)).astype(np.int32))
+                    at = at[order]
+                    m = len(coded.dictionary)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(lang, m), coded.dictionary, pa.repeat(pa.scalar(n, pa.int32()), m), pa.ListArray.from_arrays(cuts, pa.array(ids[owner[at]])),
+                         pa.ListArray.from_arrays(cuts, pa.array(place[at].astype(np.int32)))], names=names)
+
+
+def _flagged_ratio_by_join(df: DataFrame, listed: DataFrame, tokens: Column, lang_col: str, out_col: str) -> DataFrame:
+    """The ratio by a table of any size: listed runs are found by a join on (language, run), then merged per row."""
+    rows = df.withColumns({"__row": F.monotonically_increasing_id(), "__n": F.coalesce(F.size(tokens), F.lit(0))})
+    rows = materialize(rows, "flagged-rows")  # the row numbers must stay what they are
+    listed = materialize(listed.select("lang", F.size("t").alias("n"), F.array_join("t", " ").alias("run")), "flagged-runs")
+    lengths: dict[str, list[int]] = {}
+    for r in listed.select("lang", "n").distinct().collect():  # languages by the lengths of their entries
+        lengths.setdefault(r["lang"], []).append(r["n"])
+    texts = rows.where(F.col(lang_col).isin(list(lengths))).select("__row", F.col(lang_col).alias("lang"), tokens.alias("t"))
+    runs = texts.mapInArrow(lambda it: _runs(it, lengths), "lang string, run string, n int, rows array<bigint>, places array<int>")
+    hits = runs.join(listed, ["lang", "n", "run"], "left_semi").select(F.explode(F.arrays_zip("rows", "places")).alias("at"), "n")
+    hits = hits.groupBy(F.col("at.rows").alias("hit_row")).agg(F.collect_list("at.places").alias("places"), F.collect_list("n").alias("n"))
+
+    @F.arrow_udf(T.LongType())
+    def covered(places: pa.Array, lengths: pa.Array) -> pa.Array:
+        out = []
+        for p, n in zip(places, lengths):
+            lo = p.values.to_numpy().astype(np.int64)
+            hi = lo + n.values.to_numpy()
+            order = np.argsort(lo, kind="stable")
+            lo, reach = lo[order], np.maximum.accumulate(hi[order])
+            out.append(int((reach - np.maximum(lo, np.append(0, reach[:-1]))).clip(0).sum()))  # overlapping runs count each token once
+        return pa.array(out, pa.int64())
+
+    hits = hits.select("hit_row", covered("places", "n").alias("__covered"))
+    share = F.when(F.col("__n") > 0, F.coalesce("__covered", F.lit(0)) / F.col("__n")).otherwise(F.lit(0.0)).cast("double")
+    out = rows.join(hits, rows["__row"] == hits["hit_row"], "left")
+    return out.withColumn("__share", share).select(*[F.col("__share").alias(c) if c == out_col else rows[c] for c in df.columns],
+                                                   *([] if out_col in df.columns else [F.col("__share").alias(out_col)]))
+
+
 def flagged_words_filter_by_language(df: DataFrame, words: DataFrame, max_ratio: float = 0.045, **args) -> DataFrame:
     """Rows whose flagged ratio for their own language is at most ``max_ratio``."""
     return flagged_ratio_by_language(df, words, out_col="__flagged", **args).where(F.col("__flagged") <= max_ratio).drop("__flagged")

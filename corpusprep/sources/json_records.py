@@ -33,23 +33,23 @@ def _opened(piece: str) -> tuple[bool, int, int]:
     return len(parts) % 2 == 0, sum(p.count("{") for p in parts[0::2]), sum(p.count("{") for p in parts[1::2])
 
 
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Iterator[str]]]:
-    """(columns of the block's first row, its pieces in file order) per block; a partition holds whole blocks."""
-    held: list[str] = []
-    key, first = None, None
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict | None, str, bool]]:
+    """(columns of the block if its first piece, piece, whether it is its last) in file order; a partition holds whole blocks.
+
+    One piece is held back to tell a block's last.
+    """
+    key, held = None, None
     for batch in batches:
         others = batch.schema.names[1:]
         paths, blocks = batch.column("path"), batch.column("block").to_numpy()
         for i, value in enumerate(batch.column("value")):
             now = (paths[i].as_py(), int(blocks[i]))
-            if now != key:
-                if key is not None:
-                    yield first, held
-                held, key = [], now
-                first = {c: batch.column(c)[i].as_py() for c in others}
-            held.append(value.as_py())
-    if key is not None:
-        yield first, held
+            if held is not None:
+                yield *held, now != key
+            held = ({c: batch.column(c)[i].as_py() for c in others} if now != key else None, value.as_py())
+            key = now
+    if held is not None:
+        yield *held, True
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,6 +75,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per record or part of one: path, block, place (0 goes on, 1 opens, 2 a whole record), text."""
     rows: list[tuple] = []
+    size = 0
 
     def flush() -> pa.RecordBatch:
         cols = list(zip(*rows)) or [()] * 4
@@ -83,28 +84,31 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.clear()
         return out
 
-    for b, pieces in _by_block(batches):
-        inside, depth, text = b["inside"], b["depth"], []
-        place = 0 if inside or depth > 0 else 2
-        for i, piece in enumerate(pieces):
-            odd, outside, within = _opened(piece)
-            depth += within if inside else outside
-            inside ^= odd
-            if b["open_end"] and i == len(pieces) - 1:  # behind the file's last brace
-                text.append(piece)
-                if depth <= 0 and not inside:
-                    text = []
-                break
+    for first, piece, last in _pieces(batches):
+        if first is not None:
+            b, inside, depth, text = first, first["inside"], first["depth"], []
+            place = 0 if inside or depth > 0 else 2
+        odd, outside, within = _opened(piece)
+        depth += within if inside else outside
+        inside ^= odd
+        if b["open_end"] and last:  # behind the file's last brace
+            text.append(piece)
+            if depth <= 0 and not inside:
+                text = []
+        else:
             text.append(piece + "}")
             if not inside:
                 depth -= 1
                 if depth == 0:
                     rows.append((b["path"], b["block"], place, "".join(text)))
+                    size += len(rows[-1][3])
                     text, place = [], 2
-        if text:
+        if last and text:
             rows.append((b["path"], b["block"], 0 if place == 0 else 1, "".join(text)))
-        if len(rows) >= 4096:
+            size += len(rows[-1][3])
+        if len(rows) >= 4096 or size >= 1 << 22:
             yield flush()
+            size = 0
     yield flush()
 
 

@@ -20,6 +20,9 @@ import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,38 +125,67 @@ def buffer_rest(spark: SparkSession, checkpoint: str, seed: int) -> DataFrame:
 
 # ------------------------------------------------------------------ packing
 
+#: Bytes of a packed token, and what stands for a null one.
+WIDTH, NULL_TOKEN = 4, -(1 << 31)
+
+
+def _packed(ids: Column) -> Column:
+    """array<int> -> its ints as bytes."""
+
+    @F.arrow_udf(T.BinaryType())
+    def pack(arrays: pa.Array) -> pa.Array:
+        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(arrays), 0).to_numpy()])
+        flat = memoryview(pc.fill_null(arrays.flatten(), NULL_TOKEN).cast(pa.int32()).to_numpy().astype("<i4")).cast("B")
+        return pa.array([bytes(flat[WIDTH * lo:WIDTH * hi]) if ok else None for lo, hi, ok in zip(ends[:-1], ends[1:], arrays.is_valid().to_pylist())], pa.binary())
+
+    return pack(ids)
+
+
+def _unpacked(ids: Column) -> Column:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def unpack(packed: pa.Array) -> pa.Array:
+        ends = np.cumsum([0, *pc.fill_null(pc.binary_length(packed), 0).to_numpy()]) // WIDTH
+        flat = np.frombuffer(b"".join(b for b in packed.to_pylist() if b), "<i4")
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32(), mask=flat == NULL_TOKEN))
+
+    return unpack(ids)
+
+
 class PackBlocks(StatefulProcessor):
-    """State: rows taken by the open group, its number, the blocks it gave, and the tokens of its open block."""
+    """State: rows taken by the open group, its number, the blocks it gave, and the tokens of its open block.
+
+    Token arrays come, are kept and leave as bytes (``_packed``): rows of thousands of ints cost far more to hand over.
+    """
 
     def __init__(self, cols: list[str], order_col: str, block_size: int, rows_per_group: int):
         self.cols, self.order_col, self.block_size, self.rows_per_group = cols, order_col, block_size, rows_per_group
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "rows long, group_id long, block_id long, tokens array<array<int>>")
+        self.open = handle.getValueState("open", "rows long, group_id long, block_id long, tokens array<binary>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         lane = key[0]
-        taken, group, block, held = self.open.get() if self.open.exists() else (0, 0, 0, [[] for _ in self.cols])
-        held = [list(h) for h in held]
+        taken, group, block, held = self.open.get() if self.open.exists() else (0, 0, 0, [b""] * len(self.cols))
+        held, size = [bytes(h) for h in held], WIDTH * self.block_size
 
-        def give(parts: list[list[int]]) -> Row:
+        def give(parts: list[bytes]) -> Row:
             return Row(lane=lane, group_id=group, block_id=block, **dict(zip(self.cols, parts)))
 
         for row in _in_order(rows, self.order_col):
-            arrays = [row[c] or [] for c in self.cols]
+            arrays = [bytes(row[c] or b"") for c in self.cols]
             if len({len(a) for a in arrays}) > 1:
                 raise ValueError(f"{', '.join(self.cols)} differ in length")
-            held = [h + list(a) for h, a in zip(held, arrays)]
-            whole = len(held[0]) // self.block_size
+            held = [h + a for h, a in zip(held, arrays)]
+            whole = len(held[0]) // size
             for b in range(whole):
-                yield give([h[b * self.block_size:(b + 1) * self.block_size] for h in held])
+                yield give([h[b * size:(b + 1) * size] for h in held])
                 block += 1
-            held = [h[whole * self.block_size:] for h in held]
+            held = [h[whole * size:] for h in held]
             taken += 1
             if taken == self.rows_per_group:  # the group is whole: a short block only if it gave none
                 if block == 0 and held[0]:
                     yield give(held)
-                taken, group, block, held = 0, group + 1, 0, [[] for _ in self.cols]
+                taken, group, block, held = 0, group + 1, 0, [b""] * len(self.cols)
         self.open.update((taken, group, block, held))
 
     def close(self) -> None:
@@ -172,15 +204,16 @@ def pack_stream(stream: DataFrame, block_size: int, id_col: str, order_col: str
     cols, order_col = [ids_col, *also], order_col or id_col
     lane = F.col(lane_col) if lane_col else lane_of(id_col, lanes)
     out = T.StructType([T.StructField("lane", T.IntegerType()), T.StructField("group_id", T.LongType()), T.StructField("block_id", T.LongType()),
-                        *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in cols]])
-    keyed = stream.select(lane.alias("__lane"), order_col, *cols)
+                        *[T.StructField(c, T.BinaryType()) for c in cols]])
+    keyed = stream.select(lane.alias("__lane"), order_col, *[_packed(F.col(c)).alias(c) for c in cols])
     blocks = keyed.groupBy("__lane").transformWithState(PackBlocks(cols, order_col, block_size, rows_per_group), out, "append", "none")
+    blocks = blocks.select("lane", "group_id", "block_id", *[_unpacked(F.col(c)).alias(c) for c in cols])
     return blocks.withColumn("labels", F.col(ids_col))
 
 
 def open_blocks(spark: SparkSession, checkpoint: str, ids_col: str = "input_ids", also: tuple[str, ...] = ()) -> DataFrame:
     """The short block of every open group of a stopped query that gave no full one; of the others the rest is dropped."""
     s = state_table(spark, checkpoint, "open").select(F.col("key.__lane").alias("lane"), "value.*")
-    s = s.where((F.col("block_id") == 0) & (F.size(F.col("tokens")[0]) > 0))
-    cols = [F.col("tokens")[i].alias(c) for i, c in enumerate([ids_col, *also])]
-    return s.select("lane", "group_id", "block_id", *cols, F.col("tokens")[0].alias("labels"))
+    s = s.where((F.col("block_id") == 0) & (F.octet_length(F.col("tokens")[0]) > 0))
+    cols = [_unpacked(F.col("tokens")[i]).alias(c) for i, c in enumerate([ids_col, *also])]
+    return s.select("lane", "group_id", "block_id", *cols).withColumn("labels", F.col(ids_col))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import WS_CLASS, col_, let, materialize_column
+from ..functions.text import WS_CLASS, col_, let, materialize_column, text_slices
 from ..session import materialize
 
 IGNORE_INDEX = -100
@@ -205,30 +205,22 @@ def build_vocabulary(df: DataFrame, text_col: str = "text", size: int = 32000,
 
 # ------------------------------------------------------------------ UDFs
 
-def _index_for(bc) -> pd.Index:
-    """Hash index over the broadcast vocabulary (built once per task)."""
-    return pd.Index(bc.value)
+def _lookup_flat(lists: pa.Array, index: pa.Array, unk: int) -> tuple[np.ndarray, pa.Array]:
+    """(ends of the lists from 0, ids of all their pieces); a null list is empty. Pieces stay in Arrow's buffers."""
+    ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_numpy()]).astype(np.int32)
+    return ends, pc.fill_null(pc.index_in(lists.flatten(), value_set=index), unk).cast(pa.int32())
 
 
-def _lookup_flat(index: pd.Index, arrays, unk: int):
-    lens = np.fromiter((0 if a is None else len(a) for a in arrays), dtype=np.int64, count=len(arrays))
-    if lens.sum():
-        flat = np.concatenate([a for a in arrays if a is not None and len(a)])
-        ids = index.get_indexer(flat).astype(np.int32)
-        ids[ids < 0] = unk
-    else:
-        ids = np.zeros(0, dtype=np.int32)
-    return lens, ids
+def _lists(ends: np.ndarray, values: pa.Array, null: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=null if len(null) else None)
 
 
 def _lookup_udf(bc, unk: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = _index_for(bc)
-        for s in batches:
-            lens, ids = _lookup_flat(index, s.to_numpy(), unk)
-            parts = np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else []
-            yield pd.Series([None if a is None else p for a, p in zip(s, parts)], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = pa.array(bc.value, pa.string())
+        for a in batches:
+            yield _lists(*_lookup_flat(a, index, unk), a.is_null())
 
     # non-deterministic only so that Catalyst keeps the UDF in its own projection
     # instead of inlining it into a consumer's lambda, where it cannot run
@@ -236,19 +228,13 @@ def _lookup_udf(bc, unk: int):
 
 
 def _lookup_nested_udf(bc, unk: int):
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = _index_for(bc)
-        for s in batches:
-            outer = [0 if a is None else len(a) for a in s]
-            inner = [x for a in s if a is not None for x in a]
-            lens, ids = _lookup_flat(index, inner, unk)
-            parts = np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else []
-            out, pos = [], 0
-            for a, n in zip(s, outer):
-                out.append(None if a is None else parts[pos:pos + n])
-                pos += n
-            yield pd.Series(out, dtype=object)
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = pa.array(bc.value, pa.string())
+        for a in batches:
+            ends, ids = _lookup_flat(a.flatten(), index, unk)
+            outer = np.cumsum([0, *pc.fill_null(pc.list_value_length(a), 0).to_numpy()]).astype(np.int32)
+            yield _lists(outer, pa.ListArray.from_arrays(pa.array(ends), ids), a.is_null())
 
     return lookup.asNondeterministic()
 
@@ -275,11 +261,13 @@ def _decode_udf(bc, sep: str):
 def encoder_udf(make_encoder: Callable[[], Callable[[list[str]], list[list[int]]]]):
     """Wrap a user's batch encoder (built once per task, e.g. a BPE tokenizer) as a column function."""
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def enc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = make_encoder()
-        for s in batches:
-            yield pd.Series(encode([("" if t is None else t) for t in s]), dtype=object)
+        for a in batches:
+            # an encoder's lists of ints take many times the text's memory: only a slice's are held as such
+            done = [pa.array(encode(t), pa.list_(pa.int32()), from_pandas=True) for t in text_slices(a)]
+            yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
 
     return enc
 

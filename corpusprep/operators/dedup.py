@@ -27,14 +27,13 @@ from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.digest import md5_prefixes
-from ..functions.text import NON_CHARACTER_CLASS, col_
+from ..functions.text import NON_CHARACTER_CLASS, col_, text_slices
 from ..session import materialize
 from .components import component_roots
 
@@ -50,7 +49,7 @@ def exact_key(text: str | Column, lowercase: bool = True, ignore_non_character:
     if lowercase:
         t = F.lower(t)
     if ignore_non_character:
-        t = F.regexp_replace(t, NON_CHARACTER_CLASS, "")
+        t = F.regexp_replace(t, NON_CHARACTER_CLASS + "+", "")
     return F.md5(t)
 
 
@@ -129,9 +128,9 @@ def fingerprint(text: str | Column, tokenization: str = "space", window_size: in
         t = F.regexp_replace(t, ignore_pattern, "")
     by_word = tokenization == "space"
 
-    @F.pandas_udf(T.LongType())
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(_fingerprints(["" if x is None else x for x in texts], by_word, window_size), dtype="Int64")
+    @F.arrow_udf(T.LongType())
+    def simhash(texts: pa.Array) -> pa.Array:
+        return pa.array([f for t in text_slices(texts) for f in _fingerprints(t, by_word, window_size)], pa.int64())
 
     return simhash(t)
 
@@ -349,7 +348,8 @@ def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_
     the pairs need no distinct(). A bucket of over ``cell`` fingerprints is split
     on the bits it has left, by the same argument: of h + 1 blocks of these, one agrees.
     """
-    return _search(fps.select(F.col(fp_col).alias("fp")), num_blocks, hamming_distance, cell, spanning=False)
+    fps = materialize(fps.select(F.col(fp_col).alias("fp")), "distinct-fingerprints")  # the search reads them several times
+    return _search(fps, num_blocks, hamming_distance, cell, spanning=False)
 
 
 def near_links(fps: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = CELL) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup as D
 from ..operators import quality as Q
+from ..session import materialize
 from ..sources.readers import read_table
 from . import recipe as R
 from . import sql_oracle as S
@@ -94,7 +95,7 @@ def q_simhash_zh(spark, sf):
 
 
 def q_near_pairs(spark, sf):
-    fp = D.fingerprints(_docs(spark, sf), "doc_id", **_fp_args(EN_SIMHASH))
+    fp = materialize(D.fingerprints(_docs(spark, sf), "doc_id", **_fp_args(EN_SIMHASH)), "simhash")  # or the null filter hashes once more
     distinct = fp.where(F.col("fp").isNotNull()).select("fp").distinct()
     return D.near_pairs(distinct, "fp", EN_SIMHASH["num_blocks"], EN_SIMHASH["hamming_distance"])
 

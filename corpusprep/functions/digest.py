@@ -12,30 +12,47 @@ _START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
 _ROTATIONS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
 _SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2 ** 32)) for i in range(64)]
 #: A string of up to 55 bytes is one block with its end mark and length; strings are hashed so many at a time.
-ONE_BLOCK, AT_ONCE = 55, 4096
+ONE_BLOCK, AT_ONCE = 55, 16384
+# By the bytes a string has left at one of its 8-byte words (-1: it ended before, 8: more than these): those to keep, and its end mark.
+_KEEP = np.array([0, *((1 << 8 * k) - 1 for k in range(9))], dtype=np.uint64)
+_MARK = np.array([0, *(0x80 << 8 * k for k in range(8)), 0], dtype=np.uint64)
 
 
-def _one_block(words: np.ndarray) -> np.ndarray:
-    """First 8 bytes of the digests, as big-endian numbers, of padded blocks given as 16 rows of little-endian words."""
-    a, b, c, d = (np.full(words.shape[1], v, dtype=np.uint32) for v in _START)
+def _one_block(words: list[np.ndarray | None], n: int) -> np.ndarray:
+    """First 8 bytes of the digests, as big-endian numbers, of ``n`` padded blocks given as 16 rows of little-endian words (None: all zero)."""
+    a, b, c, d = (np.full(n, v, dtype=np.uint32) for v in _START)
+    mix, rotated = np.empty(n, dtype=np.uint32), np.empty(n, dtype=np.uint32)
     for i in range(64):
         turn = i // 16
         if turn == 0:
-            mix, k = d ^ (b & (c ^ d)), i
+            k = i
+            np.bitwise_xor(c, d, out=mix)
+            mix &= b
+            mix ^= d
         elif turn == 1:
-            mix, k = c ^ (d & (b ^ c)), 5 * i + 1
+            k = 5 * i + 1
+            np.bitwise_xor(b, c, out=mix)
+            mix &= d
+            mix ^= c
         elif turn == 2:
-            mix, k = b ^ c ^ d, 3 * i + 5
+            k = 3 * i + 5
+            np.bitwise_xor(b, c, out=mix)
+            mix ^= d
         else:
-            mix, k = c ^ (b | ~d), 7 * i
-        mix = mix + a
+            k = 7 * i
+            np.invert(d, out=mix)
+            mix |= b
+            mix ^= c
+        mix += a
         mix += _SINES[i]
-        mix += words[k % 16]
+        if words[k % 16] is not None:
+            mix += words[k % 16]
         s = _ROTATIONS[turn][i % 4]
-        rotated = mix << np.uint32(s)
-        rotated |= mix >> np.uint32(32 - s)
+        np.left_shift(mix, np.uint32(s), out=rotated)
+        mix >>= np.uint32(32 - s)
+        rotated |= mix
         rotated += b
-        a, b, c, d = d, rotated, b, c
+        a, b, c, d, rotated = d, rotated, b, c, a  # the array of the old a is written next
     low, high = a + np.uint32(_START[0]), b + np.uint32(_START[1])
     return (low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)).byteswap()
 
@@ -45,18 +62,20 @@ def md5_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     out = np.empty(len(starts), dtype=np.uint64)
     size = ends - starts
     short = np.flatnonzero(size <= ONE_BLOCK)
-    column = np.arange(ONE_BLOCK + 1)
+    padded = np.append(data, np.zeros(64, dtype=np.uint8))
+    from_here = np.ndarray(len(data) + 57, dtype="<u8", buffer=padded, strides=(1,))  # the 8 bytes that start at each byte
     for lo in range(0, len(short), AT_ONCE):
         rows = short[lo:lo + AT_ONCE]
-        n = size[rows]
-        block = np.zeros((len(rows), 64), dtype=np.uint8)
-        if len(data):
-            at = np.minimum(starts[rows][:, None] + column, len(data) - 1)
-            block[:, :ONE_BLOCK + 1] = np.where(column < n[:, None], data[at], 0)
-        block[np.arange(len(rows)), n] = 0x80
-        words = block.view("<u4")
-        words[:, 14] = n * 8
-        out[rows] = _one_block(np.ascontiguousarray(words.T))
+        n, at = size[rows], starts[rows]
+        words: list[np.ndarray | None] = [None] * 16
+        for k in range(int(n.max()) // 8 + 1):
+            left = np.clip(n - 8 * k, -1, 8) + 1
+            eight = from_here[np.minimum(at + 8 * k, len(data))]
+            eight &= _KEEP[left]
+            eight |= _MARK[left]
+            words[2 * k], words[2 * k + 1] = eight.astype(np.uint32), (eight >> np.uint64(32)).astype(np.uint32)
+        words[14] = (n * 8).astype(np.uint32)
+        out[rows] = _one_block(words, len(rows))
     for k in np.flatnonzero(size > ONE_BLOCK):
         out[k] = int.from_bytes(hashlib.md5(data[starts[k]:ends[k]].tobytes()).digest()[:8], "big")
     return out

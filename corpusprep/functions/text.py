@@ -68,11 +68,17 @@ def materialize_column(df, name: str, c: Column):
     return df.select("*", F.explode(F.array(c)).alias(name))
 
 
-def text_slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
-    """An Arrow batch of texts (null: empty) in order, in lists of about ``size`` bytes or one text: only one is in Python at a time."""
+def slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+    """An Arrow batch of texts in order, in slices of about ``size`` bytes or one text."""
     ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
     lo, done = 0, 0
     while lo < len(texts):
         hi = max(lo + 1, int(ends.searchsorted(done + size, "right")))
-        yield ["" if t is None else t for t in texts.slice(lo, hi - lo).to_pylist()]
+        yield texts.slice(lo, hi - lo)
         lo, done = hi, int(ends[hi - 1])
+
+
+def text_slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
+    """The slices as lists (null: empty): only one is in Python at a time."""
+    for part in slices(texts, size):
+        yield ["" if t is None else t for t in part.to_pylist()]

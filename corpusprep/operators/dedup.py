@@ -72,8 +72,8 @@ def document_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", lo
 def _vote(h: np.ndarray) -> int:
     """Bit vote over 64-bit hashes: a bit is set when over half of them have it."""
     votes = np.zeros(64, dtype=np.int64)
-    for lo in range(0, len(h), 1 << 15):
-        votes += np.unpackbits(h[lo:lo + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    for lo in range(0, len(h), 1 << 15):  # so many that 16 bits hold a count
+        votes += np.unpackbits(h[lo:lo + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import LINE_END, code_points, col_, text_slices
+from ..functions.text import code_points, col_, slices, text_slices
 from ..session import materialize
 
 
@@ -39,8 +39,8 @@ def alphanumeric_ratio(text: str | Column) -> Column:
     """Alphanumeric characters / characters; 0.0 for empty text."""
     t = col_(text)
     n = F.length(t)
-    alnum = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", ""))
-    return F.when(n > 0, alnum / n).otherwise(F.lit(0.0)).cast("double")
+    others = F.length(F.regexp_replace(t, r"[\p{L}\p{N}]+", ""))  # the few that are left are cheaper to write
+    return F.when(n > 0, (n - others) / n).otherwise(F.lit(0.0)).cast("double")
 
 
 def alphanumeric_filter(df: DataFrame, text_col: str = "text", min_ratio: float = 0.25,
@@ -74,11 +74,23 @@ def _ngram_ranks(cps: np.ndarray, rep_len: int) -> tuple[np.ndarray, int]:
     return rank, below
 
 
-def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
-    """The ratio of every text, in one pass over all their code points."""
+def _top_shares(doc: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """The ratio of each of ``n`` texts, from its n-grams' counts (a text's lie together)."""
+    distinct, total = np.bincount(doc, minlength=n), np.bincount(doc, count, n)
+    more = np.flatnonzero(count > 1)  # the top k are all among these
+    doc, count = doc[more], count[more]
+    repeated = np.bincount(doc, minlength=n)
+    k = np.minimum(np.floor(np.sqrt(distinct)).astype(np.int64), repeated)
+    order = np.lexsort((-count, doc))
+    doc, count = doc[order], count[order]
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(repeated) - repeated, repeated)
+    top = np.bincount(doc, np.where(place < k[doc], count, 0), n)
+    return np.divide(top, total, out=np.zeros(n), where=total > 0)
+
+
+def _ratios_by_rank(texts: list[str], rep_len: int) -> np.ndarray:
+    """The ratio of every text, whatever its characters, in one pass over all their code points."""
     out = np.zeros(len(texts))
-    if not texts:
-        return out
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if cps.size < rep_len:
@@ -93,16 +105,61 @@ def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
     if doc.size == 0:
         return out
     gram, count = np.unique(doc * below + rank, return_counts=True)
-    doc = gram // below
-    order = np.lexsort((-count, doc))
-    doc, count = doc[order], count[order]
-    distinct = np.bincount(doc, minlength=len(texts))
-    repeated = np.bincount(doc[count > 1], minlength=len(texts))
-    k = np.minimum(np.floor(np.sqrt(distinct)).astype(np.int64), repeated)
-    place = np.arange(len(doc)) - np.repeat(np.cumsum(distinct) - distinct, distinct)
-    top = np.bincount(doc, np.where(place < k[doc], count, 0), len(texts))
-    total = np.bincount(doc, count, len(texts))
-    return np.divide(top, total, out=out, where=total > 0)
+    return _top_shares(gram // below, count, len(texts))
+
+
+#: Bytes of the texts whose n-grams are counted together: their work arrays, of eight times that, stay in the processor's cache.
+COUNTED = 1 << 17
+#: Entries (texts times characters) of the table that gives every text's characters numbers of their own.
+NUMBERED = 1 << 23
+
+
+def _repetition_ratios(texts: list[str], rep_len: int) -> np.ndarray:
+    """The ratio of every text of a slice.
+
+    An n-gram of a text with few enough different characters is one 64-bit number, its characters' numbers in that
+    text as digits; these are sorted text by text. Other texts have their n-grams ranked.
+    """
+    out = np.zeros(len(texts))
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    if cps.size < rep_len:
+        return out
+    known = np.zeros(int(cps.max()) + 1, dtype=bool)
+    known[cps] = True
+    number, n = (np.cumsum(known) - 1)[cps], int(known.sum())
+    if n * len(texts) > NUMBERED:
+        return _ratios_by_rank(texts, rep_len)
+    doc = np.repeat(np.arange(len(texts)), size)
+    seen = np.zeros((len(texts), n), dtype=bool)
+    seen.ravel()[doc * n + number] = True
+    digit = (np.cumsum(seen, axis=1, dtype=np.int64) - 1).ravel()[doc * n + number].astype(np.uint64)
+    base = seen.sum(axis=1).astype(np.uint64)
+    most = int(2 ** (64 / rep_len)) + 1  # digits up to here make n-grams of under 2**64
+    while most ** rep_len > 1 << 64:
+        most -= 1
+    radix = base[doc]
+    code, times, done = digit, radix, 1
+    for bit in bin(rep_len)[3:]:  # numbers of two halves put together, and one digit more where the length is odd
+        code = code[:-done] * times[:len(code) - done] + code[done:]
+        times, done = times * times, done * 2
+        if bit == "1":
+            code = code[:-1] * radix[:len(code) - 1] + digit[done:]
+            times, done = times * radix, done + 1
+    packed = (base <= most) & (size >= rep_len)
+    start = np.cumsum(size) - size
+    for lo, hi in zip(start[packed].tolist(), (start + size - rep_len + 1)[packed].tolist()):
+        code[lo:hi].sort()
+    grams = np.where(packed, size - rep_len + 1, 0)
+    own = np.repeat(start - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())  # n-grams that do not run into the next text
+    code, doc = code[own], np.repeat(np.arange(len(texts)), grams)
+    if code.size:
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])))
+        out = _top_shares(doc[first], np.diff(np.append(first, len(code))), len(texts))
+    ranked = np.flatnonzero((base > most) & (size >= rep_len))
+    if ranked.size:
+        out[ranked] = _ratios_by_rank([texts[i] for i in ranked], rep_len)
+    return out
 
 
 def character_repetition_ratio(text: str | Column, rep_len: int = 10) -> Column:
@@ -114,7 +171,7 @@ def character_repetition_ratio(text: str | Column, rep_len: int = 10) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def _ratio(texts: pa.Array) -> pa.Array:
-        done = [_repetition_ratios(t, rep_len) for t in text_slices(texts)]  # slices bound the work arrays
+        done = [_repetition_ratios(t, rep_len) for t in text_slices(texts, COUNTED)]
         return pa.array(np.concatenate(done) if done else [], pa.float64())
 
     return _ratio(col_(text))
@@ -144,10 +201,13 @@ def _shares(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.minimum(np.divide(hits, n, out=np.zeros(len(n)), where=n > 0), 1.0)
 
 
-def _word_shares(tokens: pa.Array, known: pa.Array, use_words_aug: bool) -> np.ndarray:
-    """The ratio of every row of an Arrow batch of token lists, on all tokens of the batch at once."""
+def _word_shares(texts: pa.Array, known: pa.Array, use_words_aug: bool) -> np.ndarray:
+    """The ratio of every row of an Arrow array of texts whose tokens are parted by single spaces, on all their tokens at once."""
+    tokens = pc.split_pattern(texts, " ")
     n = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
-    flat, row = tokens.flatten(), np.repeat(np.arange(len(n)), n)
+    n[pc.fill_null(pc.equal(texts, ""), False).to_numpy(zero_copy_only=False)] = 0  # no tokens, not an empty one
+    flat = tokens.flatten()
+    flat, row = flat.filter(pc.not_equal(flat, "")), np.repeat(np.arange(len(n)), n)
     hits = np.bincount(row[pc.is_in(flat, value_set=known).to_numpy(zero_copy_only=False)], minlength=len(n))
     if use_words_aug:
         first = np.flatnonzero(row[1:] == row[:-1])
@@ -177,11 +237,12 @@ def flagged_words_ratio(text: str | Column, words: Iterable[str], mode: str = "w
     """Flagged tokens / tokens, capped at 1; 0.0 without tokens. ``use_words_aug``: adjacent pairs, joined, are tokens too.
 
     Lower-casing and tokenizing run in the JVM; the tokens go by Arrow to one vectorized
-    lookup of a batch in the list, whatever its length. Characters travel as the
-    text of the letters and digits alone, not as arrays.
+    lookup of a slice in the list, whatever its length. They travel as one text, words
+    parted by spaces and characters by nothing, not as arrays.
     For a (lang, word) table with a language per row see ``flagged_ratio_by_language``.
     """
     word_list = sorted({w.lower() for w in words if w})
+    between, lower = r"[^\p{L}\p{N}]+", F.lower(col_(text))
 
     if mode == "character":
         @F.arrow_udf(T.DoubleType())
@@ -189,13 +250,15 @@ def flagged_words_ratio(text: str | Column, words: Iterable[str], mode: str = "w
             done = [_character_shares(t, word_list, use_words_aug) for t in text_slices(texts)]
             return pa.array(np.concatenate(done) if done else [], pa.float64())
 
-        return share_of_characters(F.regexp_replace(F.lower(col_(text)), r"[^\p{L}\p{N}]+", ""))
+        return share_of_characters(F.regexp_replace(lower, between, ""))
 
     @F.arrow_udf(T.DoubleType())
-    def share(tokens: pa.Array) -> pa.Array:
-        return pa.array(_word_shares(tokens, pa.array(word_list, pa.string()), use_words_aug))
+    def share(texts: pa.Array) -> pa.Array:
+        known = pa.array(word_list, texts.type)
+        done = [_word_shares(t, known, use_words_aug) for t in slices(texts)]
+        return pa.array(np.concatenate(done) if done else [], pa.float64())
 
-    return share(word_tokens(text, mode))
+    return share(F.trim(F.regexp_replace(lower, between, " ")))
 
 
 def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "text", lang: str = "en",
@@ -361,7 +424,7 @@ def flagged_words_filter_by_language(df: DataFrame, words: DataFrame, max_ratio:
 
 def maximum_line_length(text: str | Column) -> Column:
     """Characters in the longest line (line ends: \\r\\n, \\n, \\r); 0 for empty text."""
-    lines = F.split(col_(text), LINE_END)
+    lines = F.split(F.replace(col_(text), F.lit("\r"), F.lit("\n")), "\n")  # \\r\\n: an empty line more, never the longest
     return F.coalesce(F.array_max(F.transform(lines, lambda l: F.length(l))), F.lit(0))
 
 

@@ -17,7 +17,8 @@ Scale notes
   near each other, is dealt as a grid of cells, each a pair of its blocks, so the
   largest task does a bounded number of comparisons whatever the bucket.
 * For components a cell returns a spanning forest of its links: a family of m
-  near copies gives O(m) edges, not m squared.
+  near copies gives O(m) edges, not m squared. A large component of a cell is
+  walked first: what it has reached is compared no more.
 """
 
 from __future__ import annotations
@@ -35,10 +36,12 @@ from pyspark.sql import types as T
 from ..functions.digest import md5_prefixes
 from ..functions.text import NON_CHARACTER_CLASS, col_, text_slices
 from ..session import materialize
-from .components import component_roots
+from .components import _forest, component_roots
 
-#: Fingerprints of one bucket that a single task compares with each other.
-CELL = 4096
+#: Fingerprints of one bucket that a single task compares with each other: for pairs, and for links alone.
+CELL, LINKED = 4096, 16384
+#: Comparisons of cells at once: their work arrays stay in the processor's cache.
+COMPARED = 1 << 17
 
 
 # ================================================================ exact
@@ -69,12 +72,63 @@ def document_deduplicator(df: DataFrame, id_col: str, text_col: str = "text", lo
 
 # ================================================================ simhash
 
+#: A byte of ones and zeros per eighth bit; so many of them can be added in a byte.
+_LANES, _ADDED = np.uint64(0x0101010101010101), 255
+
+
+def _votes(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bit votes over runs of ``sizes`` (1 or more) 64-bit hashes: a bit is set when over half of a run have it."""
+    blocks = -(-sizes // _ADDED)
+    run = np.cumsum(blocks) - blocks
+    starts = np.repeat(np.cumsum(sizes) - sizes, blocks) + (np.arange(blocks.sum()) - np.repeat(run, blocks)) * _ADDED
+    ends = np.append(starts[1:], len(h))
+    counts = np.empty((len(starts), 8, 8), dtype=np.uint8)  # block, byte, bit
+    lo = 0
+    while lo < len(starts):  # so many that the work arrays stay in the processor's cache
+        hi = max(lo + 1, int(ends.searchsorted(starts[lo] + (1 << 15), "right")))
+        part, at = h[starts[lo]:ends[hi - 1]], starts[lo:hi] - starts[lo]
+        for bit in range(8):
+            counts[lo:hi, :, bit] = np.add.reduceat(part >> np.uint64(bit) & _LANES, at).astype("<u8").view(np.uint8).reshape(-1, 8)
+        lo = hi
+    votes = np.add.reduceat(counts.reshape(-1, 64), run, axis=0, dtype=np.int64)
+    return np.packbits(votes * 2 > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
+
+
 def _vote(h: np.ndarray) -> int:
-    """Bit vote over 64-bit hashes: a bit is set when over half of them have it."""
-    votes = np.zeros(64, dtype=np.int64)
-    for lo in range(0, len(h), 1 << 15):  # so many that 16 bits hold a count
-        votes += np.unpackbits(h[lo:lo + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
-    return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<i8")[0])
+    return int(_votes(h, np.array([len(h)]))[0])
+
+
+#: Bits of the slots in which equal shingles of a slice meet.
+SLOT_BITS = 20
+
+
+def _repeats(texts: list[str], window: int) -> np.ndarray | None:
+    """Per shingle of characters the number of an equal one, itself if there is none known; None if they don't fit 64 bits.
+
+    Of texts up to the window there is one shingle, which counts as equal to no other.
+    """
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    cps = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    known = np.zeros(int(cps.max()) + 1, dtype=bool)
+    known[cps] = True
+    base = int(known.sum())
+    if base ** window > 1 << 64 or len(cps) <= window:
+        return None
+    digit = (np.cumsum(known) - 1).astype(np.uint64)[cps]
+    code = digit[:len(digit) - window + 1].copy()
+    for k in range(1, window):
+        code *= np.uint64(base)
+        code += digit[k:len(digit) - window + 1 + k]
+    number = np.where(size > window, size - window + 1, (size > 0).astype(np.int64))
+    first = np.cumsum(size) - size
+    own = np.repeat(first - np.cumsum(number) + number, number) + np.arange(number.sum())  # those that do not run into the next text
+    code = code[np.minimum(own, len(code) - 1)]
+    slot = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    whole = np.repeat(size > window, number)
+    at, this = np.zeros(1 << SLOT_BITS, dtype=np.int64), np.arange(len(code))
+    at[slot[whole]] = this[whole]
+    there = at[slot]
+    return np.where(whole & (code[there] == code), there, this)
 
 
 def _shingles(text: str, by_word: bool, window: int) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -95,7 +149,7 @@ def _shingles(text: str, by_word: bool, window: int) -> tuple[bytes, np.ndarray,
 
 
 def _fingerprints(texts: list[str], by_word: bool, window: int) -> list[int | None]:
-    """SimHash of every text; all shingles of a slice of about a megabyte are hashed together."""
+    """SimHash of every text; the shingles of a slice of about a megabyte are hashed together, equal ones of characters once."""
     out: list[int | None] = []
     at = 0
     while at < len(texts):
@@ -105,10 +159,19 @@ def _fingerprints(texts: list[str], by_word: bool, window: int) -> list[int | No
             size += len(parts[-1][0])
             at += 1
         offsets = np.cumsum([0, *(len(p[0]) for p in parts)])
-        hashes = md5_prefixes(np.frombuffer(b"".join(p[0] for p in parts), dtype=np.uint8),
-                              np.concatenate([p[1] + o for p, o in zip(parts, offsets)]), np.concatenate([p[2] + o for p, o in zip(parts, offsets)]))
-        ends = np.cumsum([len(p[1]) for p in parts])
-        out += [_vote(hashes[e - len(p[1]):e]) if len(p[1]) else None for p, e in zip(parts, ends)]
+        starts, ends = (np.concatenate([p[k] + o for p, o in zip(parts, offsets)]) for k in (1, 2))
+        data = np.frombuffer(b"".join(p[0] for p in parts), dtype=np.uint8)
+        same = None if by_word or not len(starts) else _repeats(texts[at - len(parts):at], window)
+        if same is None:
+            hashes = md5_prefixes(data, starts, ends)
+        else:  # every shingle of characters once
+            once = np.flatnonzero(same == np.arange(len(same)))
+            hashes = np.empty(len(same), dtype=np.uint64)
+            hashes[once] = md5_prefixes(data, starts[once], ends[once])
+            hashes = hashes[same]
+        sizes = np.array([len(p[1]) for p in parts])
+        votes = iter(_votes(hashes, sizes[sizes > 0]).tolist() if len(hashes) else ())
+        out += [next(votes) if n else None for n in sizes]
     return out
 
 
@@ -180,6 +243,77 @@ def _candidates(fp: np.ndarray, cell: np.ndarray, side: np.ndarray) -> Iterator[
                 yield i.ravel(), j.ravel()
 
 
+def _walked(fp: np.ndarray, rest: list[np.ndarray], root: np.ndarray, near: int) -> None:
+    """Large components of a cell get their ``root``; their rows leave ``rest`` (the rows of the cell, or of its two sides).
+
+    Rows reached are compared with the rows left, not with each other, so a component of most of a cell costs little.
+    """
+    while min(map(len, rest)) and sum(map(len, rest)) > 256:
+        most, side, seed = 0, 0, 0
+        for s, rows in enumerate(rest):
+            some = rows[::-(-len(rows) // 16)]
+            n = (np.bitwise_count(fp[some][:, None] ^ fp[rest[s - 1]]) <= near).sum(axis=1)
+            if n.max() > most:
+                most, side, seed = int(n.max()), s, int(some[n.argmax()])
+        if most * 64 < sum(map(len, rest)):
+            return
+        rest[side] = rest[side][rest[side] != seed]
+        left = [fp[rows] for rows in rest]
+        todo = [np.empty(0, np.int64) for _ in rest]
+        todo[side] = np.array([seed])
+        while any(map(len, todo)):
+            s = int(np.argmax([len(rows) for rows in todo]))
+            k = max(1, COMPARED // max(1, len(rest[s - 1])))
+            now, todo[s] = todo[s][:k], todo[s][k:]
+            if not len(rest[s - 1]):
+                continue
+            reached = np.bitwise_count(fp[now][:, None] ^ left[s - 1]).min(axis=0) <= near
+            if reached.any():
+                root[rest[s - 1][reached]] = seed
+                todo[s - 1] = np.append(todo[s - 1], rest[s - 1][reached])
+                rest[s - 1], left[s - 1] = rest[s - 1][~reached], left[s - 1][~reached]
+
+
+def _cell_roots(fp: np.ndarray, side: np.ndarray, near: int) -> np.ndarray:
+    """For every row of a large cell, one row of its component that all of them have; as ``_candidates``, all rows or across two sides."""
+    root = np.arange(len(fp))
+    rest = [root.copy()] if side[0] < 0 else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
+    _walked(fp, rest, root, near)
+    a, b = rest[0], rest[-1]
+    found = [(root[:0], root[:0])]
+    lo = 0
+    while lo < len(a):
+        first = lo if len(rest) == 1 else 0
+        hi = lo + max(1, COMPARED // max(1, len(b) - first))
+        i, j = np.nonzero(np.bitwise_count(fp[a[lo:hi]][:, None] ^ fp[b[first:]]) <= near)
+        found.append((a[i + lo], b[j + first]))
+        lo = hi
+    nodes, roots = _forest(*(np.concatenate(x) for x in zip(*found)))
+    root[nodes] = roots
+    return root
+
+
+def _cell_links(fp: np.ndarray, cell: np.ndarray, side: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, the smallest one of its component in its cell) where they differ. Rows are sorted by cell."""
+    start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    size = np.diff(np.append(start, len(fp)))
+    small = np.flatnonzero(np.repeat(size, size) <= 64)
+    root = np.arange(len(fp))
+    found = [(root[:0], root[:0])]
+    for a, b in _candidates(fp[small], cell[small], side[small]) if small.size else ():
+        close = np.bitwise_count(fp[small[a]] ^ fp[small[b]]) <= near
+        found.append((small[a[close]], small[b[close]]))
+    nodes, roots = _forest(*(np.concatenate(x) for x in zip(*found)))
+    root[nodes] = roots
+    for lo, m in zip(start[size > 64].tolist(), size[size > 64].tolist()):
+        root[lo:lo + m] = lo + _cell_roots(fp[lo:lo + m], side[lo:lo + m], near)
+    least = fp.copy()
+    np.minimum.at(least, root, fp)
+    least = least[root]
+    linked = np.flatnonzero(least != fp)
+    return fp[linked], least[linked]
+
+
 class _Path(NamedTuple):
     """What fingerprints of a bucket share: the agreed bits, and block masks on which a pair must differ to be given there."""
 
@@ -282,29 +416,19 @@ def _search(fps: DataFrame, num_blocks: int, hamming_distance: int, cell: int, s
             fp = t["fp"].to_numpy().view(np.uint64)
             path, side = np.searchsorted(codes, t["path"].to_numpy()), t["side"].to_numpy()
             cells = _cell_numbers(t)
-            comp = np.arange(len(fp))
+            if spanning:
+                a, b = _cell_links(fp, cells, side, hamming_distance)
+                if a.size:
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.nulls(len(a), pa.int32())],
+                                                     names=["fp_a", "fp_b", "distance"])
+                continue
             for a, b, x, d in pairs(fp, cells, side):
-                if not spanning:
-                    # a pair is given only where its path takes the lowest agreeing blocks at every step
-                    first = ((x[:, None] & differ[path[a]]) != 0).all(axis=1)
-                    lo, hi = fp[a][first].view(np.int64), fp[b][first].view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(lo, hi)), pa.array(np.maximum(lo, hi)), pa.array(d[first].astype(np.int32))],
-                        names=["fp_a", "fp_b", "distance"])
-                    continue
-                while True:
-                    ra, rb = comp[a], comp[b]
-                    apart = ra != rb
-                    if not apart.any():
-                        break
-                    np.minimum.at(comp, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
-                    while not np.array_equal(up := comp[comp], comp):
-                        comp = up
-            linked = np.flatnonzero(comp != np.arange(len(comp)))
-            if linked.size:
+                # a pair is given only where its path takes the lowest agreeing blocks at every step
+                first = ((x[:, None] & differ[path[a]]) != 0).all(axis=1)
+                lo, hi = fp[a][first].view(np.int64), fp[b][first].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp[linked].view(np.int64)), pa.array(fp[comp[linked]].view(np.int64)),
-                     pa.nulls(len(linked), pa.int32())], names=["fp_a", "fp_b", "distance"])
+                    [pa.array(np.minimum(lo, hi)), pa.array(np.maximum(lo, hi)), pa.array(d[first].astype(np.int32))],
+                    names=["fp_a", "fp_b", "distance"])
 
     order = ["path", "key", "i", "j"]
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -352,14 +476,14 @@ def near_pairs(fps: DataFrame, fp_col: str = "fp", num_blocks: int = 6, hamming_
     return _search(fps, num_blocks, hamming_distance, cell, spanning=False)
 
 
-def near_links(fps: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = CELL) -> DataFrame:
+def near_links(fps: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = LINKED) -> DataFrame:
     """(fp_a, fp_b): links whose components are those of ``near_pairs``, O(m) of them for a family of m."""
     return _search(fps, num_blocks, hamming_distance, cell, spanning=True).select("fp_a", "fp_b").distinct()
 
 
 # ================================================================ simhash dedup
 
-def cluster_fingerprints(keyed: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = CELL) -> DataFrame:
+def cluster_fingerprints(keyed: DataFrame, num_blocks: int = 6, hamming_distance: int = 4, cell: int = LINKED) -> DataFrame:
     """(id, key) -> (id, kept_id): the smallest id of the near-duplicate component; null keys are left out."""
     keyed = keyed.where(F.col("key").isNotNull())
     reps = materialize(keyed.groupBy(F.col("key").alias("fp")).agg(F.min("id").alias("rep")), "fingerprints")

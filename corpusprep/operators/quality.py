@@ -8,6 +8,7 @@ it runs as an Arrow-batched pandas UDF with numpy inside.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import code_points, col_, slices, text_slices
-from ..session import materialize
+from ..session import drop_materialized, materialize_sparing
 
 
 # ---------------------------------------------------------------- null text
@@ -273,8 +274,10 @@ def flagged_words_filter(df: DataFrame, words: Iterable[str], text_col: str = "t
 MAX_LIST_BYTES = 256 << 20
 #: Bytes of a (lang, word) table that go to every worker; a larger table is joined with the texts' words and word runs.
 SENT_LIST_BYTES = 1 << 20
-#: Tokens of the documents whose word runs are gathered together, each distinct run once.
+#: Tokens (or, at eight bytes each, texts) whose word runs are gathered together, each distinct run once.
 GATHERED_TOKENS = 1 << 19
+#: Listed runs that one group of the join holds in memory, and runs that are looked up in them together.
+LOOKED_UP = 1 << 20
 #: Languages whose tokens are characters.
 CHARACTER_LANGUAGES = ("zh", "ja", "th")
 
@@ -315,7 +318,7 @@ def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "
     ``words`` is a table of (language, word); a word may be a phrase of several tokens. Both sides are tokenized alike:
     letter/digit runs, or characters for ``character_languages``. A table of up to ``SENT_LIST_BYTES`` is looked up in a
     trie per language that each worker builds once; a larger one is never collected but joined with the word runs of
-    the listed lengths. A row of a language without words, or of no language, has ratio 0.0; list entries without
+    the listed lengths, packed. A row of a language without words, or of no language, has ratio 0.0; list entries without
     language, word or token count for nothing.
     """
     lang, word = lang_word_cols
@@ -327,17 +330,16 @@ def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "
 
     listed = words.select(F.col(lang).alias("lang"), F.col(word).alias("word")).where("lang IS NOT NULL AND word IS NOT NULL")
     listed = listed.withColumn("bytes", F.octet_length("word").cast("long") + F.octet_length("lang"))
-    listed = materialize(listed.select("lang", tokens(F.col("word"), F.col("lang")).alias("t"), "bytes"), "flagged-words")
+    listed = materialize_sparing(listed.select("lang", token_text(F.col("word"), F.col("lang"), by_character).alias("t"), "bytes"), "flagged-words")
     size, longest = listed.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
     if longest > MAX_LIST_BYTES:
         raise ValueError(f"the flagged-word table has an entry of {longest} bytes, over {MAX_LIST_BYTES}")
-    listed = listed.select("lang", "t").where(F.size("t") > 0).distinct()
     if size > SENT_LIST_BYTES:
-        return _flagged_ratio_by_join(df, listed, tokens(F.col(text_col), F.col(lang_col)), lang_col, out_col)
+        return _flagged_ratio_by_join(df, listed, text_col, lang_col, out_col, by_character)
 
     phrases: dict[str, list[list[str]]] = {}
-    for r in listed.collect():  # SENT_LIST_BYTES at most
-        phrases.setdefault(r["lang"], []).append(r["t"])
+    for r in listed.where("t != ''").select("lang", "t").distinct().collect():  # SENT_LIST_BYTES at most
+        phrases.setdefault(r["lang"], []).append(list(r["t"]) if r["lang"] in by_character else r["t"].split(" "))
     sent = df.sparkSession.sparkContext.broadcast(phrases)
 
     @F.pandas_udf(T.DoubleType())
@@ -350,67 +352,295 @@ def flagged_ratio_by_language(df: DataFrame, words: DataFrame, text_col: str = "
     return df.withColumn(out_col, ratio(tokens(F.col(text_col), F.col(lang_col)), F.col(lang_col)))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], lengths: dict[str, list[int]]) -> Iterator[pa.RecordBatch]:
-    """(row, lang, t) -> (lang, run, n, rows, places): each run of n tokens once per ``GATHERED_TOKENS``, with where it starts."""
-    names = ["lang", "run", "n", "rows", "places"]
+def token_text(text: Column, language: Column | None = None, by_character: Iterable[str] = ()) -> Column:
+    """The tokens of ``word_tokens`` as one text: words parted by single spaces, characters (of these languages) by nothing."""
+    t, between, by_character = F.lower(text), r"[^\p{L}\p{N}]+", list(by_character)
+    words = F.trim(F.regexp_replace(t, between, " "))
+    return F.when(language.isin(by_character), F.regexp_replace(t, between, "")).otherwise(words) if by_character else words
+
+
+class _Tokens:
+    """The tokens of an Arrow array of token texts as numbers in the order of the words, and runs of them."""
+
+    def __init__(self, texts: pa.Array, by_character: bool):
+        texts = texts.cast(pa.string())
+        if by_character:
+            plain = "".join(t or "" for t in texts.to_pylist())
+            cps = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32)
+            self.size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy().astype(np.int64)
+            known, code = np.unique(cps, return_inverse=True)
+            self.words, self.code = pa.array([chr(c) for c in known.tolist()], pa.string()), code.astype(np.int64)
+        else:
+            lists = pc.split_pattern(texts, " ")
+            self.size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            self.size[pc.fill_null(pc.equal(texts, ""), False).to_numpy(zero_copy_only=False)] = 0  # no tokens, not an empty one
+            flat = lists.flatten()
+            coded = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
+            order = pc.sort_indices(coded.dictionary)
+            rank = np.empty(len(order), np.int64)
+            rank[order.to_numpy()] = np.arange(len(order))
+            self.words, self.code = coded.dictionary.take(order), rank[coded.indices.to_numpy()]
+        self.owner = np.repeat(np.arange(len(self.size)), self.size)
+
+    def runs(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where each run of ``n`` tokens starts, the number of its run, where each distinct run starts first); runs are numbered in order of their words."""
+        at = np.flatnonzero(self.owner[:max(0, len(self.owner) - n + 1)] == self.owner[n - 1:])
+        if not at.size:
+            return at, at, at
+        rank, below = self.code[at], len(self.words)
+        for k in range(1, n):
+            if below * len(self.words) >= 1 << 62:
+                rank, below = _ranked(rank)
+            rank, below = rank * len(self.words) + self.code[at + k], below * len(self.words)
+        bits = len(rank).bit_length()
+        if below << bits >= 1 << 63:
+            rank, below = _ranked(rank)
+        by_rank = np.sort(rank << bits | np.arange(len(rank)))  # quicker than an order of the ranks
+        place, rank = by_rank & ((1 << bits) - 1), by_rank >> bits
+        new = np.append(True, rank[1:] != rank[:-1])
+        number = np.empty(len(rank), np.int64)
+        number[place] = np.cumsum(new) - 1
+        return at, number, at[place[new]]
+
+    def texts(self, first: np.ndarray, n: int) -> pa.Array:
+        """The words of the runs that start there, parted by spaces."""
+        parts = [self.words.take(pa.array(self.code[first + k])) for k in range(n)]
+        return parts[0] if n == 1 else pc.binary_join_element_wise(*parts, " ")
+
+    def buckets(self, first: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct runs' order by a hash of their words into buckets, and where each bucket ends in it."""
+        if not hasattr(self, "hash"):
+            self.hash = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in self.words.to_pylist()], np.uint64)
+        mixed = np.zeros(len(first), np.uint64)
+        for k in range(n):
+            mixed = (mixed ^ self.hash[self.code[first + k]]) * np.uint64(0x9E3779B97F4A7C15)
+        own = (mixed >> np.uint64(33)).astype(np.int64) % buckets
+        order = np.argsort(own, kind="stable")
+        return order, np.searchsorted(own[order], np.arange(buckets), "right")
+
+
+def distinct_runs(batches: Iterator[pa.RecordBatch], lengths: Iterable[int]) -> Iterator[pa.RecordBatch]:
+    """(lang, t) -> (lang, word, n): the runs of words of these lengths, each once per ``GATHERED_TOKENS``."""
+    for part in _portions(batches, 1):
+        for lang in pc.unique(part.column(0)).to_pylist():
+            own = pc.is_null(part.column(0)) if lang is None else pc.fill_null(pc.equal(part.column(0), lang), False)
+            tokens = _Tokens(part.column(1).filter(own), False)
+            for n in lengths:
+                _, _, first = tokens.runs(n)
+                if first.size:
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), tokens.texts(first, n),
+                                                      pa.repeat(pa.scalar(n, pa.int32()), len(first))], names=["lang", "word", "n"])
+
+
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in portions of about eight times ``GATHERED_TOKENS`` bytes of text or one row."""
+    held: list[pa.RecordBatch] = []
+    size, bound = 0, 8 * GATHERED_TOKENS
     for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy().astype(np.int64))
         lo = 0
-        while lo < batch.num_rows:
-            before = int(ends[lo - 1]) if lo else 0
-            hi = max(lo + 1, int(ends.searchsorted(before + GATHERED_TOKENS, "right")))
-            part = batch.slice(lo, hi - lo)
-            lo = hi
-            for lang in pc.unique(part.column(1)).to_pylist():
-                own = part.filter(pc.equal(part.column(1), lang))
-                t = own.column(2)
-                size = pc.fill_null(pc.list_value_length(t), 0).to_numpy().astype(np.int64)
-                flat, owner = t.flatten(), np.repeat(np.arange(len(size)), size)
-                place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-                ids = own.column(0).to_numpy()
-                for n in lengths[lang]:
-                    at = np.flatnonzero(owner[:len(owner) - n + 1] == owner[n - 1:])
-                    if not at.size:
-                        continue
-                    run = flat.take(pa.array(at)) if n == 1 else pc.binary_join_element_wise(*(flat.take(pa.array(at + k)) for k in range(n)), " ")
-                    coded = run.dictionary_encode()
-                    code = coded.indices.to_numpy()
-                    order = np.argsort(code, kind="stable")
-                    cuts = pa.array(np.searchsorted(code[order], np.arange(len(coded.dictionary) + 1)).astype(np.int32))
-                    at = at[order]
-                    m = len(coded.dictionary)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(lang, m), coded.dictionary, pa.repeat(pa.scalar(n, pa.int32()), m), pa.ListArray.from_arrays(cuts, pa.array(ids[owner[at]])),
-                         pa.ListArray.from_arrays(cuts, pa.array(place[at].astype(np.int32)))], names=names)
-
-
-def _flagged_ratio_by_join(df: DataFrame, listed: DataFrame, tokens: Column, lang_col: str, out_col: str) -> DataFrame:
-    """The ratio by a table of any size: listed runs are found by a join on (language, run), then merged per row."""
-    rows = df.withColumns({"__row": F.monotonically_increasing_id(), "__n": F.coalesce(F.size(tokens), F.lit(0))})
-    rows = materialize(rows, "flagged-rows")  # the row numbers must stay what they are
-    listed = materialize(listed.select("lang", F.size("t").alias("n"), F.array_join("t", " ").alias("run")), "flagged-runs")
-    lengths: dict[str, list[int]] = {}
-    for r in listed.select("lang", "n").distinct().collect():  # languages by the lengths of their entries
-        lengths.setdefault(r["lang"], []).append(r["n"])
-    texts = rows.where(F.col(lang_col).isin(list(lengths))).select("__row", F.col(lang_col).alias("lang"), tokens.alias("t"))
-    runs = texts.mapInArrow(lambda it: _runs(it, lengths), "lang string, run string, n int, rows array<bigint>, places array<int>")
-    hits = runs.join(listed, ["lang", "n", "run"], "left_semi").select(F.explode(F.arrays_zip("rows", "places")).alias("at"), "n")
-    hits = hits.groupBy(F.col("at.rows").alias("hit_row")).agg(F.collect_list("at.places").alias("places"), F.collect_list("n").alias("n"))
+        for part in slices(batch.column(column), bound):
+            more = pc.sum(pc.binary_length(part)).as_py() or 0
+            if held and size + more > bound:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(batch.slice(lo, len(part)))
+            size, lo = size + more, lo + len(part)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _packed_runs(tokens: _Tokens, n: int, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, bytes, Zstandard frame of its distinct runs of ``n`` tokens in order of their words, a line each)."""
+    _, _, first = tokens.runs(n)
+    if not first.size:
+        return
+    order, ends = tokens.buckets(first, n, buckets)
+    cuts = pa.array(np.append(0, ends).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(cuts, tokens.texts(first[order], n)), "\n").cast(pa.binary())
+    codec = pa.Codec("zstd", compression_level=3)
+    for bucket, text in enumerate(joined.to_pylist()):
+        if text:
+            yield bucket, len(text), codec.compress(text, asbytes=True)
+
+
+#: A text's or a list's runs of ``n`` tokens in one bucket; ``first`` and ``last`` are the first and last row of the texts.
+_PACKED = "lang string, n int, bucket int, texts boolean, chunk long, first long, last long, size long, runs binary"
+
+
+def _packed_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = [c.split()[0] for c in _PACKED.split(", ")]
+    for lo in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo:lo + 64]), kinds)], names=names)
+
+
+def _listed_runs(batches: Iterator[pa.RecordBatch], by_character: list[str], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(lang, n, t) -> packed runs of the list: every entry is one."""
+    for part in _portions(batches, 2):
+        for lang in pc.unique(part.column(0)).to_pylist():
+            of = part.filter(pc.equal(part.column(0), lang))
+            for n in pc.unique(of.column(1)).to_pylist():
+                tokens = _Tokens(of.column(2).filter(pc.equal(of.column(1), n)), lang in by_character)
+                yield from _packed_rows([(lang, n, b, False, 0, 0, 0, size, runs) for b, size, runs in _packed_runs(tokens, n, buckets)])
+
+
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """(row, chunk, lang, t) -> a table for each chunk, whose rows follow each other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        chunk = batch.column(1).to_numpy()
+        cuts = np.append(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(chunk)).tolist()
+        for lo, hi in zip([0, *cuts], cuts):
+            if hi > lo:
+                if held and held[-1].column(1)[0].as_py() != chunk[lo]:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _by_language(table: pa.Table) -> Iterator[tuple[str, pa.Table, pa.Array]]:
+    """(language, its rows, their texts) of a table (row, chunk, lang, t), by row."""
+    table = table.sort_by("__row")
+    for lang in sorted(pc.unique(table.column("lang")).to_pylist()):
+        own = table.filter(pc.equal(table.column("lang"), lang))
+        yield lang, own, pa.concat_arrays(own.column("t").chunks)
+
+
+def _text_runs(batches: Iterator[pa.RecordBatch], lengths: dict[str, list[int]], by_character: list[str], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(row, chunk, lang, t) -> packed runs of the listed lengths of every chunk's texts."""
+    for table in _by_chunk(batches):
+        rows = table.column("__row").to_numpy()
+        where = (int(table.column("__chunk")[0].as_py()), int(rows.min()), int(rows.max()))
+        for lang, _, texts in _by_language(table):
+            tokens = _Tokens(texts, lang in by_character)
+            for n in lengths[lang]:
+                yield from _packed_rows([(lang, n, b, True, *where, size, runs) for b, size, runs in _packed_runs(tokens, n, buckets)])
+
+
+def _unpacked_runs(size: int, runs: bytes) -> pa.Array:
+    return pc.split_pattern(pa.array([pa.Codec("zstd").decompress(runs, size, asbytes=True).decode("utf-8", "surrogatepass")], pa.large_string()), "\n").flatten()
+
+
+def _found(batches: Iterator[pa.RecordBatch], looked_up: int) -> Iterator[pa.RecordBatch]:
+    """Packed runs sorted by (lang, n, bucket, texts) -> (chunk, first, last, lang, n, bucket, bits): a bit per run of the texts, set if it is listed."""
+    names = ["chunk", "first", "last", "lang", "n", "bucket", "found"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary())
+    group, known, waiting, n = None, [], [], 0
+    distinct = 0  # of the listed runs, those that are known to be
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal waiting, n
+        if waiting:
+            bits = pc.is_in(pa.concat_arrays([r for _, r in waiting]), value_set=pa.concat_arrays(known)).to_numpy(zero_copy_only=False)
+            out, lo = [], 0
+            for where, runs in waiting:
+                if bits[lo:lo + len(runs)].any():
+                    out.append((*where, *group, np.packbits(bits[lo:lo + len(runs)]).tobytes()))
+                lo += len(runs)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+        waiting, n = [], 0
+
+    for batch in batches:
+        for lang, length, bucket, texts, chunk, first, last, size, runs in zip(*(batch.column(i) for i in range(9))):
+            key = (lang.as_py(), length.as_py(), bucket.as_py())
+            if key != group:
+                yield from flush()
+                group, known, distinct = key, [], 0
+            if not texts.as_py():
+                known.append(_unpacked_runs(size.as_py(), runs.as_py()))
+                if sum(map(len, known)) > 2 * max(distinct, looked_up):
+                    known = [pc.unique(pa.concat_arrays(known))]
+                    distinct = len(known[0])
+            elif known:
+                waiting.append(((chunk.as_py(), first.as_py(), last.as_py()), _unpacked_runs(size.as_py(), runs.as_py())))
+                n += len(waiting[-1][1])
+                if n >= looked_up:
+                    yield from flush()
+    yield from flush()
+
+
+def _chunk_shares(texts: pa.Table, found: pa.Table, by_character: list[str], buckets: int) -> pa.Table:
+    """(row, share) of a chunk's texts, from the runs of them that are listed."""
+    out = [(np.empty(0, np.int64), np.empty(0))]
+    texts = texts.sort_by("__row")
+    rows = texts.column("__row").to_numpy()
+    hits: dict[tuple, dict] = {}
+    for first, last, lang, n, bucket, bits in zip(*(found.column(c).to_pylist() for c in ("first", "last", "lang", "n", "bucket", "found"))):
+        hits.setdefault((first, last), {}).setdefault(lang, {}).setdefault(n, {})[bucket] = bits
+    for (first, last), by_lang in hits.items():  # as the texts' runs were gathered
+        part = texts.slice(int(rows.searchsorted(first)), int(rows.searchsorted(last, "right") - rows.searchsorted(first)))
+        for lang, own, plain in _by_language(part):
+            if lang not in by_lang:
+                continue
+            tokens = _Tokens(plain, lang in by_character)
+            covered = np.zeros(len(tokens.owner) + 1, np.int32)
+            for n, by_bucket in by_lang[lang].items():
+                at, number, starts = tokens.runs(n)
+                order, ends = tokens.buckets(starts, n, buckets)
+                listed = np.zeros(len(starts), bool)
+                for bucket, bits in by_bucket.items():
+                    lo, hi = (int(ends[bucket - 1]) if bucket else 0), int(ends[bucket])
+                    listed[order[lo:hi]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+                at = at[listed[number]]
+                covered[at] += 1  # runs of one length start at different tokens
+                covered[at + n] -= 1
+            inside = np.cumsum(covered[:-1]) > 0  # overlapping runs count each token once
+            n_hit = np.bincount(tokens.owner[inside], minlength=len(tokens.size))
+            hit = n_hit > 0
+            out.append((own.column("__row").to_numpy()[hit], n_hit[hit] / tokens.size[hit]))
+    row, share = (np.concatenate(x) for x in zip(*out))
+    return pa.table({"hit_row": pa.array(row, pa.int64()), "__share": pa.array(share, pa.float64())})
+
+
+def _flagged_ratio_by_join(df: DataFrame, listed: DataFrame, text_col: str, lang_col: str, out_col: str, by_character: list[str]) -> DataFrame:
+    """The ratio by a table of any size: the runs of a chunk of texts meet the listed ones, and a bit for each comes back.
+
+    Runs travel as compressed lists, each distinct one once per chunk; where they stand in the texts is found anew from
+    the texts, which number their runs as before. What is written on the way goes when the next table is there.
+    """
+    spark, bound = df.sparkSession, 8 * GATHERED_TOKENS
 
     @F.arrow_udf(T.LongType())
-    def covered(places: pa.Array, lengths: pa.Array) -> pa.Array:
-        out = []
-        for p, n in zip(places, lengths):
-            lo = p.values.to_numpy().astype(np.int64)
-            hi = lo + n.values.to_numpy()
-            order = np.argsort(lo, kind="stable")
-            lo, reach = lo[order], np.maximum.accumulate(hi[order])
-            out.append(int((reach - np.maximum(lo, np.append(0, reach[:-1]))).clip(0).sum()))  # overlapping runs count each token once
-        return pa.array(out, pa.int64())
-
-    hits = hits.select("hit_row", covered("places", "n").alias("__covered"))
-    share = F.when(F.col("__n") > 0, F.coalesce("__covered", F.lit(0)) / F.col("__n")).otherwise(F.lit(0.0)).cast("double")
-    out = rows.join(hits, rows["__row"] == hits["hit_row"], "left")
+    def chunk(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        now, held = -1, 0
+        for rows, sizes in parts:
+            out = np.empty(len(rows), np.int64)
+            for i, (row, size) in enumerate(zip(rows.to_numpy().tolist(), sizes.to_numpy().tolist())):
+                if now < 0 or held + size > bound:
+                    now, held = row, 0
+                held += size
+                out[i] = now
+            yield pa.array(out)
+
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.withColumn("__chunk", chunk(F.col("__row"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")))
+    rows = materialize_sparing(rows, "flagged-rows")  # the row numbers must stay what they are
+    n = F.when(F.col("lang").isin(by_character), F.char_length("t")).otherwise(F.char_length("t") - F.char_length(F.replace("t", F.lit(" "), F.lit(""))) + 1)
+    entries = listed.where("t != ''").select("lang", n.cast("int").alias("n"), "t")
+    lengths: dict[str, list[int]] = {}
+    largest = 0
+    for r in entries.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("k")).collect():  # languages by the lengths of their entries
+        lengths.setdefault(r["lang"], []).append(r["n"])
+        largest = max(largest, r["k"])
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, looked_up = max(-(-largest // LOOKED_UP), min(partitions, 64)), LOOKED_UP
+    texts = rows.where(F.col(lang_col).isin(list(lengths)) & F.col(text_col).isNotNull()).select(
+        "__row", "__chunk", F.col(lang_col).alias("lang"), token_text(F.col(text_col), F.col(lang_col), by_character).alias("t"))
+    packed = entries.mapInArrow(lambda it: _listed_runs(it, by_character, buckets), _PACKED).unionAll(
+        texts.mapInArrow(lambda it: _text_runs(it, lengths, by_character, buckets), _PACKED))
+    key = ["lang", "n", "bucket"]
+    found = materialize_sparing(packed.repartition(partitions, *key).sortWithinPartitions(*key, "texts").mapInArrow(
+        lambda it: _found(it, looked_up), "chunk long, first long, last long, lang string, n int, bucket int, found binary"), "flagged-found")
+    drop_materialized(listed)
+    shares = texts.groupBy("__chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+        lambda left, right: _chunk_shares(left, right, by_character, buckets), "hit_row long, __share double")
+    shares = materialize_sparing(shares, "flagged-shares")
+    drop_materialized(found)
+    share = F.coalesce(shares["__share"], F.lit(0.0))
+    out = rows.join(shares, rows["__row"] == shares["hit_row"], "left")
     return out.withColumn("__share", share).select(*[F.col("__share").alias(c) if c == out_col else rows[c] for c in df.columns],
                                                    *([] if out_col in df.columns else [F.col("__share").alias(out_col)]))
 

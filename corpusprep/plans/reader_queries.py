@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..functions.digest import md5_prefixes
 from ..operators import quality as Q
 from ..operators import tokens as TK
 from ..session import scratch_path
@@ -101,13 +104,17 @@ def q_encoder_tokens(spark, sf):
 
 def flagged_table(spark, sf):
     """(lang, word): a sixteenth of the words and half of the adjacent word pairs of every language's documents."""
-    toks = _docs(spark, sf).select("lang", Q.word_tokens("text").alias("t"))
-    pairs = F.zip_with(F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))), F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))),
-                       lambda a, b: F.concat(a, F.lit(" "), b))
-    digit = F.substring(F.md5("word"), 1, 1)
-    one = toks.select("lang", F.explode("t").alias("word")).where(digit == "0")
-    two = toks.select("lang", F.explode(pairs).alias("word")).where(digit < "8")
-    return one.unionByName(two).distinct()
+    texts = _docs(spark, sf).where("text IS NOT NULL").select("lang", Q.token_text(F.col("text")).alias("t"))
+    return texts.mapInArrow(lambda it: _by_digit(Q.distinct_runs(it, (1, 2))), "lang string, word string").distinct()
+
+
+def _by_digit(batches):
+    """The words whose MD5 starts with 0 and the pairs whose MD5 starts with 0 to 7."""
+    for batch in batches:
+        text = batch.column(1).cast(pa.large_binary())
+        ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+        digit = md5_prefixes(np.frombuffer(text.buffers()[2] or b"", np.uint8), ends[:-1], ends[1:]) >> np.uint64(60)
+        yield batch.select(["lang", "word"]).filter(pa.array(digit < np.where(batch.column(2).to_numpy() == 1, 1, 8)))
 
 
 def q_flagged_by_language(spark, sf):

@@ -72,6 +72,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: While a table is written that spares the disk: its shuffle files go when it is there, and Python gets batches of a few large values.
+SPARING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def materialize_sparing(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for large tables: compressed further, and the shuffle files of ``df`` don't stay beside it."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in SPARING}
+    for k, v in SPARING.items():
+        conf.set(k, v)
+    try:
+        path = scratch_path(df.sparkSession, name)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_materialized(df: DataFrame) -> None:
     """Delete the written table behind ``df`` (only one that ``materialize`` made and nobody reads any more)."""
     spark = df.sparkSession
